@@ -31,6 +31,8 @@ LATE_REGION = "ASIA"
 MOVED_SEGMENT = "BUILDING"
 ORDERS_UNTIL = dt.date(2001, 6, 1)
 COMPLETIONS_UNTIL = dt.date(2001, 10, 15)
+CHANGED_TYPE = "PROMO"
+CHANGED_SIZE = 50
 FIRST_RUN = dt.datetime(2002, 1, 1, 12)
 SECOND_RUN = dt.datetime(2002, 2, 1, 12)
 
@@ -153,6 +155,51 @@ class Marketplace:
             self._widen(self._named(orders), SECOND_RUN), changed.drop("region", "segment")
         )
 
+    def earlier_craftsmen(self) -> DataFrame:
+        """Craftsmen before the late region opened, at their former addresses."""
+        region = self.table("region").where(F.col("r_name") != LATE_REGION)
+        nations = (
+            self.table("nation")
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(F.col("n_name").alias("craftsman_address"))
+        )
+        return (
+            self.craftsmen()
+            .join(nations, "craftsman_address", "left_semi")
+            .withColumn(
+                "craftsman_address", F.concat(F.lit("former "), F.col("craftsman_address"))
+            )
+        )
+
+    def earlier_products(self) -> DataFrame:
+        """Products before the changed type was introduced, under their former types."""
+        return (
+            self.products()
+            .where(F.col("product_type") != CHANGED_TYPE)
+            .withColumn("product_type", F.concat(F.lit("former "), F.col("product_type")))
+        )
+
+    def stamped_star(self) -> Star:
+        """The star with load stamps: orders came in at noon of the day they were created,
+        moved customers with the second run, resized products with the first one, all
+        craftsmen long ago; the other rows were never stamped."""
+        star = self.star()
+        moved = self._customers().where(F.col("segment") == MOVED_SEGMENT)
+        resized = (
+            self.table("part")
+            .where((F.col("p_type") == CHANGED_TYPE) & (F.col("p_size") == CHANGED_SIZE))
+            .select(F.col("p_partkey").alias("product_id"))
+        )
+        return Star(
+            craftsman=star.craftsman.withColumn("load_dttm", moment(dt.datetime(1999, 1, 1))),
+            product=_stamped_where(star.product, resized, "product_id", FIRST_RUN),
+            customer=_stamped_where(star.customer, moved, "customer_id", SECOND_RUN),
+            order=star.order.withColumn(
+                "load_dttm",
+                F.col("order_created_date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS"),
+            ),
+        )
+
     def _customers(self) -> DataFrame:
         nation = self.table("nation")
         region = self.table("region")
@@ -231,6 +278,17 @@ def _as_fact(orders: DataFrame) -> DataFrame:
     )
 
 
+def _stamped_where(
+    table: DataFrame, stamped: DataFrame, key: str, run_ts: dt.datetime
+) -> DataFrame:
+    marks = stamped.select(key, F.lit(True).alias("__stamped"))
+    return (
+        table.join(marks, key, "left")
+        .withColumn("load_dttm", F.when(F.col("__stamped"), moment(run_ts)))
+        .drop("__stamped")
+    )
+
+
 def _completes_late() -> Column:
     return F.col("order_completion_date") >= F.lit(COMPLETIONS_UNTIL)
 
