@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -28,6 +28,8 @@ from tallyhouse.sources.snapshots import shared_folder  # noqa: E402
 SMOKE_DIR = "/root/testdata/sf0.001"
 MARK = dt.date(2001, 6, 15)
 
+_NULLABLE = ["median_completion_time_per_month", "exist_customer_id"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,7 +40,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each reads the tables of the given directory."""
-    return {name: _comparable(query) for name, query in _QUERIES.items()}
+    shown = {name: _comparable(query) for name, query in _QUERIES.items()}
+    shown["conform_mart"] = _comparable(_conform_mart, nullable=[*_NULLABLE, "id"])
+    return shown
 
 
 def oracle_sql() -> dict[str, str]:
@@ -46,24 +50,26 @@ def oracle_sql() -> dict[str, str]:
     return oracle.statements()
 
 
-def _comparable(query: Query) -> Query:
-    """Show dates and times as text and numbers with a fraction as DOUBLE: engines hand
-    these to their clients in different forms."""
+def _comparable(query: Query, nullable: list[str] | None = None) -> Query:
+    """Show dates and times as text, and numbers with a fraction or with NULLs as DOUBLE:
+    engines hand these to their clients in different forms."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = query(spark, sf_dir)
-        return frame.select(*[_shown(field) for field in frame.schema.fields])
+        return frame.select(
+            *[_shown(field, nullable or _NULLABLE) for field in frame.schema.fields]
+        )
 
     return run
 
 
-def _shown(field: T.StructField):
+def _shown(field: T.StructField, nullable: list[str]) -> Column:
     column = F.col(field.name)
     if isinstance(field.dataType, T.DateType):
         column = F.date_format(column, "yyyy-MM-dd")
     elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
         column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-    elif isinstance(field.dataType, (T.FloatType, T.DecimalType)):
+    elif isinstance(field.dataType, (T.FloatType, T.DecimalType)) or field.name in nullable:
         column = column.cast("double")
     return column.alias(field.name)
 

@@ -173,9 +173,9 @@ def _report(name: str, star: str) -> str:
          CAST(CAST(sum(product_price) * 0.1 AS REAL) AS DOUBLE) AS customer_earned,
          CAST(count(*) AS INTEGER) AS customer_order_count,
          CAST(CAST(avg(product_price) AS REAL) AS DOUBLE) AS customer_avg_price_per_month,
-         CAST(percentile_cont(0.5) WITHIN GROUP (
+         CAST(CAST(percentile_cont(0.5) WITHIN GROUP (
            ORDER BY abs(date_diff('day', order_created_date, order_completion_date))
-         ) AS INTEGER) AS median_completion_time_per_month,
+         ) AS INTEGER) AS DOUBLE) AS median_completion_time_per_month,
          CAST(count(*) FILTER (order_status = 'created') AS INTEGER)
            AS number_of_orders_created_per_month,
          CAST(count(*) FILTER (order_status = 'in progress') AS INTEGER)
@@ -324,7 +324,7 @@ FROM mart_craftsmen""",
         "mart_full": full_report,
         "mart_full_onepass": full_report,
         "conform_mart": _with(
-            _report_select("mart").replace("SELECT", "SELECT CAST(NULL AS INTEGER) AS id,", 1),
+            _report_select("mart").replace("SELECT", "SELECT CAST(NULL AS DOUBLE) AS id,", 1),
             mart,
         ),
         "mart_ids": _with(
@@ -424,7 +424,7 @@ FROM delta"""
         ),
         "delta": _with(f"SELECT {star_columns} FROM delta"),
         "delta_flagged": _with(
-            """SELECT order_id, d.customer_id, report_month, k.customer_id AS exist_customer_id
+            """SELECT order_id, d.customer_id, report_month, CAST(k.customer_id AS DOUBLE) AS exist_customer_id
 FROM delta d LEFT JOIN known k ON d.customer_id = k.customer_id"""
         ),
         "new_customers": _with(

@@ -17,10 +17,14 @@ DIMENSION_STAMPS = ["craftsman_load_dttm", "customers_load_dttm", "products_load
 ORDER_STAMP = "order_load_dttm"
 
 
-def hwm_read(log: DataFrame, mark: str = "load_dttm") -> DataFrame:
+def hwm_read(log: DataFrame) -> DataFrame:
     """One row with the greatest mark of the log, also when the log is empty."""
-    kind = log.schema[mark].dataType
-    return log.agg(F.coalesce(F.max(mark), F.lit(FIRST_MARK).cast(kind)).alias(mark))
+    return log.agg(latest_mark("load_dttm", "date"))
+
+
+def latest_mark(column: str, kind: str) -> Column:
+    """The greatest mark in a column of the log; the first mark when there is none."""
+    return F.coalesce(F.max(column), F.lit(FIRST_MARK).cast(kind)).alias(column)
 
 
 def hwm_next(delta: DataFrame, run_ts: dt.datetime) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,7 +22,7 @@ def check_pk(table: DataFrame, key: list[str], among: DataFrame | None = None) -
 
 def check_not_null(table: DataFrame, required: list[str]) -> DataFrame:
     """The required columns that hold NULLs, and how many; all columns in one pass."""
-    counted = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+    counted = table.agg(*null_counts(required))
     return counted.select(
         F.inline(
             F.array(
@@ -35,6 +35,11 @@ def check_not_null(table: DataFrame, required: list[str]) -> DataFrame:
     ).where("null_count > 0")
 
 
+def null_counts(required: list[str]) -> list[Column]:
+    """The number of NULLs per column, also for observing a frame while it is written."""
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in required]
+
+
 def check_source_keys(source: DataFrame, on: list[str]) -> DataFrame:
     """Keys that several source rows share. A key with a NULL matches nothing and is left out."""
     return (

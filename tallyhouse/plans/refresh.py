@@ -6,7 +6,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import moment
@@ -15,14 +15,15 @@ from tallyhouse.operators.changes import (
     day_mark,
     delta,
     exact_mark,
-    hwm_read,
+    latest_mark,
     orders_of,
 )
 from tallyhouse.operators.checks import (
+    ConstraintViolation,
     check_merge_cardinality,
-    check_not_null,
     check_pk,
     check_source_keys,
+    null_counts,
     refuse,
 )
 from tallyhouse.operators.star import Star
@@ -35,7 +36,6 @@ from tallyhouse.plans.star_load import (
     PRODUCT,
     STAR_TABLES,
     StarTable,
-    load,
     merge,
     source_rows,
 )
@@ -78,30 +78,30 @@ class Refresh:
     ) -> DataFrame:
         """Merge one delivery into the star, bring the report up to date, move the mark.
         Returns the report. Each run needs a later `run_ts` than the one before."""
-        previous = self._previous_run()
-        if previous is not None and previous >= run_ts:
-            raise ValueError(f"run_ts {run_ts} is not later than the last run, {previous}")
-        star = self._merge_delivery(craft_products_orders, customers, previous, run_ts)
-        return self._refresh_report(star, previous, run_ts)
+        last = self._last_run()
+        if last.run_ts is not None and last.run_ts >= run_ts:
+            raise ValueError(f"run_ts {run_ts} is not later than the last run, {last.run_ts}")
+        star = self.merge_delivery(craft_products_orders, customers, last.run_ts, run_ts)
+        return self._refresh_report(star, last, run_ts)
 
     def report(self) -> DataFrame:
         """The report as of the last finished run."""
-        return self.tables.read(REPORT, self._report_schema(), self._previous_run())
+        return self.tables.read(REPORT, self._report_schema(), self._last_run().run_ts)
 
     def star(self) -> Star:
         """The star as of the last finished run."""
-        previous = self._previous_run()
-        return _star_of(
-            {t.name: self.tables.read(t.name, t.schema, previous) for t in STAR_TABLES}
-        )
+        last = self._last_run().run_ts
+        return _star_of({t.name: self.tables.read(t.name, t.schema, last) for t in STAR_TABLES})
 
-    def _merge_delivery(
+    def merge_delivery(
         self,
         craft_products_orders: DataFrame,
         customers: DataFrame,
         previous: dt.datetime | None,
         run_ts: dt.datetime,
     ) -> Star:
+        """Write the star that follows from the `previous` one and a delivery."""
+
         def merge_one(table: StarTable) -> DataFrame:
             return self._merge_table(
                 table, source_rows(table, craft_products_orders, customers), previous, run_ts
@@ -122,12 +122,18 @@ class Refresh:
         target = self.tables.read(table.name, table.schema, previous)
         if self.keep_latest and "load_dttm" in rows.columns:
             rows = latest_per_key(rows, table.natural_key, by="load_dttm")
-        # The distinct rows of the batch are used by two joins and three checks.
-        rows = self.tables.write(f"{table.name}_source", rows, run_ts)
-        refuse(
-            check_not_null(load(table, rows), required_columns(table.schema)),
-            f"{table.name}: required columns without a value",
+        # The distinct rows of the batch are read by two joins and two checks. NULLs are
+        # counted on the way out.
+        nulls = Observation()
+        required = required_columns(table.schema)
+        rows = self.tables.write(
+            f"{table.name}_source", rows.observe(nulls, *null_counts(required)), run_ts
         )
+        missing = {column: count for column, count in nulls.get.items() if count}
+        if missing:
+            raise ConstraintViolation(
+                f"{table.name}: required columns without a value: {missing}"
+            )
         if not check_source_keys(rows, table.natural_key).isEmpty():
             refuse(
                 check_merge_cardinality(target, rows, table.natural_key),
@@ -136,18 +142,11 @@ class Refresh:
         merged = self.tables.write(
             table.name, merge(table, target, rows, run_ts, self.only_if_changed), run_ts
         )
-        refuse(
-            check_pk(merged, [table.key], among=rows),
-            f"{table.name}: double keys",
-        )
+        refuse(check_pk(merged, [table.key], among=rows), f"{table.name}: double keys")
         return merged
 
-    def _refresh_report(
-        self, star: Star, previous: dt.datetime | None, run_ts: dt.datetime
-    ) -> DataFrame:
-        log = self.tables.log()
-        mark_column = "mark_ts" if self.exact_mark else "load_dttm"
-        mark = hwm_read(log, mark_column).first()[0]
+    def _refresh_report(self, star: Star, last: Row, run_ts: dt.datetime) -> DataFrame:
+        mark = last.mark_ts if self.exact_mark else last.load_dttm
         affected = self.tables.write(
             "affected_customers", affected_summary(delta(star, mark)), run_ts
         )
@@ -158,27 +157,43 @@ class Refresh:
             "report_rows", conform_report(report_rows(history), self.wide_keys), run_ts
         )
 
-        before = self.tables.read(REPORT, self._report_schema(), previous)
-        last_id = before.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        before = self.tables.read(REPORT, self._report_schema(), last.run_ts)
         # Customer months without a month are one group per customer: NULL equals NULL.
         measures = [name for name in REPORT_COLUMNS if name not in REPORT_KEY]
         kept = overwrite(before, rows, REPORT_KEY, measures, null_safe=True)
         added = with_report_ids(
-            unmatched(before, rows, REPORT_KEY, null_safe=True), last_id, self.wide_keys
+            unmatched(before, rows, REPORT_KEY, null_safe=True),
+            last.last_report_id,
+            self.wide_keys,
+        )
+        ids = Observation()
+        report = self.tables.write(
+            REPORT, kept.unionByName(added).observe(ids, F.max("id").alias("last")), run_ts
         )
-        report = self.tables.write(REPORT, kept.unionByName(added), run_ts)
 
         entry = affected.agg(
-            F.lit(log.count() + 1).cast("bigint").alias("id"),
+            F.lit(last.runs + 1).cast("bigint").alias("id"),
             day_mark(run_ts).alias("load_dttm"),
             exact_mark(mark).alias("mark_ts"),
             moment(run_ts).alias("run_ts"),
+            F.lit(ids.get["last"] or last.last_report_id).cast("bigint").alias("last_report_id"),
         )
         self.tables.append_log(entry)
         return report
 
-    def _previous_run(self) -> dt.datetime | None:
-        return self.tables.log().agg(F.max("run_ts")).first()[0]
+    def _last_run(self) -> Row:
+        """The marks and the last run of the log in one row, also when the log is empty."""
+        return (
+            self.tables.log()
+            .agg(
+                latest_mark("load_dttm", "date"),
+                latest_mark("mark_ts", "timestamp_ntz"),
+                F.max("run_ts").alias("run_ts"),
+                F.coalesce(F.max("last_report_id"), F.lit(0)).alias("last_report_id"),
+                F.count("id").alias("runs"),
+            )
+            .first()
+        )
 
     def _report_schema(self):
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT

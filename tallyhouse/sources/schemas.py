@@ -87,9 +87,11 @@ CUSTOMERS = _schema(
 # End of fixed values.
 
 # One row per finished refresh. `load_dttm` is the day-precision mark; `mark_ts` is the
-# exact one used in timestamp mode; `run_ts` names the snapshots that the run wrote.
+# exact one used in timestamp mode; `run_ts` names the snapshots that the run wrote and
+# `last_report_id` is the greatest id in its report.
 RUN_LOG = _schema(
-    "id BIGINT, load_dttm DATE, mark_ts TIMESTAMP_NTZ, run_ts TIMESTAMP_NTZ",
+    "id BIGINT, load_dttm DATE, mark_ts TIMESTAMP_NTZ, run_ts TIMESTAMP_NTZ, "
+    "last_report_id BIGINT",
     required=("id", "load_dttm", "run_ts"),
 )
 

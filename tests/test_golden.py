@@ -85,10 +85,6 @@ def shown(report):
     return [tuple(round(v, 4) if isinstance(v, float) else v for v in row) for row in rows]
 
 
-def expected(rows):
-    return [tuple(rows_) for rows_ in rows]
-
-
 @pytest.mark.parametrize("exact", [False, True])
 def test_two_deliveries(spark, tmp_path, exact):
     refresh = Refresh(spark, str(tmp_path), exact_mark=exact, only_if_changed=exact)
@@ -114,7 +110,7 @@ def test_repeating_a_delivery_changes_nothing(spark, tmp_path):
 def test_an_unfinished_run_is_not_seen(spark, tmp_path):
     refresh = Refresh(spark, str(tmp_path))
     refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
-    refresh._merge_delivery(wide(spark, BATCH_2), customers(spark, 3), FIRST, SECOND)
+    refresh.merge_delivery(wide(spark, BATCH_2), customers(spark, 3), FIRST, SECOND)
     assert shown(refresh.report()) == AFTER_1
     assert shown(refresh.run(wide(spark, BATCH_2), customers(spark, 3), SECOND)) == AFTER_2
 
