@@ -6,10 +6,11 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyhouse.functions.columns import moment
+from tallyhouse.functions.columns import moment, report_month
 from tallyhouse.operators.changes import (
     affected_summary,
     day_mark,
@@ -19,11 +20,10 @@ from tallyhouse.operators.changes import (
     orders_of,
 )
 from tallyhouse.operators.checks import (
-    ConstraintViolation,
     check_merge_cardinality,
+    check_not_null,
     check_pk,
     check_source_keys,
-    null_counts,
     refuse,
 )
 from tallyhouse.operators.star import Star
@@ -46,11 +46,24 @@ from tallyhouse.sources.schemas import (
     required_columns,
     widened,
 )
-from tallyhouse.sources.snapshots import SnapshotTables
+from tallyhouse.sources.snapshots import Months, SnapshotTables, latest_months, months_in
 
 REPORT = "customer_report_datamart"
 
 
+@dataclass(frozen=True)
+class LastRun:
+    """What the log says about the runs so far."""
+
+    runs: int
+    run_ts: dt.datetime | None
+    load_dttm: dt.date
+    mark_ts: dt.datetime
+    last_report_id: int
+    order_months: Months
+    report_months: Months
+
+
 @dataclass(frozen=True)
 class Refresh:
     """How refreshes are run.
@@ -78,131 +91,183 @@ class Refresh:
     ) -> DataFrame:
         """Merge one delivery into the star, bring the report up to date, move the mark.
         Returns the report. Each run needs a later `run_ts` than the one before."""
-        last = self._last_run()
+        last = self.last_run()
         if last.run_ts is not None and last.run_ts >= run_ts:
             raise ValueError(f"run_ts {run_ts} is not later than the last run, {last.run_ts}")
-        star = self.merge_delivery(craft_products_orders, customers, last.run_ts, run_ts)
-        return self._refresh_report(star, last, run_ts)
+        star, order_months = self.merge_delivery(craft_products_orders, customers, last, run_ts)
+
+        mark = last.mark_ts if self.exact_mark else last.load_dttm
+        affected = self.tables.write(
+            "affected_customers", affected_summary(delta(star, mark)), run_ts
+        )
+        report_months, last_id = self._refresh_report(star, affected, last, run_ts)
+        self.tables.append_log(
+            affected.agg(
+                F.lit(last.runs + 1).cast("bigint").alias("id"),
+                day_mark(run_ts).alias("load_dttm"),
+                exact_mark(mark).alias("mark_ts"),
+                moment(run_ts).alias("run_ts"),
+                F.lit(last_id).cast("bigint").alias("last_report_id"),
+                _names(order_months).alias("order_months"),
+                _names(report_months).alias("report_months"),
+            )
+        )
+        return self.report()
 
     def report(self) -> DataFrame:
         """The report as of the last finished run."""
-        return self.tables.read(REPORT, self._report_schema(), self._last_run().run_ts)
+        return self.tables.read_months(
+            REPORT, self._report_schema(), self.last_run().report_months
+        )
 
     def star(self) -> Star:
         """The star as of the last finished run."""
-        last = self._last_run().run_ts
-        return _star_of({t.name: self.tables.read(t.name, t.schema, last) for t in STAR_TABLES})
+        last = self.last_run()
+        return Star(
+            *[
+                self.tables.read(t.name, t.schema, last.run_ts)
+                for t in (CRAFTSMAN, PRODUCT, CUSTOMER)
+            ],
+            order=self.tables.read_months(ORDER.name, ORDER.schema, last.order_months),
+        )
+
+    def last_run(self) -> LastRun:
+        log = self.tables.log()
+        latest = log.agg(
+            F.count("id").alias("runs"),
+            F.max("run_ts").alias("run_ts"),
+            latest_mark("load_dttm", "date"),
+            latest_mark("mark_ts", "timestamp_ntz"),
+            F.coalesce(F.max("last_report_id"), F.lit(0)).alias("last_report_id"),
+        ).first()
+        return LastRun(
+            **latest.asDict(),
+            order_months=latest_months(log, "order_months"),
+            report_months=latest_months(log, "report_months"),
+        )
 
     def merge_delivery(
         self,
         craft_products_orders: DataFrame,
         customers: DataFrame,
-        previous: dt.datetime | None,
+        last: LastRun,
         run_ts: dt.datetime,
-    ) -> Star:
-        """Write the star that follows from the `previous` one and a delivery."""
+    ) -> tuple[Star, list[str]]:
+        """Write the star that follows from the last one and a delivery. Returns it, and
+        the months of orders that were written."""
 
-        def merge_one(table: StarTable) -> DataFrame:
-            return self._merge_table(
-                table, source_rows(table, craft_products_orders, customers), previous, run_ts
+        def merge_one(table: StarTable) -> tuple[DataFrame, list[str]]:
+            rows = self._incoming(
+                table, source_rows(table, craft_products_orders, customers), run_ts
             )
+            if table is ORDER:
+                merged, months = self._merge_orders(rows, last, run_ts)
+            else:
+                merged, months = self._merge_dimension(table, rows, last, run_ts), []
+            refuse(check_pk(merged, [table.key], among=rows), f"{table.name}: double keys")
+            return merged, months
 
         # The four tables do not depend on each other: their jobs may share the cluster.
         with ThreadPoolExecutor(len(STAR_TABLES)) as pool:
-            merged = list(pool.map(merge_one, STAR_TABLES))
-        return _star_of({t.name: rows for t, rows in zip(STAR_TABLES, merged)})
+            merged = dict(zip(STAR_TABLES, pool.map(merge_one, STAR_TABLES)))
+        star = Star(
+            craftsman=merged[CRAFTSMAN][0],
+            product=merged[PRODUCT][0],
+            customer=merged[CUSTOMER][0],
+            order=merged[ORDER][0],
+        )
+        return star, merged[ORDER][1]
 
-    def _merge_table(
-        self,
-        table: StarTable,
-        rows: DataFrame,
-        previous: dt.datetime | None,
-        run_ts: dt.datetime,
-    ) -> DataFrame:
-        target = self.tables.read(table.name, table.schema, previous)
+    def _incoming(self, table: StarTable, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+        """The distinct source rows of a table, written because two joins and three checks
+        read them."""
         if self.keep_latest and "load_dttm" in rows.columns:
             rows = latest_per_key(rows, table.natural_key, by="load_dttm")
-        # The distinct rows of the batch are read by two joins and two checks. NULLs are
-        # counted on the way out.
-        nulls = Observation()
-        required = required_columns(table.schema)
-        rows = self.tables.write(
-            f"{table.name}_source", rows.observe(nulls, *null_counts(required)), run_ts
+        written = self.tables.write(f"{table.name}_source", rows, run_ts)
+        refuse(
+            check_not_null(written, required_columns(table.schema)),
+            f"{table.name}: required columns without a value",
         )
-        missing = {column: count for column, count in nulls.get.items() if count}
-        if missing:
-            raise ConstraintViolation(
-                f"{table.name}: required columns without a value: {missing}"
-            )
+        return written
+
+    def _merge_dimension(
+        self, table: StarTable, rows: DataFrame, last: LastRun, run_ts: dt.datetime
+    ) -> DataFrame:
+        target = self.tables.read(table.name, table.schema, last.run_ts)
+        return self.tables.write(table.name, self._merged(table, target, rows, run_ts), run_ts)
+
+    def _merge_orders(
+        self, rows: DataFrame, last: LastRun, run_ts: dt.datetime
+    ) -> tuple[DataFrame, list[str]]:
+        """Orders match on their creation day among others, so that a delivery can only
+        change the months it has orders of. Only those are read and written."""
+        month = report_month(F.col("order_created_date"))
+        months = months_in(rows, month)
+        target = self.tables.read_months(
+            ORDER.name, ORDER.schema, _only(last.order_months, months)
+        )
+        merged = self._merged(ORDER, target, rows, run_ts)
+        self.tables.write_months(ORDER.name, merged, month, run_ts)
+        current = last.order_months | dict.fromkeys(months, run_ts)
+        return self.tables.read_months(ORDER.name, ORDER.schema, current), months
+
+    def _merged(
+        self, table: StarTable, target: DataFrame, rows: DataFrame, run_ts: dt.datetime
+    ) -> DataFrame:
+        # The source alone tells whether it has double keys; the target is asked only then.
         if not check_source_keys(rows, table.natural_key).isEmpty():
             refuse(
                 check_merge_cardinality(target, rows, table.natural_key),
                 f"{table.name}: several source rows for one target row",
             )
-        merged = self.tables.write(
-            table.name, merge(table, target, rows, run_ts, self.only_if_changed), run_ts
-        )
-        refuse(check_pk(merged, [table.key], among=rows), f"{table.name}: double keys")
-        return merged
+        return merge(table, target, rows, run_ts, self.only_if_changed)
 
-    def _refresh_report(self, star: Star, last: Row, run_ts: dt.datetime) -> DataFrame:
-        mark = last.mark_ts if self.exact_mark else last.load_dttm
-        affected = self.tables.write(
-            "affected_customers", affected_summary(delta(star, mark)), run_ts
-        )
+    def _refresh_report(
+        self, star: Star, affected: DataFrame, last: LastRun, run_ts: dt.datetime
+    ) -> tuple[list[str], int]:
+        """Compute the affected customers' rows anew, and write the months in which a row
+        is new or differs. Returns those months and the greatest id in the report."""
         history = Star(
             star.craftsman, star.product, star.customer, orders_of(star.order, affected)
         )
         rows = self.tables.write(
             "report_rows", conform_report(report_rows(history), self.wide_keys), run_ts
         )
+        month = F.col("report_month")
+        schema = self._report_schema()
+        before = self.tables.read_months(
+            REPORT, schema, _only(last.report_months, months_in(rows, month))
+        )
+        # The report is cut down to those customers before the rows are compared in full.
+        theirs = before.join(affected.select("customer_id"), "customer_id", "left_semi")
+        changes = self.tables.write(
+            "report_changes", rows.subtract(theirs.select(*rows.columns)), run_ts
+        )
+        months = months_in(changes, month)
+        if not months:
+            return [], last.last_report_id
+        target = self.tables.read_months(REPORT, schema, _only(last.report_months, months))
 
-        before = self.tables.read(REPORT, self._report_schema(), last.run_ts)
-        # Customer months without a month are one group per customer: NULL equals NULL.
+        # Rows without a month are one group per customer: here NULL equals NULL.
         measures = [name for name in REPORT_COLUMNS if name not in REPORT_KEY]
-        kept = overwrite(before, rows, REPORT_KEY, measures, null_safe=True)
+        kept = overwrite(target, changes, REPORT_KEY, measures, null_safe=True)
         added = with_report_ids(
-            unmatched(before, rows, REPORT_KEY, null_safe=True),
+            unmatched(target, changes, REPORT_KEY, null_safe=True),
             last.last_report_id,
             self.wide_keys,
         )
-        ids = Observation()
-        report = self.tables.write(
-            REPORT, kept.unionByName(added).observe(ids, F.max("id").alias("last")), run_ts
-        )
-
-        entry = affected.agg(
-            F.lit(last.runs + 1).cast("bigint").alias("id"),
-            day_mark(run_ts).alias("load_dttm"),
-            exact_mark(mark).alias("mark_ts"),
-            moment(run_ts).alias("run_ts"),
-            F.lit(ids.get["last"] or last.last_report_id).cast("bigint").alias("last_report_id"),
-        )
-        self.tables.append_log(entry)
-        return report
-
-    def _last_run(self) -> Row:
-        """The marks and the last run of the log in one row, also when the log is empty."""
-        return (
-            self.tables.log()
-            .agg(
-                latest_mark("load_dttm", "date"),
-                latest_mark("mark_ts", "timestamp_ntz"),
-                F.max("run_ts").alias("run_ts"),
-                F.coalesce(F.max("last_report_id"), F.lit(0)).alias("last_report_id"),
-                F.count("id").alias("runs"),
-            )
-            .first()
-        )
+        self.tables.write_months(REPORT, kept.unionByName(added), month, run_ts)
+        written = self.tables.read_months(REPORT, schema, dict.fromkeys(months, run_ts))
+        last_id = written.agg(F.max("id")).first()[0]
+        return months, max(last_id, last.last_report_id)
 
-    def _report_schema(self):
+    def _report_schema(self) -> T.StructType:
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT
 
 
-def _star_of(tables: dict[str, DataFrame]) -> Star:
-    return Star(
-        craftsman=tables[CRAFTSMAN.name],
-        product=tables[PRODUCT.name],
-        customer=tables[CUSTOMER.name],
-        order=tables[ORDER.name],
-    )
+def _only(known: Months, months: list[str]) -> Months:
+    return {month: known[month] for month in months if month in known}
+
+
+def _names(months: list[str]):
+    return F.array(*[F.lit(month) for month in months]).cast("array<string>")

@@ -14,7 +14,7 @@ from tallyhouse.operators.upsert import upsert
 from tallyhouse.sources import schemas
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class StarTable:
     """How one star table is keyed and which columns an upsert overwrites."""
 

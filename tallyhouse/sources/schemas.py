@@ -12,6 +12,7 @@ _TYPES = {
     "STRING": T.StringType(),
     "DATE": T.DateType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "STRINGS": T.ArrayType(T.StringType()),
 }
 
 
@@ -86,12 +87,12 @@ CUSTOMERS = _schema(
 
 # End of fixed values.
 
-# One row per finished refresh. `load_dttm` is the day-precision mark; `mark_ts` is the
-# exact one used in timestamp mode; `run_ts` names the snapshots that the run wrote and
-# `last_report_id` is the greatest id in its report.
+# One row per finished refresh. `load_dttm` is the day-precision mark, `mark_ts` the exact
+# one. `run_ts` names the directories that the run wrote, `order_months` and
+# `report_months` the months in them, and `last_report_id` is the greatest id so far.
 RUN_LOG = _schema(
     "id BIGINT, load_dttm DATE, mark_ts TIMESTAMP_NTZ, run_ts TIMESTAMP_NTZ, "
-    "last_report_id BIGINT",
+    "last_report_id BIGINT, order_months STRINGS, report_months STRINGS",
     required=("id", "load_dttm", "run_ts"),
 )
 

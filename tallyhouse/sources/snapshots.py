@@ -1,9 +1,12 @@
-"""Tables kept as parquet snapshots, one directory per run, in a shared folder.
+"""Tables kept as parquet in a shared folder, where every run writes directories of its own.
 
-A table is read while its next state is computed, so the next state goes to a directory of
-its own. A run becomes visible when its row is appended to the run log, which is done
-last: after a failure the log still names the snapshots of the run before, and repeating
-the run overwrites what it had left.
+A table is read while its next state is computed, so nothing is overwritten in place.
+Dimensions are written whole by each run. Orders and the report are split by month, and a
+run writes only the months that it changes; the others stay where an earlier run put them.
+
+All of a run becomes visible by one row appended to the run log, which says when it ran and
+which months it wrote. After a failure the log still describes the state before, and
+repeating the run overwrites what it had left.
 """
 
 from __future__ import annotations
@@ -12,18 +15,23 @@ import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.sources.schemas import RUN_LOG
 
 _LOG = "run_log"
+_PART = "month_part"
+_NO_MONTH = "none"
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
+# Which run wrote each month of a table.
+Months = dict[str, dt.datetime]
+
 
 class SnapshotTables:
-    """The snapshots under one root folder."""
+    """The tables under one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self._spark = spark
@@ -41,14 +49,31 @@ class SnapshotTables:
             return self._spark.createDataFrame([], schema)
         return self._spark.read.schema(schema).parquet(self._path(name, run_ts))
 
+    def write_months(self, name: str, rows: DataFrame, month: Column, run_ts: dt.datetime) -> None:
+        """Write whole months of a table. Rebalancing gives each month few files, and
+        splits a month that is too large for one task."""
+        (
+            rows.withColumn(_PART, _part(month))
+            .hint("rebalance", _PART)
+            .write.mode("overwrite")
+            .partitionBy(_PART)
+            .parquet(self._path(name, run_ts))
+        )
+
+    def read_months(self, name: str, schema: T.StructType, months: Months) -> DataFrame:
+        """The given months of a table, each from the run that wrote it last."""
+        if not months:
+            return self._spark.createDataFrame([], schema)
+        paths = [
+            f"{self._path(name, run_ts)}/{_PART}={month}" for month, run_ts in months.items()
+        ]
+        return self._spark.read.schema(schema).parquet(*paths)
+
     def log(self) -> DataFrame:
+        """The run log, which is created empty if it does not exist."""
         path = f"{self._root}/{_LOG}"
-        try:
-            return self._spark.read.schema(RUN_LOG).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self._spark.createDataFrame([], RUN_LOG)
+        self._spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
+        return self._spark.read.schema(RUN_LOG).parquet(path)
 
     def append_log(self, entry: DataFrame) -> None:
         entry.coalesce(1).write.mode("append").parquet(f"{self._root}/{_LOG}")
@@ -57,6 +82,19 @@ class SnapshotTables:
         return f"{self._root}/{name}/run={run_ts:%Y%m%dT%H%M%S%f}"
 
 
+def months_in(rows: DataFrame, month: Column) -> list[str]:
+    """The months that occur in a frame, as `write_months` names them. There can be no more
+    than the calendar has."""
+    return sorted(row[0] for row in rows.select(_part(month)).distinct().collect())
+
+
+def latest_months(log: DataFrame, column: str) -> Months:
+    """The last run that wrote each month of a table, from the log's list of months."""
+    written = log.select("run_ts", F.explode(column).alias("month"))
+    latest = written.groupBy("month").agg(F.max("run_ts").alias("run_ts"))
+    return {row.month: row.run_ts for row in latest.collect()}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that the session names in `spark.checkpoint.dir`.
 
@@ -69,3 +107,7 @@ def shared_folder(spark: SparkSession) -> str:
         _local_folders.append(tempfile.TemporaryDirectory(prefix="tallyhouse-"))
         shared = _local_folders[-1].name
     return f"{shared.rstrip('/')}/tallyhouse/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+
+
+def _part(month: Column) -> Column:
+    return F.coalesce(month, F.lit(_NO_MONTH))

@@ -110,7 +110,9 @@ def test_repeating_a_delivery_changes_nothing(spark, tmp_path):
 def test_an_unfinished_run_is_not_seen(spark, tmp_path):
     refresh = Refresh(spark, str(tmp_path))
     refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
-    refresh.merge_delivery(wide(spark, BATCH_2), customers(spark, 3), FIRST, SECOND)
+    refresh.merge_delivery(
+        wide(spark, BATCH_2), customers(spark, 3), refresh.last_run(), SECOND
+    )
     assert shown(refresh.report()) == AFTER_1
     assert shown(refresh.run(wide(spark, BATCH_2), customers(spark, 3), SECOND)) == AFTER_2
 
