@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,7 +24,7 @@ from tallyhouse.plans import report, star_load  # noqa: E402
 from tallyhouse.plans.refresh import Refresh  # noqa: E402
 from tallyhouse.sources import schemas  # noqa: E402
 from tallyhouse.sources.marketplace import FIRST_RUN, SECOND_RUN, Marketplace  # noqa: E402
-from tallyhouse.sources.snapshots import shared_folder  # noqa: E402
+from tallyhouse.sources.snapshots import SnapshotTables, shared_folder  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 MARK = dt.date(2001, 6, 15)
@@ -74,6 +75,12 @@ def _shown(field: T.StructField, nullable: list[str]) -> Column:
     return column.alias(field.name)
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table that an earlier job left behind."""
+    spark = frame.sparkSession
+    return SnapshotTables(spark, shared_folder(spark)).write(name, frame, FIRST_RUN)
+
+
 # Star: distinct inputs, loads, joins
 
 
@@ -223,8 +230,11 @@ def _merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = star.distinct_orders(market.first_delivery().craft_products_orders)
     return star_load.merge(
         star_load.ORDER,
-        _loaded(star_load.ORDER, before),
-        star.distinct_orders(market.second_delivery().craft_products_orders),
+        _stored(_loaded(star_load.ORDER, before), "f_order"),
+        _stored(
+            star.distinct_orders(market.second_delivery().craft_products_orders),
+            "f_order_source",
+        ),
         SECOND_RUN,
     )
 
@@ -265,16 +275,15 @@ def _earlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         star_load.source_rows(star_load.ORDER, first.craft_products_orders, first.customers),
     )
     stored = market.star()
-    return report.conform_report(
-        report.report_rows(
-            Star(
-                stored.craftsman,
-                stored.product,
-                star_load.load(star_load.CUSTOMER, first.customers),
-                orders,
-            )
+    rows = report.report_rows(
+        Star(
+            stored.craftsman,
+            stored.product,
+            star_load.load(star_load.CUSTOMER, first.customers),
+            _stored(orders, star_load.ORDER.name),
         )
     )
+    return _stored(report.conform_report(rows), "customer_report_datamart")
 
 
 def _delta_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,10 +307,9 @@ def _affected_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = Marketplace(spark, sf_dir).star()
-    fresh = changes.orders_of(stored.order, _new_customers(spark, sf_dir))
-    return report.conform_report(
-        report.report_rows(Star(stored.craftsman, stored.product, stored.customer, fresh))
-    )
+    newcomers = _stored(_new_customers(spark, sf_dir), "new_customers")
+    fresh = replace(stored, order=changes.orders_of(stored.order, newcomers))
+    return report.conform_report(report.report_rows(fresh))
 
 
 def _mart_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,8 +336,8 @@ def _mart_incremental(exact: bool) -> Query:
             orders = refresh.tables.write(
                 "craft_products_orders", delivery.craft_products_orders, run_ts
             )
-            refresh.run(orders, delivery.customers, run_ts)
-        return refresh.report().drop("id")
+            refreshed = refresh.run(orders, delivery.customers, run_ts)
+        return refreshed.drop("id")
 
     return run
 

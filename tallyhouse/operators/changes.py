@@ -100,10 +100,11 @@ def affected_customers(delta_rows: DataFrame) -> DataFrame:
 
 
 def affected_summary(delta_rows: DataFrame) -> DataFrame:
-    """The affected customers with the latest stamps behind them: both the keys to
-    recompute and all that the next mark needs, from one pass over the delta."""
+    """The affected customers with the number and the latest stamps of their delta rows:
+    both the keys to recompute and all that the next mark needs, from one pass."""
     return delta_rows.groupBy("customer_id").agg(
-        *[F.max(c).alias(c) for c in [*DIMENSION_STAMPS, ORDER_STAMP]]
+        F.count(F.lit(1)).alias("delta_rows"),
+        *[F.max(c).alias(c) for c in [*DIMENSION_STAMPS, ORDER_STAMP]],
     )
 
 

@@ -92,6 +92,19 @@ def unmatched(
     return source.join(known, _matches(source, known, on, null_safe), "left_anti")
 
 
+def changed_rows(rows: DataFrame, before: DataFrame, on: list[str]) -> DataFrame:
+    """The rows that `before` lacks or has with other values. Rows are matched on the key
+    alone, NULL to NULL, so that only the key is sorted and shuffled by."""
+    values = [c for c in rows.columns if c not in on]
+    old = before.select(*[F.col(c).alias(_new(c)) for c in rows.columns], F.lit(True).alias(_HIT))
+    differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(_new(c))) for c in values])
+    return (
+        rows.join(old, _matches(rows, old, on, null_safe=True), "left")
+        .where(F.col(_HIT).isNull() | differs)
+        .select(*rows.columns)
+    )
+
+
 def latest_per_key(source: DataFrame, on: list[str], by: str) -> DataFrame:
     """One row per key: the one with the greatest `by`. Equal ones are told apart by the
     other columns, so that the choice is repeatable."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ from tallyhouse.operators.checks import (
     refuse,
 )
 from tallyhouse.operators.star import Star
-from tallyhouse.operators.upsert import latest_per_key, overwrite, unmatched
-from tallyhouse.plans.report import conform_report, report_rows, with_report_ids
+from tallyhouse.operators.upsert import changed_rows, latest_per_key, overwrite, unmatched
+from tallyhouse.plans.report import CROWD, conform_report, report_rows, with_report_ids
 from tallyhouse.plans.star_load import (
     CRAFTSMAN,
     CUSTOMER,
@@ -73,6 +73,7 @@ class Refresh:
     batch: right, but wide. `only_if_changed` leaves rows that came unchanged untouched.
     `keep_latest` takes the latest of several source rows for one craftsman, where the
     default is to refuse them. `wide_keys` is for more customers than an INT can number.
+    Customers with more than `crowd` orders are not folded in one task.
     """
 
     spark: SparkSession
@@ -81,6 +82,7 @@ class Refresh:
     only_if_changed: bool = False
     keep_latest: bool = False
     wide_keys: bool = False
+    crowd: int = CROWD
 
     @property
     def tables(self) -> SnapshotTables:
@@ -112,7 +114,11 @@ class Refresh:
                 _names(report_months).alias("report_months"),
             )
         )
-        return self.report()
+        return self.tables.read_months(
+            REPORT,
+            self._report_schema(),
+            last.report_months | dict.fromkeys(report_months, run_ts),
+        )
 
     def report(self) -> DataFrame:
         """The report as of the last finished run."""
@@ -227,22 +233,22 @@ class Refresh:
     ) -> tuple[list[str], int]:
         """Compute the affected customers' rows anew, and write the months in which a row
         is new or differs. Returns those months and the greatest id in the report."""
-        history = Star(
-            star.craftsman, star.product, star.customer, orders_of(star.order, affected)
-        )
-        rows = self.tables.write(
-            "report_rows", conform_report(report_rows(history), self.wide_keys), run_ts
-        )
-        month = F.col("report_month")
         schema = self._report_schema()
-        before = self.tables.read_months(
-            REPORT, schema, _only(last.report_months, months_in(rows, month))
+        known = self.tables.read_months(REPORT, schema, last.report_months)
+        history = replace(star, order=orders_of(star.order, affected))
+        rows = self.tables.write(
+            "report_rows",
+            conform_report(
+                report_rows(history, self._crowded(affected, known)), self.wide_keys
+            ),
+            run_ts,
         )
         # The report is cut down to those customers before the rows are compared in full.
-        theirs = before.join(affected.select("customer_id"), "customer_id", "left_semi")
+        theirs = known.join(affected.select("customer_id"), "customer_id", "left_semi")
         changes = self.tables.write(
-            "report_changes", rows.subtract(theirs.select(*rows.columns)), run_ts
+            "report_changes", changed_rows(rows, theirs, REPORT_KEY), run_ts
         )
+        month = F.col("report_month")
         months = months_in(changes, month)
         if not months:
             return [], last.last_report_id
@@ -261,6 +267,19 @@ class Refresh:
         last_id = written.agg(F.max("id")).first()[0]
         return months, max(last_id, last.last_report_id)
 
+    def _crowded(self, affected: DataFrame, known: DataFrame) -> DataFrame:
+        """Affected customers who may have too many orders for one task: those that the
+        report counted so far and those in the delta, without another pass over all orders."""
+        counted = known.groupBy("customer_id").agg(
+            F.sum("customer_order_count").alias("counted")
+        )
+        orders = F.coalesce(F.col("counted"), F.lit(0)) + F.col("delta_rows")
+        return (
+            affected.join(counted, "customer_id", "left")
+            .where(orders > self.crowd)
+            .select("customer_id")
+        )
+
     def _report_schema(self) -> T.StructType:
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT
 

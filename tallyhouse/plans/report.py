@@ -1,12 +1,14 @@
 """The customer x month report.
 
-`report_rows` is the plan to use. It reads the star once and needs no group to fit into a
-task. `ranked_report_rows` computes the same from separate aggregates and rankings, and
-reads the star once for each.
+`report_rows` is the plan to use: it shuffles every order once, except those of customers
+who have too many to fold in one task. `ranked_report_rows` computes the same from separate
+aggregates and rankings, and reads the star once for each.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,24 @@ from tallyhouse.operators.star import Star
 from tallyhouse.sources.schemas import CUSTOMER_REPORT, REPORT_COLUMNS, widened
 
 _GROUP = ["customer_id", "month"]
+_NAMES = ["product_name", "craftsman_name"]
+_MOST_POPULAR = ["customer_most_popular_product_per_month", "customer_most_popular_craftsman"]
 _STATUS, _PRODUCT, _CRAFTSMAN = 0, 1, 2
 
+# How many orders of one customer a task may fold: the states for as many different names
+# stay below some 100 MB.
+CROWD = 500_000
+
 
 def order_lines(star: Star) -> DataFrame:
     """What the report needs of each order: nothing else goes through its shuffles.
 
     Customers are joined after the aggregation: their attributes depend on the key alone,
-    and there are far fewer customer months than orders."""
+    and there are far fewer customer months than orders. An order without a customer
+    would only be left out then, so it is not carried along."""
     return (
-        star.order.join(
+        star.order.where(F.col("order_customer_id").isNotNull())
+        .join(
             star.product.select("product_id", "product_name", "product_price"),
             F.col("order_product_id") == F.col("product_id"),
         )
@@ -49,8 +59,60 @@ def order_lines(star: Star) -> DataFrame:
     )
 
 
-def report_rows(star: Star) -> DataFrame:
-    """The report without ids, in two levels.
+def crowded_customers(orders: DataFrame, limit: int = CROWD) -> DataFrame:
+    """Customers with more orders than one task should fold. There are at most as many as
+    the limit goes into the number of orders."""
+    counted = orders.groupBy("order_customer_id").agg(F.count(F.lit(1)).alias("orders"))
+    return counted.where(F.col("orders") > limit).select(
+        F.col("order_customer_id").alias("customer_id")
+    )
+
+
+def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
+    """The report without ids.
+
+    The orders of a customer month are brought into one task and folded there, unless the
+    customer is crowded. Whether there is such a customer is asked first, by a count of
+    orders per customer or of the given frame; there mostly is none, and then the plan has
+    one branch. Crowded customers are few enough to be broadcast: see `crowded_customers`.
+    """
+    if crowded is None:
+        crowded = crowded_customers(star.order)
+    if crowded.isEmpty():
+        folded = fold_together(order_lines(star))
+    else:
+        crowd = F.broadcast(crowded.select(F.col("customer_id").alias("order_customer_id")))
+        few = star.order.join(crowd, "order_customer_id", "left_anti")
+        many = star.order.join(crowd, "order_customer_id", "left_semi")
+        folded = fold_together(order_lines(replace(star, order=few))).unionByName(
+            fold_tallies(order_lines(replace(star, order=many)))
+        )
+    # A month that is not known has no most popular product or craftsman.
+    known = F.col("month").isNotNull()
+    return _described(
+        folded.withColumns({name: F.when(known, F.col(name)) for name in _MOST_POPULAR}),
+        star.customer,
+    )
+
+
+def fold_together(lines: DataFrame) -> DataFrame:
+    """All measures per customer and month, from one shuffle by them. The states of the
+    median and of the most frequent names grow with the orders of the group."""
+    return (
+        lines.repartition(*_GROUP)
+        .groupBy(*_GROUP)
+        .agg(
+            *_line_measures(),
+            *[
+                F.mode(name, deterministic=True).alias(most_popular)
+                for name, most_popular in zip(_NAMES, _MOST_POPULAR)
+            ],
+        )
+    )
+
+
+def fold_tallies(lines: DataFrame) -> DataFrame:
+    """The same measures in two levels, for groups of any size.
 
     First every order is counted three times: by status and days, by product name and by
     craftsman name, each within its customer and month. A customer month with a large
@@ -58,15 +120,15 @@ def report_rows(star: Star) -> DataFrame:
     and rows are combined before the shuffle. Then the counts are folded per customer and
     month: sums of sums, the exact median of days weighted by their counts, and the label
     with the greatest count."""
+    product, craftsman = _NAMES
     tallies = (
-        order_lines(star)
-        .select(
+        lines.select(
             *_GROUP,
             F.inline(
                 F.array(
                     _tally(_STATUS, "order_status", F.col("days"), F.col("product_price")),
-                    _tally(_PRODUCT, "product_name"),
-                    _tally(_CRAFTSMAN, "craftsman_name"),
+                    _tally(_PRODUCT, product),
+                    _tally(_CRAFTSMAN, craftsman),
                 )
             ),
         )
@@ -78,7 +140,7 @@ def report_rows(star: Star) -> DataFrame:
         )
     )
     orders = F.when(F.col("kind") == _STATUS, F.col("orders")).otherwise(0)
-    folded = tallies.groupBy(*_GROUP).agg(
+    return tallies.groupBy(*_GROUP).agg(
         *_measures(
             total=F.sum("total"),
             priced=F.sum("priced"),
@@ -86,22 +148,10 @@ def report_rows(star: Star) -> DataFrame:
             median=F.percentile("days", 0.5, orders),
             statuses=c.status_counts(F.col("label"), orders),
         ),
-        _most_frequent(_PRODUCT).alias("customer_most_popular_product_per_month"),
-        _most_frequent(_CRAFTSMAN).alias("customer_most_popular_craftsman"),
-    )
-    # A month that is not known has no most popular product or craftsman.
-    known = F.col("month").isNotNull()
-    return _described(
-        folded.withColumns(
-            {
-                name: F.when(known, F.col(name))
-                for name in (
-                    "customer_most_popular_product_per_month",
-                    "customer_most_popular_craftsman",
-                )
-            }
-        ),
-        star.customer,
+        *[
+            _most_frequent(kind).alias(most_popular)
+            for kind, most_popular in zip((_PRODUCT, _CRAFTSMAN), _MOST_POPULAR)
+        ],
     )
 
 
@@ -119,23 +169,15 @@ def ranked_report_rows(star: Star) -> DataFrame:
 def monthly_measures(lines: DataFrame) -> DataFrame:
     """Money, counts and median per customer and month. All of them are combined before
     the shuffle; the median's state is a count per number of days."""
-    return lines.groupBy(*_GROUP).agg(
-        *_measures(
-            total=F.sum("product_price"),
-            priced=F.count("product_price"),
-            orders=F.count(F.lit(1)),
-            median=F.percentile("days", 0.5),
-            statuses=c.status_counts(F.col("order_status")),
-        )
-    )
+    return lines.groupBy(*_GROUP).agg(*_line_measures())
 
 
 def top_products(lines: DataFrame) -> DataFrame:
-    return top1(lines, _GROUP, "product_name", "customer_most_popular_product_per_month")
+    return top1(lines, _GROUP, _NAMES[0], _MOST_POPULAR[0])
 
 
 def top_craftsmen(lines: DataFrame) -> DataFrame:
-    return top1(lines, _GROUP, "craftsman_name", "customer_most_popular_craftsman")
+    return top1(lines, _GROUP, _NAMES[1], _MOST_POPULAR[1])
 
 
 def with_month_text(rows: DataFrame) -> DataFrame:
@@ -175,6 +217,16 @@ def _most_frequent(kind: int) -> Column:
     return F.min(F.when(F.col("kind") == kind, ranked))["label"]
 
 
+def _line_measures() -> list[Column]:
+    return _measures(
+        total=F.sum("product_price"),
+        priced=F.count("product_price"),
+        orders=F.count(F.lit(1)),
+        median=F.percentile("days", 0.5),
+        statuses=c.status_counts(F.col("order_status")),
+    )
+
+
 def _measures(
     total: Column, priced: Column, orders: Column, median: Column, statuses: dict[str, Column]
 ) -> list[Column]:
