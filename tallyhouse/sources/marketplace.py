@@ -21,7 +21,9 @@ from tallyhouse.functions.columns import (
     STATUS_IN_PROGRESS,
     moment,
 )
+from tallyhouse.operators.conform import conform
 from tallyhouse.operators.star import Star
+from tallyhouse.sources import schemas
 
 # How the data is split into two deliveries: the first one lacks the customers of the
 # region that opens later and the orders created from ORDERS_UNTIL on, still has the
@@ -98,10 +100,10 @@ class Marketplace:
     def star(self) -> Star:
         """The star tables as they are after all deliveries, without load stamps."""
         return Star(
-            craftsman=self.craftsmen(),
-            product=self.products(),
-            customer=self.customers(),
-            order=_as_fact(self.orders()),
+            craftsman=conform(self.craftsmen(), schemas.D_CRAFTSMAN),
+            product=conform(self.products(), schemas.D_PRODUCT),
+            customer=conform(self.customers(), schemas.D_CUSTOMER),
+            order=conform(_as_fact(self.orders()), schemas.F_ORDER),
         )
 
     def first_delivery(self) -> Delivery:
@@ -266,15 +268,12 @@ class Marketplace:
 
 
 def _as_fact(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        "order_id",
-        F.col("customer_id").alias("order_customer_id"),
-        F.col("product_id").alias("order_product_id"),
-        F.col("craftsman_id").alias("order_craftsman_id"),
-        "order_created_date",
-        "order_completion_date",
-        "order_status",
-        F.lit(None).cast("timestamp_ntz").alias("load_dttm"),
+    return orders.withColumnsRenamed(
+        {
+            "customer_id": "order_customer_id",
+            "product_id": "order_product_id",
+            "craftsman_id": "order_craftsman_id",
+        }
     )
 
 
