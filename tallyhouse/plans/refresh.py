@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import moment, report_month
 from tallyhouse.operators.changes import (
+    FIRST_MARK,
     affected_summary,
     day_mark,
     delta,
@@ -55,13 +56,13 @@ REPORT = "customer_report_datamart"
 class LastRun:
     """What the log says about the runs so far."""
 
-    runs: int
-    run_ts: dt.datetime | None
-    load_dttm: dt.date
-    mark_ts: dt.datetime
-    last_report_id: int
-    order_months: Months
-    report_months: Months
+    runs: int = 0
+    run_ts: dt.datetime | None = None
+    load_dttm: dt.date = FIRST_MARK
+    mark_ts: dt.datetime | dt.date = FIRST_MARK
+    last_report_id: int = 0
+    order_months: Months = field(default_factory=dict)
+    report_months: Months = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -89,13 +90,20 @@ class Refresh:
         return SnapshotTables(self.spark, self.root)
 
     def run(
-        self, craft_products_orders: DataFrame, customers: DataFrame, run_ts: dt.datetime
+        self,
+        craft_products_orders: DataFrame,
+        customers: DataFrame,
+        run_ts: dt.datetime,
+        rebuild: bool = False,
     ) -> DataFrame:
         """Merge one delivery into the star, bring the report up to date, move the mark.
-        Returns the report. Each run needs a later `run_ts` than the one before."""
+        Returns the report. Each run needs a later `run_ts` than the one before. `rebuild`
+        starts over from the delivery alone: what earlier runs left is not read again."""
         last = self.last_run()
         if last.run_ts is not None and last.run_ts >= run_ts:
             raise ValueError(f"run_ts {run_ts} is not later than the last run, {last.run_ts}")
+        if rebuild:
+            last = LastRun(runs=last.runs)
         star, order_months = self.merge_delivery(craft_products_orders, customers, last, run_ts)
 
         mark = last.mark_ts if self.exact_mark else last.load_dttm
@@ -112,6 +120,7 @@ class Refresh:
                 F.lit(last_id).cast("bigint").alias("last_report_id"),
                 _names(order_months).alias("order_months"),
                 _names(report_months).alias("report_months"),
+                F.lit(rebuild).alias("rebuilt"),
             )
         )
         return self.tables.read_months(
@@ -139,8 +148,10 @@ class Refresh:
 
     def last_run(self) -> LastRun:
         log = self.tables.log()
+        rebuilt = log.where("rebuilt").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        log = log.where(F.col("id") >= rebuilt)
         latest = log.agg(
-            F.count("id").alias("runs"),
+            F.coalesce(F.max("id"), F.lit(0)).alias("runs"),
             F.max("run_ts").alias("run_ts"),
             latest_mark("load_dttm", "date"),
             latest_mark("mark_ts", "timestamp_ntz"),
