@@ -71,8 +71,8 @@ def crowded_customers(orders: DataFrame, limit: int = CROWD) -> DataFrame:
 def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
     """The report without ids.
 
-    The orders of a customer month are brought into one task and folded there, unless the
-    customer is crowded. Whether there is such a customer is asked first, by a count of
+    The orders of a customer month are combined where they are read and folded in one
+    task, unless the customer is crowded. Whether there is such a customer is asked first, by a count of
     orders per customer or of the given frame; there mostly is none, and then the plan has
     one branch. Crowded customers are few enough to be broadcast: see `crowded_customers`.
     """
@@ -96,18 +96,15 @@ def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
 
 
 def fold_together(lines: DataFrame) -> DataFrame:
-    """All measures per customer and month, from one shuffle by them. The states of the
-    median and of the most frequent names grow with the orders of the group."""
-    return (
-        lines.repartition(*_GROUP)
-        .groupBy(*_GROUP)
-        .agg(
-            *_line_measures(),
-            *[
-                F.mode(name, deterministic=True).alias(most_popular)
-                for name, most_popular in zip(_NAMES, _MOST_POPULAR)
-            ],
-        )
+    """All measures per customer and month, from one shuffle by them. Every task combines
+    its own rows first. The states of the median and of the most frequent names hold a
+    count per different value, so they can grow with the orders of the group."""
+    return lines.groupBy(*_GROUP).agg(
+        *_line_measures(),
+        *[
+            F.mode(name, deterministic=True).alias(most_popular)
+            for name, most_popular in zip(_NAMES, _MOST_POPULAR)
+        ],
     )
 
 

@@ -40,12 +40,14 @@ def test_the_report_reads_only_what_it_needs(plan_of):
     assert columns == {"l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_shipdate"}
 
 
-def test_the_report_shuffles_orders_once(plan_of):
+def test_the_report_combines_rows_and_shuffles_orders_once(plan_of):
     """After the exchange that makes the orders there is one, by customer and month."""
-    plan = plan_of("mart_full_onepass")
-    exchanges = [s for s in plan.splitlines() if "Exchange hashpartitioning" in s]
-    assert sum("REPARTITION_BY_COL" in s for s in exchanges) == 1
-    assert len([s for s in exchanges if "l_partkey" in s]) == 1
+    lines = plan_of("mart_full_onepass").splitlines()
+    by_month = [i for i, s in enumerate(lines) if "hashpartitioning(customer_id" in s and "month" in s]
+    assert len(by_month) == 1
+    assert "ObjectHashAggregate" in lines[by_month[0] + 1]
+    assert "partial_percentile" in lines[by_month[0] + 1]
+    assert sum("hashpartitioning(l_partkey" in s for s in lines) == 1
 
 
 def test_rankings_are_cut_before_the_shuffle(plan_of):
