@@ -138,13 +138,19 @@ def _mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.conform_report(report.ranked_report_rows(Marketplace(spark, sf_dir).star()))
 
 
+def _report_rows(market: Marketplace, stored: Star) -> DataFrame:
+    crowded = report.crowded_customers(market.lines_by_customer())
+    return report.report_rows(stored, crowded)
+
+
 def _mart_full_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.conform_report(report.report_rows(Marketplace(spark, sf_dir).star()))
+    market = Marketplace(spark, sf_dir)
+    return report.conform_report(_report_rows(market, market.star()))
 
 
 def _conform_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.report_rows(Marketplace(spark, sf_dir).star())
-    return conform(rows, schemas.CUSTOMER_REPORT)
+    market = Marketplace(spark, sf_dir)
+    return conform(_report_rows(market, market.star()), schemas.CUSTOMER_REPORT)
 
 
 def _mart_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,13 +281,14 @@ def _earlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         star_load.source_rows(star_load.ORDER, first.craft_products_orders, first.customers),
     )
     stored = market.star()
-    rows = report.report_rows(
+    rows = _report_rows(
+        market,
         Star(
             stored.craftsman,
             stored.product,
             star_load.load(star_load.CUSTOMER, first.customers),
             _stored(orders, star_load.ORDER.name),
-        )
+        ),
     )
     return _stored(report.conform_report(rows), "customer_report_datamart")
 
@@ -306,10 +313,11 @@ def _affected_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = Marketplace(spark, sf_dir).star()
+    market = Marketplace(spark, sf_dir)
+    stored = market.star()
     newcomers = _stored(_new_customers(spark, sf_dir), "new_customers")
     fresh = replace(stored, order=changes.orders_of(stored.order, newcomers))
-    return report.conform_report(report.report_rows(fresh))
+    return report.conform_report(_report_rows(market, fresh))
 
 
 def _mart_update(spark: SparkSession, sf_dir: str) -> DataFrame:

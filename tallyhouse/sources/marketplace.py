@@ -56,9 +56,14 @@ class Marketplace:
     def __init__(self, spark: SparkSession, directory: str):
         self._spark = spark
         self._directory = directory
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._directory}/{name}.parquet")
+        """A given table. Its files are looked at once, however often it is used."""
+        if name not in self._tables:
+            path = f"{self._directory}/{name}.parquet"
+            self._tables[name] = self._spark.read.parquet(path)
+        return self._tables[name]
 
     def craftsmen(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name")
@@ -93,6 +98,15 @@ class Marketplace:
     def orders(self) -> DataFrame:
         return self._named(self._orders())
 
+    def lines_by_customer(self) -> DataFrame:
+        """A row per line with the order's customer. An order has one line or more, so the
+        lines bound a customer's orders from above, without making the orders."""
+        lines = self.table("lineitem").select("l_orderkey")
+        heads = self.table("orders").select("o_orderkey", "o_custkey")
+        return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("o_custkey").alias("order_customer_id")
+        )
+
     def craft_products_orders(self, delivered_at: dt.datetime = FIRST_RUN) -> DataFrame:
         """The wide source: every order with its craftsman and its product."""
         return self._widen(self.orders(), delivered_at)
