@@ -92,16 +92,22 @@ def unmatched(
     return source.join(known, _matches(source, known, on, null_safe), "left_anti")
 
 
-def changed_rows(rows: DataFrame, before: DataFrame, on: list[str]) -> DataFrame:
-    """The rows that `before` lacks or has with other values. Rows are matched on the key
-    alone, NULL to NULL, so that only the key is sorted and shuffled by."""
+def changed_rows(
+    rows: DataFrame, before: DataFrame, on: list[str], null_safe: bool = False
+) -> DataFrame:
+    """The distinct rows that `before` lacks or has with other values. Rows are matched on
+    the key alone, so that only the key is sorted and shuffled by; `before` is first cut
+    down to the keys of the rows."""
     values = [c for c in rows.columns if c not in on]
-    old = before.select(*[F.col(c).alias(_new(c)) for c in rows.columns], F.lit(True).alias(_HIT))
+    sought = rows.select(*[F.col(c).alias(_new(c)) for c in on])
+    met = before.join(sought, _matches(before, sought, on, null_safe), "left_semi")
+    old = met.select(*[F.col(c).alias(_new(c)) for c in rows.columns], F.lit(True).alias(_HIT))
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(_new(c))) for c in values])
     return (
-        rows.join(old, _matches(rows, old, on, null_safe=True), "left")
+        rows.join(old, _matches(rows, old, on, null_safe), "left")
         .where(F.col(_HIT).isNull() | differs)
         .select(*rows.columns)
+        .distinct()
     )
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ from tallyhouse.sources.schemas import (
     required_columns,
     widened,
 )
-from tallyhouse.sources.snapshots import Months, SnapshotTables, latest_months, months_in
+from tallyhouse.sources.snapshots import Parts, SnapshotTables, latest_parts, months_in
 
 REPORT = "customer_report_datamart"
 
@@ -61,8 +61,9 @@ class LastRun:
     load_dttm: dt.date = FIRST_MARK
     mark_ts: dt.datetime | dt.date = FIRST_MARK
     last_report_id: int = 0
-    order_months: Months = field(default_factory=dict)
-    report_months: Months = field(default_factory=dict)
+    dimensions: Parts = field(default_factory=dict)
+    order_months: Parts = field(default_factory=dict)
+    report_months: Parts = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,8 @@ class Refresh:
             raise ValueError(f"run_ts {run_ts} is not later than the last run, {last.run_ts}")
         if rebuild:
             last = LastRun(runs=last.runs)
-        star, order_months = self.merge_delivery(craft_products_orders, customers, last, run_ts)
+        written = self.merge_delivery(craft_products_orders, customers, last, run_ts)
+        star = self._star_after(last, written, run_ts)
 
         mark = last.mark_ts if self.exact_mark else last.load_dttm
         affected = self.tables.write(
@@ -118,7 +120,10 @@ class Refresh:
                 exact_mark(mark).alias("mark_ts"),
                 moment(run_ts).alias("run_ts"),
                 F.lit(last_id).cast("bigint").alias("last_report_id"),
-                _names(order_months).alias("order_months"),
+                _names([t.name for t in STAR_TABLES if t is not ORDER and written[t]]).alias(
+                    "dimensions"
+                ),
+                _names(written[ORDER]).alias("order_months"),
                 _names(report_months).alias("report_months"),
                 F.lit(rebuild).alias("rebuilt"),
             )
@@ -137,14 +142,7 @@ class Refresh:
 
     def star(self) -> Star:
         """The star as of the last finished run."""
-        last = self.last_run()
-        return Star(
-            *[
-                self.tables.read(t.name, t.schema, last.run_ts)
-                for t in (CRAFTSMAN, PRODUCT, CUSTOMER)
-            ],
-            order=self.tables.read_months(ORDER.name, ORDER.schema, last.order_months),
-        )
+        return self._star_after(self.last_run())
 
     def last_run(self) -> LastRun:
         log = self.tables.log()
@@ -159,8 +157,10 @@ class Refresh:
         ).first()
         return LastRun(
             **latest.asDict(),
-            order_months=latest_months(log, "order_months"),
-            report_months=latest_months(log, "report_months"),
+            **{
+                column: latest_parts(log, column)
+                for column in ("dimensions", "order_months", "report_months")
+            },
         )
 
     def merge_delivery(
@@ -169,31 +169,52 @@ class Refresh:
         customers: DataFrame,
         last: LastRun,
         run_ts: dt.datetime,
-    ) -> tuple[Star, list[str]]:
-        """Write the star that follows from the last one and a delivery. Returns it, and
-        the months of orders that were written."""
+    ) -> dict[StarTable, list[str]]:
+        """Write what a delivery changes in the star. Returns the parts written of each
+        table: months of orders, or the table's name."""
 
-        def merge_one(table: StarTable) -> tuple[DataFrame, list[str]]:
-            rows = self._incoming(
-                table, source_rows(table, craft_products_orders, customers), run_ts
+        def merge_one(table: StarTable) -> list[str]:
+            return self._merge_table(
+                table, source_rows(table, craft_products_orders, customers), last, run_ts
             )
-            if table is ORDER:
-                merged, months = self._merge_orders(rows, last, run_ts)
-            else:
-                merged, months = self._merge_dimension(table, rows, last, run_ts), []
-            refuse(check_pk(merged, [table.key], among=rows), f"{table.name}: double keys")
-            return merged, months
 
         # The four tables do not depend on each other: their jobs may share the cluster.
         with ThreadPoolExecutor(len(STAR_TABLES)) as pool:
-            merged = dict(zip(STAR_TABLES, pool.map(merge_one, STAR_TABLES)))
-        star = Star(
-            craftsman=merged[CRAFTSMAN][0],
-            product=merged[PRODUCT][0],
-            customer=merged[CUSTOMER][0],
-            order=merged[ORDER][0],
-        )
-        return star, merged[ORDER][1]
+            return dict(zip(STAR_TABLES, pool.map(merge_one, STAR_TABLES)))
+
+    def _merge_table(
+        self, table: StarTable, rows: DataFrame, last: LastRun, run_ts: dt.datetime
+    ) -> list[str]:
+        rows = self._incoming(table, rows, run_ts)
+        target = self._reached(table, rows, last)
+        # The source alone tells whether it has double keys; the target is asked only then.
+        if not check_source_keys(rows, table.natural_key).isEmpty():
+            refuse(
+                check_merge_cardinality(target, rows, table.natural_key),
+                f"{table.name}: several source rows for one target row",
+            )
+        if self.only_if_changed and last.run_ts is not None:
+            compared = [name for name in table.schema.names if name != "load_dttm"]
+            rows = self.tables.write(
+                f"{table.name}_changes",
+                changed_rows(
+                    rows.select(*compared), target.select(*compared), table.natural_key
+                ),
+                run_ts,
+            )
+            target = self._reached(table, rows, last)
+        if rows.isEmpty():
+            return []
+        merged = merge(table, target, rows, run_ts, self.only_if_changed)
+        if table is ORDER:
+            written = months_in(rows, _order_month())
+            self.tables.write_months(table.name, merged, _order_month(), run_ts)
+        else:
+            written = [table.name]
+            self.tables.write(table.name, merged, run_ts)
+        whole = self._after(table, last, written, run_ts)
+        refuse(check_pk(whole, [table.key], among=rows), f"{table.name}: double keys")
+        return written
 
     def _incoming(self, table: StarTable, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
         """The distinct source rows of a table, written because two joins and three checks
@@ -207,37 +228,42 @@ class Refresh:
         )
         return written
 
-    def _merge_dimension(
-        self, table: StarTable, rows: DataFrame, last: LastRun, run_ts: dt.datetime
-    ) -> DataFrame:
-        target = self.tables.read(table.name, table.schema, last.run_ts)
-        return self.tables.write(table.name, self._merged(table, target, rows, run_ts), run_ts)
-
-    def _merge_orders(
-        self, rows: DataFrame, last: LastRun, run_ts: dt.datetime
-    ) -> tuple[DataFrame, list[str]]:
-        """Orders match on their creation day among others, so that a delivery can only
-        change the months it has orders of. Only those are read and written."""
-        month = report_month(F.col("order_created_date"))
-        months = months_in(rows, month)
-        target = self.tables.read_months(
-            ORDER.name, ORDER.schema, _only(last.order_months, months)
-        )
-        merged = self._merged(ORDER, target, rows, run_ts)
-        self.tables.write_months(ORDER.name, merged, month, run_ts)
-        current = last.order_months | dict.fromkeys(months, run_ts)
-        return self.tables.read_months(ORDER.name, ORDER.schema, current), months
+    def _reached(self, table: StarTable, rows: DataFrame, last: LastRun) -> DataFrame:
+        """The part of a table that rows may match. Orders match on their creation day
+        among others, so that it is the months the rows are of."""
+        if table is not ORDER:
+            return self._after(table, last)
+        months = _only(last.order_months, months_in(rows, _order_month()))
+        return self.tables.read_months(table.name, table.schema, months)
 
-    def _merged(
-        self, table: StarTable, target: DataFrame, rows: DataFrame, run_ts: dt.datetime
+    def _after(
+        self,
+        table: StarTable,
+        last: LastRun,
+        written: list[str] | None = None,
+        run_ts: dt.datetime | None = None,
     ) -> DataFrame:
-        # The source alone tells whether it has double keys; the target is asked only then.
-        if not check_source_keys(rows, table.natural_key).isEmpty():
-            refuse(
-                check_merge_cardinality(target, rows, table.natural_key),
-                f"{table.name}: several source rows for one target row",
+        """A whole star table after the last run, and after the parts written since."""
+        fresh = dict.fromkeys(written or [], run_ts)
+        if table is ORDER:
+            return self.tables.read_months(
+                table.name, table.schema, last.order_months | fresh
             )
-        return merge(table, target, rows, run_ts, self.only_if_changed)
+        return self.tables.read(
+            table.name, table.schema, (last.dimensions | fresh).get(table.name)
+        )
+
+    def _star_after(
+        self,
+        last: LastRun,
+        written: dict[StarTable, list[str]] | None = None,
+        run_ts: dt.datetime | None = None,
+    ) -> Star:
+        craftsman, product, customer, order = [
+            self._after(t, last, (written or {}).get(t), run_ts)
+            for t in (CRAFTSMAN, PRODUCT, CUSTOMER, ORDER)
+        ]
+        return Star(craftsman, product, customer, order)
 
     def _refresh_report(
         self, star: Star, affected: DataFrame, last: LastRun, run_ts: dt.datetime
@@ -254,10 +280,8 @@ class Refresh:
             ),
             run_ts,
         )
-        # The report is cut down to those customers before the rows are compared in full.
-        theirs = known.join(affected.select("customer_id"), "customer_id", "left_semi")
         changes = self.tables.write(
-            "report_changes", changed_rows(rows, theirs, REPORT_KEY), run_ts
+            "report_changes", changed_rows(rows, known, REPORT_KEY, null_safe=True), run_ts
         )
         month = F.col("report_month")
         months = months_in(changes, month)
@@ -295,9 +319,13 @@ class Refresh:
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT
 
 
-def _only(known: Months, months: list[str]) -> Months:
+def _order_month() -> Column:
+    return report_month(F.col("order_created_date"))
+
+
+def _only(known: Parts, months: list[str]) -> Parts:
     return {month: known[month] for month in months if month in known}
 
 
-def _names(months: list[str]):
-    return F.array(*[F.lit(month) for month in months]).cast("array<string>")
+def _names(parts: list[str]) -> Column:
+    return F.array(*[F.lit(part) for part in parts]).cast("array<string>")

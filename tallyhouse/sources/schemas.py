@@ -89,12 +89,13 @@ CUSTOMERS = _schema(
 # End of fixed values.
 
 # One row per finished refresh. `load_dttm` is the day-precision mark, `mark_ts` the exact
-# one. `run_ts` names the directories that the run wrote, `order_months` and
-# `report_months` the months in them; `last_report_id` is the greatest id so far. Rows
-# before the last one that `rebuilt` everything are history.
+# one. `run_ts` names the directories that the run wrote, `dimensions` the tables among
+# them, `order_months` and `report_months` the months; `last_report_id` is the greatest id
+# so far. Rows before the last one that `rebuilt` everything are history.
 RUN_LOG = _schema(
     "id BIGINT, load_dttm DATE, mark_ts TIMESTAMP_NTZ, run_ts TIMESTAMP_NTZ, "
-    "last_report_id BIGINT, order_months STRINGS, report_months STRINGS, rebuilt BOOLEAN",
+    "last_report_id BIGINT, dimensions STRINGS, order_months STRINGS, report_months STRINGS, "
+    "rebuilt BOOLEAN",
     required=("id", "load_dttm", "run_ts"),
 )
 

@@ -1,11 +1,12 @@
 """Tables kept as parquet in a shared folder, where every run writes directories of its own.
 
 A table is read while its next state is computed, so nothing is overwritten in place.
-Dimensions are written whole by each run. Orders and the report are split by month, and a
-run writes only the months that it changes; the others stay where an earlier run put them.
+Dimensions are written whole by each run that changes them. Orders and the report are split
+by month, and a run writes only the months that it changes. What a run leaves alone stays
+where an earlier one put it.
 
 All of a run becomes visible by one row appended to the run log, which says when it ran and
-which months it wrote. After a failure the log still describes the state before, and
+what it wrote. After a failure the log still describes the state before, and
 repeating the run overwrites what it had left.
 """
 
@@ -26,8 +27,8 @@ _PART = "month_part"
 _NO_MONTH = "none"
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
-# Which run wrote each month of a table.
-Months = dict[str, dt.datetime]
+# Which run wrote each month of a table, or each table.
+Parts = dict[str, dt.datetime]
 
 
 class SnapshotTables:
@@ -60,7 +61,7 @@ class SnapshotTables:
             .parquet(self._path(name, run_ts))
         )
 
-    def read_months(self, name: str, schema: T.StructType, months: Months) -> DataFrame:
+    def read_months(self, name: str, schema: T.StructType, months: Parts) -> DataFrame:
         """The given months of a table, each from the run that wrote it last."""
         if not months:
             return self._spark.createDataFrame([], schema)
@@ -88,11 +89,11 @@ def months_in(rows: DataFrame, month: Column) -> list[str]:
     return sorted(row[0] for row in rows.select(_part(month)).distinct().collect())
 
 
-def latest_months(log: DataFrame, column: str) -> Months:
-    """The last run that wrote each month of a table, from the log's list of months."""
-    written = log.select("run_ts", F.explode(column).alias("month"))
-    latest = written.groupBy("month").agg(F.max("run_ts").alias("run_ts"))
-    return {row.month: row.run_ts for row in latest.collect()}
+def latest_parts(log: DataFrame, column: str) -> Parts:
+    """The last run that wrote each of the parts listed in a column of the log."""
+    written = log.select("run_ts", F.explode(column).alias("part"))
+    latest = written.groupBy("part").agg(F.max("run_ts").alias("run_ts"))
+    return {row.part: row.run_ts for row in latest.collect()}
 
 
 def shared_folder(spark: SparkSession) -> str:

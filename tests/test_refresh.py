@@ -192,3 +192,25 @@ def test_rows_that_were_never_stamped_are_not_touched(spark):
 def test_the_first_mark(spark):
     log = spark.createDataFrame([], schemas.RUN_LOG)
     assert changes.hwm_read(log).first().load_dttm == dt.date(1900, 1, 1)
+
+
+def test_a_delivery_that_changes_nothing_writes_nothing(spark, tmp_path):
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    before = refresh.star(), shown(refresh.report())
+    report = refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), SECOND)
+    assert shown(report) == before[1]
+    log = {r.run_ts: r for r in refresh.tables.log().collect()}
+    assert log[FIRST].dimensions == ["d_craftsman", "d_product", "d_customer"]
+    assert log[SECOND].dimensions == log[SECOND].order_months == []
+    assert affected(refresh, SECOND) == 0
+    # One moved customer: their table is written, and their months of the report.
+    moved = customers(spark, 2).withColumn("customer_address", F.lit("elsewhere"))
+    report = refresh.run(wide(spark, BATCH_1), moved, THIRD)
+    last = refresh.last_run()
+    assert last.dimensions == {"d_craftsman": FIRST, "d_product": FIRST, "d_customer": THIRD}
+    assert last.report_months == {"2023-01": THIRD, "2023-02": FIRST}
+    assert {r.customer_address for r in report.collect()} == {"Road 1", "elsewhere"}
+    assert [r.load_dttm for r in refresh.star().customer.orderBy("customer_id").collect()] == [
+        FIRST, THIRD,
+    ]
