@@ -424,7 +424,8 @@ FROM delta"""
         ),
         "delta": _with(f"SELECT {star_columns} FROM delta"),
         "delta_flagged": _with(
-            """SELECT order_id, d.customer_id, report_month, CAST(k.customer_id AS DOUBLE) AS exist_customer_id
+            """SELECT order_id, d.customer_id, report_month,
+  CAST(k.customer_id AS DOUBLE) AS exist_customer_id
 FROM delta d LEFT JOIN known k ON d.customer_id = k.customer_id"""
         ),
         "new_customers": _with(

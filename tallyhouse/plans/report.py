@@ -72,9 +72,9 @@ def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
     """The report without ids.
 
     The orders of a customer month are combined where they are read and folded in one
-    task, unless the customer is crowded. Whether there is such a customer is asked first, by a count of
-    orders per customer or of the given frame; there mostly is none, and then the plan has
-    one branch. Crowded customers are few enough to be broadcast: see `crowded_customers`.
+    task, unless the customer is crowded. Whether there is such a customer is asked first,
+    by a count of orders per customer or of the given frame; there mostly is none, and then
+    the plan has one branch. Crowded customers are few enough to be broadcast: see `crowded_customers`.
     """
     if crowded is None:
         crowded = crowded_customers(star.order)

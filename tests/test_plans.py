@@ -43,7 +43,9 @@ def test_the_report_reads_only_what_it_needs(plan_of):
 def test_the_report_combines_rows_and_shuffles_orders_once(plan_of):
     """After the exchange that makes the orders there is one, by customer and month."""
     lines = plan_of("mart_full_onepass").splitlines()
-    by_month = [i for i, s in enumerate(lines) if "hashpartitioning(customer_id" in s and "month" in s]
+    by_month = [
+        i for i, s in enumerate(lines) if "hashpartitioning(customer_id" in s and "month" in s
+    ]
     assert len(by_month) == 1
     assert "ObjectHashAggregate" in lines[by_month[0] + 1]
     assert "partial_percentile" in lines[by_month[0] + 1]
