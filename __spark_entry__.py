@@ -26,6 +26,14 @@ from tallyhouse.sources import schemas  # noqa: E402
 from tallyhouse.sources.marketplace import FIRST_RUN, SECOND_RUN, Marketplace  # noqa: E402
 from tallyhouse.sources.snapshots import SnapshotTables, shared_folder  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tallyhouse.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tallyhouse.llm"):
+        raise
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 MARK = dt.date(2001, 6, 15)
 
@@ -43,12 +51,17 @@ def queries() -> dict[str, Query]:
     """One entry per operator; each reads the tables of the given directory."""
     shown = {name: _comparable(query) for name, query in _QUERIES.items()}
     shown["conform_mart"] = _comparable(_conform_mart, nullable=[*_NULLABLE, "id"])
+    if corpus is not None:
+        shown |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     return shown
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL, over views of the same tables."""
-    return oracle.statements()
+    shown = oracle.statements()
+    if corpus is not None:
+        shown |= corpus.ORACLE_SQL
+    return shown
 
 
 def _comparable(query: Query, nullable: list[str] | None = None) -> Query:
