@@ -1,11 +1,12 @@
 """Severity of toxicity by cumulative-link ordinal regression.
 
-Features are the words of a text and their beginnings (4 to 8 bytes), as exact 64-bit hashes:
-present or not. All thresholds share one weight vector w: P(grade <= k) = sigmoid(t_k - w x), with
-t_0 < t_1 < t_2. The output is the expected severity, the sum over k of P(grade > k), from 0 to 3.
+Features are the words of a text and their beginnings (4 to 8 bytes), as exact 64-bit hashes; a
+feature that occurs n times has the value log2(1 + n). All thresholds share one weight vector w:
+P(grade <= k) = sigmoid(t_k - w x), with t_0 < t_1 < t_2, and w is not negative: the features are
+those that occur significantly more often in toxic rows. The output is the expected severity, the sum over k of P(grade > k), from 0 to 3.
 
 Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the toxic rows in which
-its share of toxic words lies; a clean row's grade is 0.
+its amount of toxic words lies; a clean row's grade is 0.
 
 The model is fitted on a bounded sample of labelled rows: at most `SAMPLE` rows of either label, in
 the order of a hash of doc_id, and at most `FEATURES` features. Everything is scored whole.
@@ -30,7 +31,7 @@ from tallyhouse.llm.words import mix, range_hashes, spans, text_bytes
 
 SAMPLE, FEATURES = 3000, 4000
 #: Expected severity from which on a document is rejected.
-REJECT = 1.0
+REJECT = 0.5
 #: A feature counts when it is in this many toxic rows and has this z-score of its log odds.
 LEAST_ROWS, LEAST_Z = 3, 3.5
 _PREFIXES = (4, 5, 6, 7, 8)
@@ -48,15 +49,17 @@ class Severity:
         """Expected severity of a text with these features."""
         if not len(self.thresholds):
             return 0.0
-        score = self.weights[self.known(found)].sum()
+        number, value = self.known(found)
+        score = float(self.weights[number] @ value)
         return float((1 / (1 + np.exp(self.thresholds - score))).sum())
 
-    def known(self, found: np.ndarray) -> np.ndarray:
-        """The numbers of those of the features that the model has."""
+    def known(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers and values of those of the features that the model has."""
         if not len(self.features) or not len(found):
-            return np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
         at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
-        return np.unique(at[self.features[at] == found])
+        number, count = np.unique(at[self.features[at] == found], return_counts=True)
+        return number, np.log2(1.0 + count)
 
 
 def features(text: str | None) -> np.ndarray:
@@ -123,59 +126,61 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [features(t) for t in batch.column("text").to_pylist()]
-            known = [sent.value.known(f) for f in found]
-            share = [
-                float(np.isin(f, sent.value.features).sum()) / max(len(f), 1) for f in found
-            ]
+            known = [sent.value.known(features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("toxic").cast(pa.int32()),
-                    pa.array(share, pa.float64()),
-                    pa.array(known, pa.list_(pa.int64())),
+                    pa.array([number for number, _ in known], pa.list_(pa.int64())),
+                    pa.array([value for _, value in known], pa.list_(pa.float64())),
                 ],
-                names=["doc_id", "toxic", "share", "known"],
+                names=["doc_id", "toxic", "known", "value"],
             )
 
     small = rows.select("doc_id", "toxic", "text").mapInArrow(
-        narrow, "doc_id long, toxic int, share double, known array<long>"
+        narrow, "doc_id long, toxic int, known array<long>, value array<double>"
     )
     return _fitted(model, sorted(small.collect()))
 
 
 def _fitted(model: Severity, rows: list) -> Severity:
     toxic = np.array([row["toxic"] for row in rows])
-    share = np.array([row["share"] for row in rows])
+    amount = np.array([sum(row["value"]) for row in rows])
     grade = np.zeros(len(rows), dtype=np.int64)
-    rank = np.argsort(np.argsort(share[toxic == 1], kind="stable"), kind="stable")
+    rank = np.argsort(np.argsort(amount[toxic == 1], kind="stable"), kind="stable")
     grade[toxic == 1] = 1 + rank * 3 // max(len(rank), 1)
-    grade[(toxic == 1) & (share == 0)] = 1
+    grade[(toxic == 1) & (amount == 0)] = 1
     owner = np.repeat(np.arange(len(rows)), [len(row["known"]) for row in rows])
     column = np.array([c for row in rows for c in row["known"]], dtype=np.int64)
-    weights, thresholds = fit_cumulative_link(owner, column, grade, len(model.features))
+    value = np.array([v for row in rows for v in row["value"]], dtype=np.float64)
+    weights, thresholds = fit_cumulative_link(owner, column, value, grade, len(model.features))
     return Severity(model.features, weights, thresholds)
 
 
 def fit_cumulative_link(
     owner: np.ndarray,
     column: np.ndarray,
+    value: np.ndarray,
     grade: np.ndarray,
     n_features: int,
     grades: int = 4,
     steps: int = 400,
     rate: float = 0.05,
-    penalty: float = 2e-4,
+    penalty: float = 1e-4,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood.
+    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood, where
+    the rarer of toxic (grade above 0) and clean rows count more, by the root of their ratio.
 
     Thresholds are the first one and positive gaps, so their order holds throughout."""
     n = len(grade)
+    toxic = grade > 0
+    share = np.sqrt(np.where(toxic, 1 / max(toxic.sum(), 1), 1 / max((~toxic).sum(), 1)))
+    share = share / share.sum()
     state = np.concatenate((np.zeros(n_features), [1.0], np.zeros(grades - 2)))
     first, second = np.zeros_like(state), np.zeros_like(state)
     for step in range(1, steps + 1):
         weights, raw = state[:n_features], state[n_features:]
-        score = np.bincount(owner, weights=weights[column], minlength=n)
+        score = np.bincount(owner, weights=weights[column] * value, minlength=n)
         thresholds = _ordered(raw)
         cdf = np.hstack(
             (np.zeros((n, 1)), 1 / (1 + np.exp(score[:, None] - thresholds)), np.ones((n, 1)))
@@ -183,22 +188,24 @@ def fit_cumulative_link(
         rows = np.arange(n)
         mass = np.maximum(cdf[rows, grade + 1] - cdf[rows, grade], 1e-9)
         slope = cdf * (1 - cdf)
-        by_score = (slope[rows, grade + 1] - slope[rows, grade]) / mass / n
+        by_score = (slope[rows, grade + 1] - slope[rows, grade]) / mass * share
         by_threshold = np.zeros((n, grades - 1))
         upper, lower = grade < grades - 1, grade > 0
-        by_threshold[rows[upper], grade[upper]] -= slope[rows, grade + 1][upper] / mass[upper] / n
-        by_threshold[rows[lower], grade[lower] - 1] += slope[rows, grade][lower] / mass[lower] / n
+        by_mass = share / mass
+        by_threshold[rows[upper], grade[upper]] -= (slope[rows, grade + 1] * by_mass)[upper]
+        by_threshold[rows[lower], grade[lower] - 1] += (slope[rows, grade] * by_mass)[lower]
         t_slope = by_threshold.sum(axis=0)
         raw_slope = np.array(
             [t_slope[k:].sum() * (1.0 if k == 0 else np.exp(raw[k])) for k in range(grades - 1)]
         )
-        w_slope = np.bincount(column, weights=by_score[owner], minlength=n_features)
+        w_slope = np.bincount(column, weights=by_score[owner] * value, minlength=n_features)
         slopes = np.concatenate((w_slope + penalty * weights, raw_slope))
         first = 0.9 * first + 0.1 * slopes
         second = 0.999 * second + 0.001 * slopes**2
         state = state - rate * (first / (1 - 0.9**step)) / (
             np.sqrt(second / (1 - 0.999**step)) + 1e-8
         )
+        state[:n_features] = np.maximum(state[:n_features], 0.0)
     return state[:n_features], _ordered(state[n_features:])
 
 
