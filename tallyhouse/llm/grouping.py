@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import cut
+from tallyhouse.llm.shared import checked, cut
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -68,17 +68,23 @@ def classes(
     of copies with as many pairs as rows; then, in buckets where more than one connected group
     is left, the pairs across these groups.
     """
-    hubs = cut(
-        buckets.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    shared = cut(
+        buckets.groupBy("key")
+        .agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.count("*").alias("n"))
+        .where("hub < top")
     )
-    shared = cut(buckets.join(hubs.select("key", "hub"), "key"))
+    crowded = cut(shared.where("n > 2").select("key", "hub"))
+    members = cut(buckets.join(checked(crowded), "key"))
     tried = cut(
-        shared.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        shared.where("n = 2")
+        .select(F.col("hub").alias("a"), F.col("top").alias("b"))
+        .union(members.where("id != hub").select("hub", "id"))
+        .distinct()
     )
     links = cut(verify(tried))
     label = components(links)
     placed = cut(
-        shared.select("key", "id")
+        members.select("key", "id")
         .join(label, "id", "left")
         .withColumn("class_id", F.coalesce("class_id", "id"))
     )

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.grouping import classes
-from tallyhouse.llm.shared import cut, row_groups
+from tallyhouse.llm.shared import checked, cut, row_groups
 from tallyhouse.llm.words import mix, sequence_hash, shingles, words
 
 BANDS, ROWS, SIMILARITY = 24, 4, 0.8
@@ -185,16 +185,17 @@ def near_classes(
     buckets = texts.where("doc_id is not null").select(
         F.col("doc_id").alias("id"), F.explode("bands").alias("key")
     )
-    crowded = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = cut(buckets.join(crowded, "key"))
-    needed = buckets.select(F.col("id").alias("doc_id")).distinct()
-    bodies = cut(
-        docs.select("doc_id", "text")
-        .join(needed, "doc_id")
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.max("text").alias("text"))
-    )
-    label = classes(buckets, lambda pairs: similar_pairs(pairs, bodies, similarity))
+    def verify(pairs: DataFrame) -> DataFrame:
+        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        bodies = (
+            docs.select("doc_id", "text")
+            .join(checked(ids), "doc_id")
+            .groupBy(F.col("doc_id").alias("id"))
+            .agg(F.max("text").alias("text"))
+        )
+        return similar_pairs(pairs, cut(bodies), similarity)
+
+    label = classes(buckets, verify)
     moved = cut(
         texts.join(label, F.col("doc_id") == F.col("id"), "left")
         .withColumn("class_id", F.coalesce("class_id", "doc_id"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm import (
     decontamination,
     exact_dedup,
+    line_dedup,
     mixing,
     near_dedup,
     toxicity,
@@ -18,6 +19,10 @@ from tallyhouse.llm.shared import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": _line_dedup,
     "op2_exact_dedup": _exact_dedup,
     "op3_toxicity": _toxicity,
     "op4_bagminhash": _near_dedup,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,20 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame as compressed Parquet in the checkpoint folder, for what holds texts."""
+    spark = frame.sparkSession
+    path = f"{checkpoint_folder(spark)}/stored-{uuid.uuid4()}"
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def checked(frame: DataFrame, most: int = 200_000) -> DataFrame:
+    """The frame with a hint to broadcast it if it has few rows. Its rows must be small, and it
+    must have been cut, as it is counted here. A larger frame is joined by a shuffle."""
+    return F.broadcast(frame) if frame.count() <= most else frame
+
+
 def row_groups(
     batches: Iterator[pa.RecordBatch], text_column: str, most_chars: int = 2_000_000
 ) -> Iterator[pa.RecordBatch]:
