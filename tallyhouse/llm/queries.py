@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm import (
     decontamination,
     exact_dedup,
+    html_extraction,
     line_dedup,
     mixing,
     near_dedup,
     toxicity,
+    warc,
 )
 from tallyhouse.llm.shared import table
 
@@ -40,6 +42,15 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
 
 
+def _html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extracted(pages, html_extraction.fit(pages))
+
+
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -52,6 +63,8 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": _toxicity,
     "op4_bagminhash": _near_dedup,
     "op5_mixing": _mixing,
+    "op6_html_extraction": _html_extraction,
+    "op7_warc": _warc,
     "op10_decontamination": _decontamination,
 }
 
@@ -110,4 +123,19 @@ ORACLE_SQL: dict[str, str] = {
                     AS BIGINT) AS taken
         FROM cut
     """,
+    "op7_warc": """
+        WITH sized AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM sized
+            WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+        FROM sized LEFT JOIN firsts USING (payload_digest)
+    """,
 }
