@@ -1,8 +1,8 @@
 """Fuzzy duplicates of lines, with DataFrame operations only.
 
 A line is normalised to its words (letters and digits, lower case, one space between them). Its
-SimHash has 124 bits, the majority of the hashes of its words bit by bit, in 4 blocks of 31 bits:
-two lines that differ in at most 3 bits agree in a whole block. Lines that share a block are
+SimHash has 124 bits, the weighted majority of the hashes of its words bit by bit, in 4 blocks of
+31 bits; longer words weigh more, or unrelated lines would meet by their short common words. Two lines that differ in at most 3 bits agree in a whole block. Lines that share a block are
 compared by edit similarity, 1 - distance / length of the longer, and of each connected group
 one occurrence in the whole table stays: the one with the smallest (doc_id, line number).
 
@@ -24,28 +24,30 @@ from tallyhouse.llm.shared import checked, cut, stored
 
 SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS = 4, 31
-#: Distance up to which the cheap comparison looks first.
-_NEAR = 16
+#: Distances up to which cheaper comparisons look first.
+_LIMITS = (16, 256)
 #: Three counters to a sum: bits i, i + 21 and i + 42 of a hash.
 _LANES, _LANE_BITS = 3, 21
 _LANE_MASK = sum(1 << (_LANE_BITS * lane) for lane in range(_LANES))
-_NOT_WORDS = r"[^\p{L}\p{N}]+"
+#: Weight of a word: the square of its letters beyond two, from 1 to this.
+_MOST_WEIGHT = 64
+# Runs of ASCII that is neither letter nor digit. Other characters count as letters.
+_NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """doc_id, line number from 0, normalised line, and two hashes of it, for lines with words."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    words = F.array_remove(F.split(F.lower("raw"), _NOT_WORDS), "")
-    line = F.array_join("words", " ")
+    line = F.trim(F.regexp_replace(F.lower("raw"), _NOT_WORDS, " "))
     return (
-        lines.select("doc_id", "line_no", words.alias("words"))
-        .where(F.size("words") > 0)
+        lines.select("doc_id", "line_no", line.alias("line"))
+        .where("line != ''")
         .select(
             "doc_id",
             "line_no",
-            F.xxhash64("words").alias("id"),
-            F.hash("words").alias("check"),
-            line.alias("line"),
+            F.xxhash64("line").alias("id"),
+            F.hash("line").alias("check"),
+            "line",
         )
     )
 
@@ -53,17 +55,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
 def simhashes(lines: DataFrame) -> DataFrame:
     """id and the SimHash of each distinct line (id, line), as an array of its blocks.
 
-    The words are counted where the lines were grouped; nothing but the lines is shuffled. A line of
+    The words are weighed where the lines were grouped; nothing but the lines is shuffled. A line of
     so many words that a counter overflows has zero bits there."""
     words = lines.select("id", F.explode(F.split("line", " ")).alias("word"))
-    hashed = words.select("id", F.xxhash64("word").alias("h0"), F.hash("word").alias("h1"))
-    hashed = hashed.select("id", "h0", F.xxhash64("h1", "h0").alias("h1"))
+    letters = F.length("word") - 2
+    weight = F.least(F.greatest(letters * letters, F.lit(1)), F.lit(_MOST_WEIGHT)).cast("long")
+    hashed = words.select(
+        "id", F.xxhash64("word").alias("h0"), F.hash("word").alias("h1"), weight.alias("w")
+    )
+    hashed = hashed.select("id", "h0", F.xxhash64("h1", "h0").alias("h1"), "w")
     sums = [
-        F.try_sum(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANE_MASK))).alias(f"{h}_{i}")
+        F.try_sum(
+            F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANE_MASK)) * F.col("w")
+        ).alias(f"{h}_{i}")
         for h in ("h0", "h1")
         for i in range(_LANE_BITS)
     ]
-    counted = hashed.groupBy("id").agg(F.count("*").alias("n"), *sums)
+    counted = hashed.groupBy("id").agg(F.sum("w").alias("n"), *sums)
     bits = [
         _majority(F.col(f"{h}_{i}"), lane)
         for h in ("h0", "h1")
@@ -90,15 +98,14 @@ def similar(left: str, right: str, similarity: float) -> Column:
     """Whether two columns of lines reach the edit similarity."""
     longer = F.greatest(F.length(left), F.length(right))
     most = F.floor(longer * (1 - similarity) + 1e-9).cast("int")
-    # The limit of `levenshtein` is a literal, so the full distance serves beyond the near one.
-    near = F.levenshtein(left, right, _NEAR)
     apart = F.abs(F.length(left) - F.length(right))
-    return (
-        F.when(apart > most, F.lit(False))
-        .when(near >= 0, near <= most)
-        .when(most <= _NEAR, F.lit(False))
-        .otherwise(F.levenshtein(left, right) <= most)
-    )
+    reached = F.when(apart > most, F.lit(False))
+    # The limit of `levenshtein` is a literal, so the full distance serves beyond the last one.
+    for limit in _LIMITS:
+        distance = F.levenshtein(left, right, limit)
+        reached = reached.when(distance >= 0, distance <= most)
+        reached = reached.when(most <= limit, F.lit(False))
+    return reached.otherwise(F.levenshtein(left, right) <= most)
 
 
 def line_classes(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -13,6 +13,7 @@ from tallyhouse.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    secrets,
     toxicity,
     warc,
 )
@@ -51,6 +52,10 @@ def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": _mixing,
     "op6_html_extraction": _html_extraction,
     "op7_warc": _warc,
+    "op8_secrets": _secrets,
     "op10_decontamination": _decontamination,
 }
 
