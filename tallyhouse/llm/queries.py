@@ -10,6 +10,7 @@ from tallyhouse.llm import (
     decontamination,
     exact_dedup,
     html_extraction,
+    language,
     line_dedup,
     mixing,
     near_dedup,
@@ -56,6 +57,11 @@ def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identified(docs, table(spark, sf_dir, "pages"), language.fit(docs))
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_html_extraction": _html_extraction,
     "op7_warc": _warc,
     "op8_secrets": _secrets,
+    "op9_language_id": _language,
     "op10_decontamination": _decontamination,
 }
 
