@@ -112,7 +112,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> TrigramModel:
             for lang, counted in seen.items():
                 used = np.flatnonzero(counted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(used)), pa.array(used), pa.array(counted[used])],
+                    [
+                        pa.array([lang] * len(used), pa.string()),
+                        pa.array(used, pa.int64()),
+                        pa.array(counted[used], pa.int64()),
+                    ],
                     names=["lang", "cell", "n"],
                 )
 

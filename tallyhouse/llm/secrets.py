@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import row_groups
@@ -78,7 +78,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     for kind, pattern in _PATTERNS:
         for match in pattern.finditer(text or ""):
             found.append((*match.span(pattern.groups), kind))
-    found.sort(key=lambda c: (c[0], -c[1], c[2] == "run", c[2]))
+    found.sort(key=lambda c: (c[0], -c[1], c[2] not in FORMATS, c[2] == "run", c[2]))
     out: list[tuple[int, int, str]] = []
     for start, end, kind in found:
         if not out or start >= out[-1][1]:
@@ -290,25 +290,26 @@ def masked(docs: DataFrame, limit: float = LIMIT, mark: str = "[secret]") -> Dat
     places = (
         scanned(docs, limit)
         .where("secret")
-        .groupBy(F.col("doc_id").alias("found_id"))
+        .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("places"))
     )
-    joined = docs.join(places, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-    walked = F.aggregate(
-        "places",
-        start,
-        lambda so_far, place: F.struct(
-            F.concat(
-                so_far["done"],
-                F.substring(F.col("text"), so_far["at"] + 1, place["start"] - so_far["at"]),
-                F.lit(mark),
-            ).alias("done"),
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    joined = rows.join(places, F.col("row.doc_id").eqNullSafe(places["doc_id"]), "left")
+    body = F.col("row.text")
+    begin = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(so_far: Column, place: Column) -> Column:
+        between = F.substring(body, so_far["at"] + 1, place["start"] - so_far["at"])
+        return F.struct(
+            F.concat(so_far["done"], between, F.lit(mark)).alias("done"),
             (place["start"] + place["length"]).alias("at"),
-        ),
-        lambda end: F.concat(
-            end["done"], F.substring(F.col("text"), end["at"] + 1, F.length("text"))
-        ),
+        )
+
+    walked = F.aggregate("places", begin, step)
+    whole = F.concat(
+        walked["done"], F.substring(body, walked["at"] + 1, F.length(body))
+    )
+    text = F.when(F.col("places").isNull(), body).otherwise(whole)
+    return joined.select(
+        *[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
     )
-    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(walked)
-    return joined.withColumn("text", text).select(docs.columns)
