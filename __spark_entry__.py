@@ -24,7 +24,7 @@ from tallyhouse.plans import report, star_load  # noqa: E402
 from tallyhouse.plans.refresh import Refresh  # noqa: E402
 from tallyhouse.sources import schemas  # noqa: E402
 from tallyhouse.sources.marketplace import FIRST_RUN, SECOND_RUN, Marketplace  # noqa: E402
-from tallyhouse.sources.snapshots import SnapshotTables, shared_folder  # noqa: E402
+from tallyhouse.sources.snapshots import shared_folder  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -49,13 +49,19 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each reads the tables of the given directory."""
-    shown = {name: _comparable(query) for name, query in _QUERIES.items()}
-    shown["conform_mart"] = _comparable(_conform_mart, nullable=[*_NULLABLE, "id"])
+    shown = report_queries()
     if corpus is not None:
         shown |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     return shown
 
 
+def report_queries() -> dict[str, Query]:
+    """The queries of the customer report, its star and its refresh."""
+    shown = {name: _comparable(query) for name, query in _QUERIES.items()}
+    shown["conform_mart"] = _comparable(_conform_mart, nullable=[*_NULLABLE, "id"])
+    return shown
+
+
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL, over views of the same tables."""
     shown = oracle.statements()
@@ -88,12 +94,6 @@ def _shown(field: T.StructField, nullable: list[str]) -> Column:
     return column.alias(field.name)
 
 
-def _stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a table that an earlier job left behind."""
-    spark = frame.sparkSession
-    return SnapshotTables(spark, shared_folder(spark)).write(name, frame, FIRST_RUN)
-
-
 # Star: distinct inputs, loads, joins
 
 
@@ -151,19 +151,13 @@ def _mart_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.conform_report(report.ranked_report_rows(Marketplace(spark, sf_dir).star()))
 
 
-def _report_rows(market: Marketplace, stored: Star) -> DataFrame:
-    crowded = report.crowded_customers(market.lines_by_customer())
-    return report.report_rows(stored, crowded)
-
-
 def _mart_full_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    market = Marketplace(spark, sf_dir)
-    return report.conform_report(_report_rows(market, market.star()))
+    return report.conform_report(report.report_rows(Marketplace(spark, sf_dir).star()))
 
 
 def _conform_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    market = Marketplace(spark, sf_dir)
-    return conform(_report_rows(market, market.star()), schemas.CUSTOMER_REPORT)
+    rows = report.report_rows(Marketplace(spark, sf_dir).star())
+    return conform(rows, schemas.CUSTOMER_REPORT)
 
 
 def _mart_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,11 +243,8 @@ def _merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = star.distinct_orders(market.first_delivery().craft_products_orders)
     return star_load.merge(
         star_load.ORDER,
-        _stored(_loaded(star_load.ORDER, before), "f_order"),
-        _stored(
-            star.distinct_orders(market.second_delivery().craft_products_orders),
-            "f_order_source",
-        ),
+        _loaded(star_load.ORDER, before),
+        star.distinct_orders(market.second_delivery().craft_products_orders),
         SECOND_RUN,
     )
 
@@ -294,25 +285,24 @@ def _earlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         star_load.source_rows(star_load.ORDER, first.craft_products_orders, first.customers),
     )
     stored = market.star()
-    rows = _report_rows(
-        market,
-        Star(
-            stored.craftsman,
-            stored.product,
-            star_load.load(star_load.CUSTOMER, first.customers),
-            _stored(orders, star_load.ORDER.name),
-        ),
-    )
-    return _stored(report.conform_report(rows), "customer_report_datamart")
+    customers = star_load.load(star_load.CUSTOMER, first.customers)
+    rows = report.report_rows(Star(stored.craftsman, stored.product, customers, orders))
+    return report.conform_report(rows)
+
+
+def _known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers that the earlier report has: those of the first delivery's orders."""
+    first = Marketplace(spark, sf_dir).first_delivery()
+    bought = first.craft_products_orders.select("customer_id").distinct()
+    return first.customers.select("customer_id").join(bought, "customer_id", "left_semi")
 
 
 def _delta_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _delta(spark, sf_dir).select("order_id", "customer_id", "report_month")
-    return changes.flag_known(rows, _earlier_report(spark, sf_dir))
+    return changes.flag_known(_delta(spark, sf_dir), _known_customers(spark, sf_dir))
 
 
 def _new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.new_customers(_delta(spark, sf_dir), _earlier_report(spark, sf_dir))
+    return changes.new_customers(_delta(spark, sf_dir), _known_customers(spark, sf_dir))
 
 
 def _affected_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,9 +318,9 @@ def _affected_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     market = Marketplace(spark, sf_dir)
     stored = market.star()
-    newcomers = _stored(_new_customers(spark, sf_dir), "new_customers")
+    newcomers = _new_customers(spark, sf_dir)
     fresh = replace(stored, order=changes.orders_of(stored.order, newcomers))
-    return report.conform_report(_report_rows(market, fresh))
+    return report.conform_report(report.report_rows(fresh))
 
 
 def _mart_update(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ customers AS (
 ),
 order_keys AS (
   SELECT l_partkey AS product_id, l_suppkey AS craftsman_id, o_custkey AS customer_id,
-         CAST(o_orderdate AS DATE) AS order_created_date,
+         CAST(o_orderdate AS DATE) AS order_created_date, min(l_orderkey) AS first_order,
          max(CASE WHEN o_orderstatus = 'F' THEN 3
                   WHEN o_orderstatus = 'P' AND l_linestatus = 'F' THEN 2
                   WHEN o_orderstatus = 'P' AND l_linestatus = 'O' THEN 1
@@ -46,8 +46,8 @@ order_keys AS (
   GROUP BY 1, 2, 3, 4
 ),
 all_orders AS (
-  SELECT CAST('0x' || substr(md5(concat_ws('|', product_id, craftsman_id, customer_id,
-                                            order_created_date)), 1, 15) AS BIGINT) AS order_id,
+  SELECT first_order * 1024 + row_number() OVER (PARTITION BY first_order
+                                                 ORDER BY product_id, craftsman_id) AS order_id,
          customer_id AS order_customer_id, product_id AS order_product_id,
          craftsman_id AS order_craftsman_id, order_created_date, order_completion_date,
          CASE status_rank WHEN 3 THEN 'done' WHEN 2 THEN 'delivery'
@@ -424,9 +424,9 @@ FROM delta"""
         ),
         "delta": _with(f"SELECT {star_columns} FROM delta"),
         "delta_flagged": _with(
-            """SELECT order_id, d.customer_id, report_month,
+            f"""SELECT {star_columns.replace("customer_id", "d.customer_id", 1)},
   CAST(k.customer_id AS DOUBLE) AS exist_customer_id
-FROM delta d LEFT JOIN known k ON d.customer_id = k.customer_id"""
+FROM delta d LEFT JOIN (SELECT customer_id FROM known) k ON d.customer_id = k.customer_id"""
         ),
         "new_customers": _with(
             "SELECT customer_id FROM affected WHERE customer_id NOT IN (FROM known)"

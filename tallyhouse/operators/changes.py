@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,37 +52,49 @@ def touched(table: DataFrame, mark: dt.datetime | dt.date) -> DataFrame:
     return table.where(F.col("load_dttm") > _bound(mark))
 
 
-def delta(star: Star, mark: dt.datetime | dt.date) -> DataFrame:
-    """Star rows of which the order or one of its dimensions was stamped after the mark.
-
-    A condition over four tables can only be checked after joining all of them. So the
-    orders are first cut down by the keys touched in each table, which are few in a
-    regular run, and only what is left is joined to the full dimensions."""
-    return star_join(
-        Star(star.craftsman, star.product, star.customer, touched_orders(star, mark))
-    )
-
-
-def touched_orders(star: Star, mark: dt.datetime | dt.date) -> DataFrame:
-    """Orders that were stamped after the mark, or whose dimensions were."""
-    orders = star.order
-    reached = F.col("load_dttm") > _bound(mark)
-    for name, dimension in (
-        ("craftsman", star.craftsman),
-        ("customer", star.customer),
-        ("product", star.product),
-    ):
-        keys = touched(dimension, mark).select(
+DIMENSIONS = ("craftsman", "customer", "product")
+
+
+def delta(
+    star: Star,
+    mark: dt.datetime | dt.date,
+    recent: DataFrame | None = None,
+    among: Sequence[str] = DIMENSIONS,
+) -> DataFrame:
+    """Star rows of which the order or one of its dimensions was stamped after the mark."""
+    reached = touched_orders(star, mark, recent, among)
+    return star_join(Star(star.craftsman, star.product, star.customer, reached))
+
+
+def touched_orders(
+    star: Star,
+    mark: dt.datetime | dt.date,
+    recent: DataFrame | None = None,
+    among: Sequence[str] = DIMENSIONS,
+) -> DataFrame:
+    """Orders that were stamped after the mark, or whose dimensions were.
+
+    The first are a filter on the stamp alone, which reaches the scan; `recent` may be the part
+    of the orders that can have such stamps. The others are found by the keys touched in the
+    dimensions `among` which there can be any, few in a regular run."""
+    stamped = F.col("load_dttm") > _bound(mark)
+    out = (star.order if recent is None else recent).where(stamped)
+    if not among:
+        return out
+    rest = star.order.where(~F.coalesce(stamped, F.lit(False)))
+    for name in among:
+        keys = touched(getattr(star, name), mark).select(
             F.col(f"{name}_id").alias(f"order_{name}_id"), F.lit(True).alias(f"__{name}")
         )
-        orders = orders.join(keys, f"order_{name}_id", "left")
-        reached = reached | F.col(f"__{name}").isNotNull()
-    return orders.where(reached).select(*star.order.columns)
+        rest = rest.join(keys, f"order_{name}_id", "left")
+    reached = F.coalesce(*[F.col(f"__{name}") for name in among])
+    return out.unionByName(rest.where(reached).select(*star.order.columns))
 
 
 def flag_known(delta_rows: DataFrame, report: DataFrame) -> DataFrame:
-    """Mark the delta rows of customers that the report already has. The report has a row
-    per month, so its customers are made distinct first: no delta row is repeated."""
+    """The delta rows, and the id of those of their customers that the report already has. The
+    report has a row per month, so its customers are made distinct first: no delta row is
+    repeated."""
     known = report.select(F.col("customer_id").cast("bigint")).distinct()
     return delta_rows.join(
         known.withColumn("exist_customer_id", F.col("customer_id")), "customer_id", "left"

@@ -29,7 +29,7 @@ from tallyhouse.operators.checks import (
 )
 from tallyhouse.operators.star import Star
 from tallyhouse.operators.upsert import changed_rows, latest_per_key, overwrite, unmatched
-from tallyhouse.plans.report import CROWD, conform_report, report_rows, with_report_ids
+from tallyhouse.plans.report import conform_report, report_rows, with_report_ids
 from tallyhouse.plans.star_load import (
     CRAFTSMAN,
     CUSTOMER,
@@ -75,7 +75,6 @@ class Refresh:
     batch: right, but wide. `only_if_changed` leaves rows that came unchanged untouched.
     `keep_latest` takes the latest of several source rows for one craftsman, where the
     default is to refuse them. `wide_keys` is for more customers than an INT can number.
-    Customers with more than `crowd` orders are not folded in one task.
     """
 
     spark: SparkSession
@@ -84,7 +83,6 @@ class Refresh:
     only_if_changed: bool = False
     keep_latest: bool = False
     wide_keys: bool = False
-    crowd: int = CROWD
 
     @property
     def tables(self) -> SnapshotTables:
@@ -110,7 +108,9 @@ class Refresh:
 
         mark = last.mark_ts if self.exact_mark else last.load_dttm
         affected = self.tables.write(
-            "affected_customers", affected_summary(delta(star, mark)), run_ts
+            "affected_customers",
+            affected_summary(self._delta(star, mark, last, written, run_ts)),
+            run_ts,
         )
         report_months, last_id = self._refresh_report(star, affected, last, run_ts)
         self.tables.append_log(
@@ -265,6 +265,30 @@ class Refresh:
         ]
         return Star(craftsman, product, customer, order)
 
+    def _delta(
+        self,
+        star: Star,
+        mark: dt.datetime | dt.date,
+        last: LastRun,
+        written: dict[StarTable, list[str]],
+        run_ts: dt.datetime,
+    ) -> DataFrame:
+        """The star rows touched since the mark. A stamp is the time of the run that wrote the
+        row, so months and dimensions that no later run wrote cannot have been touched: they
+        are not read for it."""
+        after = mark if isinstance(mark, dt.datetime) else dt.datetime.combine(mark, dt.time())
+        parts = {table: dict.fromkeys(written[table], run_ts) for table in STAR_TABLES}
+        months = last.order_months | parts[ORDER]
+        recent = {month: ts for month, ts in months.items() if ts > after}
+        fresh = last.dimensions | parts[CRAFTSMAN] | parts[PRODUCT] | parts[CUSTOMER]
+        among = [
+            name
+            for name, table in (("craftsman", CRAFTSMAN), ("customer", CUSTOMER), ("product", PRODUCT))
+            if table.name in fresh and fresh[table.name] > after
+        ]
+        orders = self.tables.read_months(ORDER.name, ORDER.schema, recent)
+        return delta(star, mark, orders, among)
+
     def _refresh_report(
         self, star: Star, affected: DataFrame, last: LastRun, run_ts: dt.datetime
     ) -> tuple[list[str], int]:
@@ -275,9 +299,7 @@ class Refresh:
         history = replace(star, order=orders_of(star.order, affected))
         rows = self.tables.write(
             "report_rows",
-            conform_report(
-                report_rows(history, self._crowded(affected, known)), self.wide_keys
-            ),
+            conform_report(report_rows(history), self.wide_keys),
             run_ts,
         )
         changes = self.tables.write(
@@ -302,19 +324,6 @@ class Refresh:
         last_id = written.agg(F.max("id")).first()[0]
         return months, max(last_id, last.last_report_id)
 
-    def _crowded(self, affected: DataFrame, known: DataFrame) -> DataFrame:
-        """Affected customers who may have too many orders for one task: those that the
-        report counted so far and those in the delta, without another pass over all orders."""
-        counted = known.groupBy("customer_id").agg(
-            F.sum("customer_order_count").alias("counted")
-        )
-        orders = F.coalesce(F.col("counted"), F.lit(0)) + F.col("delta_rows")
-        return (
-            affected.join(counted, "customer_id", "left")
-            .where(orders > self.crowd)
-            .select("customer_id")
-        )
-
     def _report_schema(self) -> T.StructType:
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT
 

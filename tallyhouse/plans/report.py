@@ -1,14 +1,11 @@
 """The customer x month report.
 
-`report_rows` is the plan to use: it shuffles every order once, except those of customers
-who have too many to fold in one task. `ranked_report_rows` computes the same from separate
-aggregates and rankings, and reads the star once for each.
+`report_rows` is the plan to use: one aggregation by customer and month. `ranked_report_rows`
+computes the same from an aggregate and two rankings over the same tally of equal orders.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +19,8 @@ from tallyhouse.sources.schemas import CUSTOMER_REPORT, REPORT_COLUMNS, widened
 _GROUP = ["customer_id", "month"]
 _NAMES = ["product_name", "craftsman_name"]
 _MOST_POPULAR = ["customer_most_popular_product_per_month", "customer_most_popular_craftsman"]
-_STATUS, _PRODUCT, _CRAFTSMAN = 0, 1, 2
-
-# How many orders of one customer a task may fold: the states for as many different names
-# stay below some 100 MB.
-CROWD = 500_000
+# Put before a name that is there, so that a missing name is counted like any other.
+_KNOWN = "+"
 
 
 def order_lines(star: Star) -> DataFrame:
@@ -59,34 +53,9 @@ def order_lines(star: Star) -> DataFrame:
     )
 
 
-def crowded_customers(orders: DataFrame, limit: int = CROWD) -> DataFrame:
-    """Customers with more orders than one task should fold. There are at most as many as
-    the limit goes into the number of orders."""
-    counted = orders.groupBy("order_customer_id").agg(F.count(F.lit(1)).alias("orders"))
-    return counted.where(F.col("orders") > limit).select(
-        F.col("order_customer_id").alias("customer_id")
-    )
-
-
-def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
-    """The report without ids.
-
-    The orders of a customer month are combined where they are read and folded in one
-    task, unless the customer is crowded. Whether there is such a customer is asked first,
-    by a count of orders per customer or of the given frame; there mostly is none, and then
-    the plan has one branch. Crowded customers are few enough to be broadcast: see `crowded_customers`.
-    """
-    if crowded is None:
-        crowded = crowded_customers(star.order)
-    if crowded.isEmpty():
-        folded = fold_together(order_lines(star))
-    else:
-        crowd = F.broadcast(crowded.select(F.col("customer_id").alias("order_customer_id")))
-        few = star.order.join(crowd, "order_customer_id", "left_anti")
-        many = star.order.join(crowd, "order_customer_id", "left_semi")
-        folded = fold_together(order_lines(replace(star, order=few))).unionByName(
-            fold_tallies(order_lines(replace(star, order=many)))
-        )
+def report_rows(star: Star) -> DataFrame:
+    """The report without ids, by one plan for groups of every size."""
+    folded = fold(order_lines(star))
     # A month that is not known has no most popular product or craftsman.
     known = F.col("month").isNotNull()
     return _described(
@@ -95,74 +64,65 @@ def report_rows(star: Star, crowded: DataFrame | None = None) -> DataFrame:
     )
 
 
-def fold_together(lines: DataFrame) -> DataFrame:
-    """All measures per customer and month, from one shuffle by them. Every task combines
-    its own rows first. The states of the median and of the most frequent names hold a
-    count per different value, so they can grow with the orders of the group."""
+def fold(lines: DataFrame) -> DataFrame:
+    """All measures per customer and month, from one shuffle by them.
+
+    Every task that reads orders combines its own, so the orders of a customer month with a
+    large share of them are folded where they are read, by as many tasks as read them, and one
+    state per task and group is shuffled. The states hold a count per different name and
+    number of days: what meets in one task grows with the different names of a group, not
+    with its orders."""
     return lines.groupBy(*_GROUP).agg(
         *_line_measures(),
         *[
-            F.mode(name, deterministic=True).alias(most_popular)
+            _mode(name).alias(most_popular)
             for name, most_popular in zip(_NAMES, _MOST_POPULAR)
         ],
     )
 
 
-def fold_tallies(lines: DataFrame) -> DataFrame:
-    """The same measures in two levels, for groups of any size.
-
-    First every order is counted three times: by status and days, by product name and by
-    craftsman name, each within its customer and month. A customer month with a large
-    share of all orders is thereby spread over as many tasks as it has different labels,
-    and rows are combined before the shuffle. Then the counts are folded per customer and
-    month: sums of sums, the exact median of days weighted by their counts, and the label
-    with the greatest count."""
-    product, craftsman = _NAMES
-    tallies = (
-        lines.select(
-            *_GROUP,
-            F.inline(
-                F.array(
-                    _tally(_STATUS, "order_status", F.col("days"), F.col("product_price")),
-                    _tally(_PRODUCT, product),
-                    _tally(_CRAFTSMAN, craftsman),
-                )
-            ),
-        )
-        .groupBy(*_GROUP, "kind", "label", "days")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            F.sum("price").alias("total"),
-            F.count("price").alias("priced"),
-        )
-    )
-    orders = F.when(F.col("kind") == _STATUS, F.col("orders")).otherwise(0)
-    return tallies.groupBy(*_GROUP).agg(
-        *_measures(
-            total=F.sum("total"),
-            priced=F.sum("priced"),
-            orders=F.sum(orders),
-            median=F.percentile("days", 0.5, orders),
-            statuses=c.status_counts(F.col("label"), orders),
-        ),
-        *[
-            _most_frequent(kind).alias(most_popular)
-            for kind, most_popular in zip((_PRODUCT, _CRAFTSMAN), _MOST_POPULAR)
-        ],
-    )
+def _mode(name: str) -> Column:
+    """The most frequent name; ties go to the smaller one. A missing name counts as a name,
+    before all others, where Spark's mode would leave it out."""
+    told = F.coalesce(F.concat(F.lit(_KNOWN), F.col(name)), F.lit(""))
+    found = F.mode(told, deterministic=True)
+    return F.when(found != "", F.substr(found, F.lit(len(_KNOWN) + 1)))
 
 
 def ranked_report_rows(star: Star) -> DataFrame:
-    """The report without ids, from one aggregate and two rankings joined to it."""
-    lines = order_lines(star)
+    """The report without ids, from one aggregate and two rankings joined to it.
+
+    All three start from the tally of equal orders. Its rows are spread by all of their
+    columns, which no branch can leave out, so Spark makes them once for the three."""
+    tally = tallied(order_lines(star))
     rows = (
-        monthly_measures(lines)
-        .join(top_products(lines), _GROUP, "left")
-        .join(top_craftsmen(lines), _GROUP, "left")
+        tallied_measures(tally)
+        .join(top1(tally, _GROUP, _NAMES[0], _MOST_POPULAR[0], "orders"), _GROUP, "left")
+        .join(top1(tally, _GROUP, _NAMES[1], _MOST_POPULAR[1], "orders"), _GROUP, "left")
     )
     return _described(rows, star.customer)
 
 
+def tallied(lines: DataFrame) -> DataFrame:
+    """The different orders of each customer month, and how many there are of each."""
+    return lines.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def tallied_measures(tally: DataFrame) -> DataFrame:
+    """Money, counts and median per customer and month of tallied orders."""
+    orders = F.col("orders")
+    priced = F.when(F.col("product_price").isNotNull(), orders).otherwise(0)
+    return tally.groupBy(*_GROUP).agg(
+        *_measures(
+            total=F.sum(F.col("product_price").cast("long") * orders),
+            priced=F.sum(priced),
+            orders=F.sum(orders),
+            median=F.percentile("days", 0.5, orders),
+            statuses=c.status_counts(F.col("order_status"), orders),
+        )
+    )
+
+
 def monthly_measures(lines: DataFrame) -> DataFrame:
     """Money, counts and median per customer and month. All of them are combined before
     the shuffle; the median's state is a count per number of days."""
@@ -197,23 +157,6 @@ def with_report_ids(rows: DataFrame, after: int = 0, wide_keys: bool = False) ->
     )
 
 
-def _tally(
-    kind: int, label: str, days: Column | None = None, price: Column | None = None
-) -> Column:
-    nothing = F.lit(None).cast("int")
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        F.col(label).alias("label"),
-        (nothing if days is None else days).alias("days"),
-        (nothing if price is None else price).alias("price"),
-    )
-
-
-def _most_frequent(kind: int) -> Column:
-    ranked = F.struct((-F.col("orders")).alias("rank"), F.col("label").alias("label"))
-    return F.min(F.when(F.col("kind") == kind, ranked))["label"]
-
-
 def _line_measures() -> list[Column]:
     return _measures(
         total=F.sum("product_price"),

@@ -2,8 +2,9 @@
 
 Suppliers are craftsmen, parts are products, customers are customers. Lines that share
 (product, craftsman, customer, creation day) are one order, so that the star's natural
-keys are unique. Its number is a 60-bit hash of that key: every row gets it on its own,
-where numbering the lines of an order would put all of them into one task.
+keys are unique. Its number is made of the smallest source order it has lines of and its rank
+among the keys of that one, so no two keys can share a number, whatever the size, and a key has
+the same number in every delivery.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import (
@@ -39,6 +40,8 @@ FIRST_RUN = dt.datetime(2002, 1, 1, 12)
 SECOND_RUN = dt.datetime(2002, 2, 1, 12)
 
 _STATUSES = [STATUS_CREATED, STATUS_IN_PROGRESS, STATUS_DELIVERY, STATUS_DONE]
+# Numbers of orders that begin with one source order.
+_ORDER_ROOM = 1024
 _NATURAL_KEY = ["product_id", "craftsman_id", "customer_id", "order_created_date"]
 
 
@@ -98,15 +101,6 @@ class Marketplace:
     def orders(self) -> DataFrame:
         return self._named(self._orders())
 
-    def lines_by_customer(self) -> DataFrame:
-        """A row per line with the order's customer. An order has one line or more, so the
-        lines bound a customer's orders from above, without making the orders."""
-        lines = self.table("lineitem").select("l_orderkey")
-        heads = self.table("orders").select("o_orderkey", "o_custkey")
-        return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("order_customer_id")
-        )
-
     def craft_products_orders(self, delivered_at: dt.datetime = FIRST_RUN) -> DataFrame:
         """The wide source: every order with its craftsman and its product."""
         return self._widen(self.orders(), delivered_at)
@@ -237,7 +231,9 @@ class Marketplace:
     def _orders(self) -> DataFrame:
         """One row per natural key: the furthest status and the latest completion of its
         lines. Only numbers and dates are aggregated, so the rows of one key are combined
-        by hash before the shuffle."""
+        by hash before the shuffle. Keys of one first order share customer and day, and there
+        are no more of them than that order has lines; more than a number has room for are an
+        error."""
         head, line = F.col("o_orderstatus"), F.col("l_linestatus")
         status_rank = (
             F.when(head == "F", _STATUSES.index(STATUS_DONE))
@@ -246,7 +242,10 @@ class Marketplace:
             .when((head == "O") & (line == "O"), _STATUSES.index(STATUS_CREATED))
         )
         still_open = (line == "O") & (head != "F")
-        return (
+        among = Window.partitionBy("first_order").orderBy("product_id", "craftsman_id")
+        rank = F.row_number().over(among)
+        too_many = F.raise_error("an order of more lines than its number has room for")
+        keyed = (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy(
@@ -256,18 +255,23 @@ class Marketplace:
                 F.col("o_orderdate").cast("date").alias("order_created_date"),
             )
             .agg(
+                F.min("l_orderkey").alias("first_order"),
                 F.max(status_rank).alias("status_rank"),
                 F.max(F.when(~still_open, F.col("l_shipdate").cast("date"))).alias(
                     "order_completion_date"
                 ),
             )
         )
+        return keyed.withColumn(
+            "order_id",
+            F.col("first_order") * _ORDER_ROOM
+            + F.when(rank < _ORDER_ROOM, rank).otherwise(too_many.cast("int")),
+        ).drop("first_order")
 
     def _named(self, orders: DataFrame) -> DataFrame:
         statuses = F.array(*[F.lit(status) for status in _STATUSES])
-        digest = F.md5(F.concat_ws("|", *_NATURAL_KEY).cast("binary"))
         return orders.select(
-            F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("order_id"),
+            "order_id",
             *_NATURAL_KEY,
             "order_completion_date",
             F.get(statuses, F.col("status_rank")).alias("order_status"),

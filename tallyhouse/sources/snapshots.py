@@ -13,7 +13,6 @@ repeating the run overwrites what it had left.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +24,6 @@ from tallyhouse.sources.schemas import RUN_LOG
 _LOG = "run_log"
 _PART = "month_part"
 _NO_MONTH = "none"
-_local_folders: list[tempfile.TemporaryDirectory] = []
 
 # Which run wrote each month of a table, or each table.
 Parts = dict[str, dt.datetime]
@@ -70,6 +68,14 @@ class SnapshotTables:
         ]
         return self._spark.read.schema(schema).parquet(*paths)
 
+    def remove(self, name: str, run_ts: dt.datetime, months: list[str] | None = None) -> None:
+        """Delete what a run wrote of a table, or some of its months."""
+        path = self._path(name, run_ts)
+        for each in [path] if months is None else [f"{path}/{_PART}={m}" for m in months]:
+            target = self._spark._jvm.org.apache.hadoop.fs.Path(each)
+            system = target.getFileSystem(self._spark._jsc.hadoopConfiguration())
+            system.delete(target, True)
+
     def log(self) -> DataFrame:
         """The run log, which is created empty if it does not exist."""
         path = f"{self._root}/{_LOG}"
@@ -97,16 +103,11 @@ def latest_parts(log: DataFrame, column: str) -> Parts:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the session names in `spark.checkpoint.dir`.
-
-    Where that is unset a local session gets a temporary folder; a cluster session has to
-    set it, since executors and a restarted driver could not read each other's disks."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _local_folders.append(tempfile.TemporaryDirectory(prefix="tallyhouse-"))
-        shared = _local_folders[-1].name
+    """A new folder below the one that the session names: `spark.checkpoint.dir`, or else its
+    warehouse, which executors and a restarted driver share as well."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/tallyhouse/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 

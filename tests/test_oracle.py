@@ -10,10 +10,11 @@ import pytest
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
+import oracle  # noqa: E402
 
 DATA = pathlib.Path(contract.SMOKE_DIR)
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = contract.report_queries()
+SQL = oracle.statements()
 
 # Queries for which an empty result would check nothing.
 MAY_BE_EMPTY: set[str] = set()

@@ -11,14 +11,14 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
 
-LAZY = sorted(contract.queries().keys() - {"mart_incremental", "mart_incremental_exact"})
+LAZY = sorted(contract.report_queries().keys() - {"mart_incremental", "mart_incremental_exact"})
 
 
 @pytest.fixture(scope="module")
 def plan_of(spark):
     @functools.cache
     def plan(name):
-        frame = contract.queries()[name](spark, contract.SMOKE_DIR)
+        frame = contract.report_queries()[name](spark, contract.SMOKE_DIR)
         return frame._jdf.queryExecution().executedPlan().toString()
 
     return plan

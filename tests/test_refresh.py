@@ -125,13 +125,6 @@ def test_orders_without_a_day(spark, tmp_path):
     assert report[0].customer_most_popular_craftsman is None
 
 
-def test_crowded_customers_do_not_change_the_result(spark, tmp_path):
-    refresh = Refresh(spark, str(tmp_path), crowd=2)
-    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
-    report = refresh.run(wide(spark, BATCH_2), customers(spark, 3), SECOND)
-    assert shown(report) == AFTER_2
-
-
 def test_wide_keys(spark, tmp_path):
     far = 2**40
     moved = [(o, c + far, *rest) for o, c, *rest in BATCH_1]

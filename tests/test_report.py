@@ -133,19 +133,40 @@ def expected(star):
     return by_hand(star)
 
 
-def test_folded_together(star, expected):
+def test_folded(star, expected):
     assert collected(report.report_rows(star)) == expected
 
 
-def test_crowded_customers_are_split(star, expected):
-    crowded = report.crowded_customers(star.order, limit=500)
-    assert [r.customer_id for r in crowded.collect()] == [1]
-    assert collected(report.report_rows(star, crowded)) == expected
-
-
-def test_all_customers_crowded(star, expected):
-    everyone = star.order.select(F.col("order_customer_id").alias("customer_id")).distinct()
-    assert collected(report.report_rows(star, everyone)) == expected
+def test_a_missing_name_counts_as_a_name(spark, star):
+    """Two orders of nameless products and one of another: the most popular one has no name."""
+    nameless = star.product.withColumn(
+        "product_name", F.when(F.col("product_id") > 1, F.col("product_name"))
+    )
+    changed = Star(star.craftsman, nameless, star.customer, star.order)
+    rows = collected(report.report_rows(changed))
+    assert rows == collected(report.ranked_report_rows(changed))
+    assert any(row[10] is None for (_, month), row in rows.items() if month)
+
+
+def test_a_hot_customer_month(spark, star):
+    """All orders of one customer in one month, over many files."""
+    hot = star.order.withColumns(
+        {"order_customer_id": F.lit(1).cast("long"), "order_created_date": F.lit(D(2023, 1, 5))}
+    ).repartition(40)
+    changed = Star(star.craftsman, star.product, star.customer, hot)
+    rows = collected(report.report_rows(changed))
+    assert len(rows) == 1 and rows == collected(report.ranked_report_rows(changed))
+    assert rows == by_hand(changed)
+
+
+def test_no_job_runs_while_the_report_is_built(spark, star):
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        report.report_rows(star)
+        report.ranked_report_rows(star)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
 
 
 def test_ranked(star, expected):
