@@ -17,26 +17,37 @@ from tallyhouse.sources.inputs import read_source
 from tallyhouse.sources.schemas import CRAFT_PRODUCTS_ORDERS, CUSTOMERS
 
 
+def utc_time(text: str) -> dt.datetime:
+    """The time without a zone, in UTC; a time that has no zone is taken to be in UTC."""
+    time = dt.datetime.fromisoformat(text)
+    return time if time.tzinfo is None else time.astimezone(dt.UTC).replace(tzinfo=None)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--orders", required=True, help="folder or table of the wide source")
     parser.add_argument("--customers", required=True, help="folder or table of the customers")
     parser.add_argument("--root", required=True, help="shared folder of the star and report")
-    parser.add_argument("--run-ts", required=True, type=dt.datetime.fromisoformat)
+    parser.add_argument("--run-ts", required=True, type=utc_time)
     parser.add_argument("--rebuild", action="store_true", help="start over from this delivery")
     parser.add_argument("--exact-mark", action="store_true")
     parser.add_argument("--only-if-changed", action="store_true")
     parser.add_argument("--keep-latest", action="store_true")
     parser.add_argument("--wide-keys", action="store_true")
     parser.add_argument("--export", help="folder or table for a whole copy of the report")
-    parser.add_argument("--shuffle-gib", type=int, default=0, help="size of the largest shuffle")
+    parser.add_argument(
+        "--shuffle-gib", type=int, default=256, help="size of the largest shuffle"
+    )
+    parser.add_argument("--publish", help="database for views of the star, the report and the log")
+    parser.add_argument(
+        "--clean", action="store_true", help="delete what this run has superseded, and its stages"
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("customer report refresh").getOrCreate()
-    if args.shuffle_gib:
-        cores = spark.sparkContext.defaultParallelism
-        for name, value in settings(args.shuffle_gib * 2**30, cores).items():
-            spark.conf.set(name, value)
+    cores = spark.sparkContext.defaultParallelism
+    for name, value in settings(args.shuffle_gib * 2**30, cores).items():
+        spark.conf.set(name, value)
     refresh = Refresh(
         spark,
         args.root,
@@ -51,6 +62,10 @@ def main(argv: list[str] | None = None) -> None:
         args.run_ts,
         rebuild=args.rebuild,
     )
+    if args.publish:
+        refresh.publish(args.publish)
+    if args.clean:
+        refresh.clean()
     if args.export:
         writer = report.write.mode("overwrite")
         writer.parquet(args.export) if "/" in args.export else writer.saveAsTable(args.export)

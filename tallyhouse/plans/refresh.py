@@ -44,10 +44,17 @@ from tallyhouse.sources.schemas import (
     CUSTOMER_REPORT,
     REPORT_COLUMNS,
     REPORT_KEY,
+    RUN_LOG,
     required_columns,
     widened,
 )
-from tallyhouse.sources.snapshots import Parts, SnapshotTables, latest_parts, months_in
+from tallyhouse.sources.snapshots import (
+    RUN_LOG_NAME,
+    Parts,
+    SnapshotTables,
+    latest_parts,
+    months_in,
+)
 
 REPORT = "customer_report_datamart"
 
@@ -144,6 +151,50 @@ class Refresh:
         """The star as of the last finished run."""
         return self._star_after(self.last_run())
 
+    def publish(self, database: str) -> None:
+        """Views of the star tables, the report and the run log as of the last run, under their
+        names in a database of the session's catalog. A later run publishes anew."""
+        last = self.last_run()
+        for table in STAR_TABLES:
+            parts = last.order_months if table is ORDER else last.dimensions
+            months = parts if table is ORDER else None
+            run_ts = None if table is ORDER else parts.get(table.name)
+            self._publish(database, table.name, table.schema, run_ts, months)
+        self._publish(database, REPORT, self._report_schema(), None, last.report_months)
+        self.tables.publish(f"{database}.{RUN_LOG_NAME}", RUN_LOG, [self.tables.log_path()])
+
+    def _publish(
+        self,
+        database: str,
+        name: str,
+        schema: T.StructType,
+        run_ts: dt.datetime | None,
+        months: Parts | None,
+    ) -> None:
+        paths = self.tables.paths(name, run_ts, months)
+        self.tables.publish(f"{database}.{name}", schema, paths)
+
+    def clean(self) -> None:
+        """Delete the stages of all finished runs, and the parts that a later run has written
+        anew. Readers of an earlier state must be done."""
+        last, log = self.last_run(), self.tables.log()
+        finished = [row["run_ts"] for row in log.select("run_ts").collect()]
+        stages = [f"{t.name}_{kind}" for t in STAR_TABLES for kind in ("source", "changes")]
+        for run_ts in finished:
+            for name in [*stages, "affected_customers", "report_rows", "report_changes"]:
+                self.tables.remove(name, run_ts)
+            for name in {t.name for t in STAR_TABLES if t is not ORDER}:
+                if last.dimensions.get(name) != run_ts:
+                    self.tables.remove(name, run_ts)
+        for name, column, current in (
+            (ORDER.name, "order_months", last.order_months),
+            (REPORT, "report_months", last.report_months),
+        ):
+            written = log.select("run_ts", F.explode(column).alias("month")).collect()
+            for row in written:
+                if current.get(row["month"]) != row["run_ts"]:
+                    self.tables.remove(name, row["run_ts"], [row["month"]])
+
     def last_run(self) -> LastRun:
         log = self.tables.log()
         rebuilt = log.where("rebuilt").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -281,11 +332,8 @@ class Refresh:
         months = last.order_months | parts[ORDER]
         recent = {month: ts for month, ts in months.items() if ts > after}
         fresh = last.dimensions | parts[CRAFTSMAN] | parts[PRODUCT] | parts[CUSTOMER]
-        among = [
-            name
-            for name, table in (("craftsman", CRAFTSMAN), ("customer", CUSTOMER), ("product", PRODUCT))
-            if table.name in fresh and fresh[table.name] > after
-        ]
+        tables = {"craftsman": CRAFTSMAN, "customer": CUSTOMER, "product": PRODUCT}
+        among = [name for name, table in tables.items() if fresh.get(table.name, after) > after]
         orders = self.tables.read_months(ORDER.name, ORDER.schema, recent)
         return delta(star, mark, orders, among)
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.sources.schemas import RUN_LOG
 
-_LOG = "run_log"
+RUN_LOG_NAME = "run_log"
 _PART = "month_part"
 _NO_MONTH = "none"
 
@@ -76,14 +76,35 @@ class SnapshotTables:
             system = target.getFileSystem(self._spark._jsc.hadoopConfiguration())
             system.delete(target, True)
 
+    def paths(
+        self, name: str, run_ts: dt.datetime | None, months: Parts | None = None
+    ) -> list[str]:
+        """Where a table's state lies: that of a run, or the given months."""
+        if months is not None:
+            return [f"{self._path(name, ts)}/{_PART}={month}" for month, ts in months.items()]
+        return [] if run_ts is None else [self._path(name, run_ts)]
+
+    def publish(self, name: str, schema: T.StructType, paths: list[str]) -> None:
+        """A view in the catalog over files of one schema."""
+        nothing = ", ".join(
+            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields
+        )
+        names = ", ".join(f"`{f.name}`" for f in schema.fields)
+        parts = [f"SELECT {names} FROM parquet.`{path}`" for path in paths]
+        body = " UNION ALL ".join(parts) or f"SELECT {nothing} WHERE false"
+        self._spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+
+    def log_path(self) -> str:
+        return f"{self._root}/{RUN_LOG_NAME}"
+
     def log(self) -> DataFrame:
         """The run log, which is created empty if it does not exist."""
-        path = f"{self._root}/{_LOG}"
+        path = self.log_path()
         self._spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
         return self._spark.read.schema(RUN_LOG).parquet(path)
 
     def append_log(self, entry: DataFrame) -> None:
-        entry.coalesce(1).write.mode("append").parquet(f"{self._root}/{_LOG}")
+        entry.coalesce(1).write.mode("append").parquet(self.log_path())
 
     def _path(self, name: str, run_ts: dt.datetime) -> str:
         return f"{self._root}/{name}/run={run_ts:%Y%m%dT%H%M%S%f}"

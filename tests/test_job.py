@@ -3,11 +3,23 @@ import sys
 
 import pytest
 
-from test_golden import AFTER_1, AFTER_2, BATCH_1, BATCH_2, customers, shown, wide
+from test_golden import (
+    AFTER_1,
+    AFTER_2,
+    BATCH_1,
+    BATCH_2,
+    FIRST,
+    SECOND,
+    THIRD,
+    customers,
+    shown,
+    wide,
+)
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import refresh_job  # noqa: E402
+from tallyhouse.plans.refresh import Refresh  # noqa: E402
 from tallyhouse.session import settings  # noqa: E402
 from tallyhouse.sources.inputs import read_source  # noqa: E402
 from tallyhouse.sources.schemas import CUSTOMERS  # noqa: E402
@@ -56,3 +68,32 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_settings_grow_with_the_shuffle():
     assert settings(10 * 2**40, 64)["spark.sql.shuffle.partitions"] == "81920"
     assert settings(2**20, 64)["spark.sql.shuffle.partitions"] == "64"
+
+
+def test_a_time_with_a_zone_is_taken_in_utc():
+    assert refresh_job.utc_time("2023-03-01T12:00:00+02:00").isoformat() == "2023-03-01T10:00:00"
+    assert refresh_job.utc_time("2023-03-01T12:00:00Z").isoformat() == "2023-03-01T12:00:00"
+    assert refresh_job.utc_time("2023-03-01T12:00:00").tzinfo is None
+
+
+def test_views_and_cleaning(spark, tmp_path):
+    refresh = Refresh(spark, str(tmp_path))
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    refresh.run(wide(spark, BATCH_2), customers(spark, 3), SECOND)
+    refresh.publish("default")
+    try:
+        assert shown(spark.table("default.customer_report_datamart")) == AFTER_2
+        assert spark.table("default.f_order").count() == refresh.star().order.count() == 8
+        assert spark.table("default.d_customer").count() == 3
+        assert spark.table("default.run_log").count() == 2
+    finally:
+        for name in ("customer_report_datamart", "f_order", "d_customer", "d_craftsman",
+                     "d_product", "run_log"):
+            spark.sql(f"DROP VIEW IF EXISTS default.{name}")
+    refresh.clean()
+    assert shown(refresh.report()) == AFTER_2
+    assert refresh.star().order.count() == 8
+    left = [p for p in tmp_path.rglob("run=*") if p.is_dir() and any(p.rglob("*.parquet"))]
+    assert not [p for p in left if p.parent.name.endswith(("_source", "_changes", "_rows"))]
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), THIRD)
+    assert len(shown(refresh.report())) == len(AFTER_2)
