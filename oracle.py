@@ -46,8 +46,9 @@ order_keys AS (
   GROUP BY 1, 2, 3, 4
 ),
 all_orders AS (
-  SELECT first_order * 1024 + row_number() OVER (PARTITION BY first_order
-                                                 ORDER BY product_id, craftsman_id) AS order_id,
+  SELECT (first_order * 64 + (product_id * 31 + craftsman_id) % 64) * 16384
+           + row_number() OVER (PARTITION BY first_order, (product_id * 31 + craftsman_id) % 64
+                                ORDER BY product_id, craftsman_id) AS order_id,
          customer_id AS order_customer_id, product_id AS order_product_id,
          craftsman_id AS order_craftsman_id, order_created_date, order_completion_date,
          CASE status_rank WHEN 3 THEN 'done' WHEN 2 THEN 'delivery'

@@ -40,8 +40,8 @@ FIRST_RUN = dt.datetime(2002, 1, 1, 12)
 SECOND_RUN = dt.datetime(2002, 2, 1, 12)
 
 _STATUSES = [STATUS_CREATED, STATUS_IN_PROGRESS, STATUS_DELIVERY, STATUS_DONE]
-# Numbers of orders that begin with one source order.
-_ORDER_ROOM = 1024
+# The keys of one source order are ranked in so many parts, and each part has so many numbers.
+_ORDER_PARTS, _ORDER_ROOM = 64, 1 << 14
 _NATURAL_KEY = ["product_id", "craftsman_id", "customer_id", "order_created_date"]
 
 
@@ -242,7 +242,8 @@ class Marketplace:
             .when((head == "O") & (line == "O"), _STATUSES.index(STATUS_CREATED))
         )
         still_open = (line == "O") & (head != "F")
-        among = Window.partitionBy("first_order").orderBy("product_id", "craftsman_id")
+        part = (F.col("product_id") * 31 + F.col("craftsman_id")) % _ORDER_PARTS
+        among = Window.partitionBy("first_order", "part").orderBy("product_id", "craftsman_id")
         rank = F.row_number().over(among)
         too_many = F.raise_error("an order of more lines than its number has room for")
         keyed = (
@@ -262,11 +263,13 @@ class Marketplace:
                 ),
             )
         )
-        return keyed.withColumn(
-            "order_id",
-            F.col("first_order") * _ORDER_ROOM
-            + F.when(rank < _ORDER_ROOM, rank).otherwise(too_many.cast("int")),
-        ).drop("first_order")
+        numbered = F.when(rank < _ORDER_ROOM, rank).otherwise(too_many.cast("int"))
+        start = (F.col("first_order") * _ORDER_PARTS + F.col("part")) * _ORDER_ROOM
+        return (
+            keyed.withColumn("part", part)
+            .withColumn("order_id", start + numbered)
+            .drop("first_order", "part")
+        )
 
     def _named(self, orders: DataFrame) -> DataFrame:
         statuses = F.array(*[F.lit(status) for status in _STATUSES])
