@@ -59,21 +59,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def classes(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    verify_blocks: Callable[[DataFrame], DataFrame] | None = None,
+    big: int = 32,
 ) -> DataFrame:
     """(id, class_id) for the ids of buckets (id, key) that are linked to another.
 
     `verify` cuts pairs (a, b) down to links. Every pair that shares a bucket is either verified
     or already connected: first each row with the smallest of its bucket, which connects a group
     of copies with as many pairs as rows; then, in buckets where more than one connected group
-    is left, the pairs across these groups.
+    is left, the pairs across these groups. In buckets of more than `big` rows `verify_blocks`
+    looks for these instead: it gets (key, id, class_id, n) and gives links that connect what is
+    linked, without a row for every pair.
     """
     shared = cut(
         buckets.groupBy("key")
         .agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.count("*").alias("n"))
         .where("hub < top")
     )
-    crowded = cut(shared.where("n > 2").select("key", "hub"))
+    crowded = cut(shared.where("n > 2").select("key", "hub", "n"))
     members = cut(buckets.join(checked(crowded), "key"))
     tried = cut(
         shared.where("n = 2")
@@ -84,7 +89,7 @@ def classes(
     links = cut(verify(tried))
     label = components(links)
     placed = cut(
-        members.select("key", "id")
+        members.select("key", "id", "n")
         .join(label, "id", "left")
         .withColumn("class_id", F.coalesce("class_id", "id"))
     )
@@ -96,9 +101,10 @@ def classes(
     )
     if mixed.isEmpty():
         return label
-    rest = cut(placed.join(mixed, "key"))
-    left = rest.select("key", F.col("id").alias("x"), F.col("class_id").alias("x_class"))
-    right = rest.select("key", F.col("id").alias("y"), F.col("class_id").alias("y_class"))
+    rest = cut(placed.join(checked(mixed), "key"))
+    few = rest if verify_blocks is None else rest.where(F.col("n") <= big)
+    left = few.select("key", F.col("id").alias("x"), F.col("class_id").alias("x_class"))
+    right = few.select("key", F.col("id").alias("y"), F.col("class_id").alias("y_class"))
     across = (
         left.join(right, "key")
         .where("x_class < y_class")
@@ -106,5 +112,9 @@ def classes(
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    more = cut(verify(across))
+    more = cut(verify(cut(across)))
+    if verify_blocks is not None:
+        many = rest.where(F.col("n") > big).select("key", "id", "class_id", "n")
+        if not many.isEmpty():
+            more = more.union(cut(verify_blocks(many)))
     return label if more.isEmpty() else components(links.union(more))

@@ -24,6 +24,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ from tallyhouse.llm.shared import checked, cut, row_groups
 from tallyhouse.llm.words import mix, sequence_hash, shingles, words
 
 BANDS, ROWS, SIMILARITY = 24, 4, 0.8
+#: Rows from which on a bucket is crowded; rows of one that are compared at once with as many.
+BIG, CHUNK = 32, 512
+_COLUMNS = 4096
 _OCTAVE = np.uint64(0xC2B2AE3D27D4EB4F)
 _ARRIVAL = np.uint64(0x165667B19E3779F9)
 
@@ -171,10 +175,94 @@ def similar_pairs(pairs: DataFrame, bodies: DataFrame, similarity: float) -> Dat
     return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
+def similarities(
+    left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]
+) -> np.ndarray:
+    """The weighted Jaccard similarity of every left multiset with every right one.
+
+    The k-th occurrence of a shingle is an element of its own, which makes sets of the multisets;
+    their overlaps are one product of matrices, a few thousand elements at a time."""
+    items = [_occurrences(bag) for bag in [*left, *right]]
+    owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    _, number, count = np.unique(
+        np.concatenate(items), return_inverse=True, return_counts=True
+    )
+    shared = count[number] > 1
+    owner, number = owner[shared], np.unique(number[shared], return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    overlap = np.zeros((len(left), len(right)), dtype=np.float64)
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, _COLUMNS):
+        low, high = np.searchsorted(number, [first, first + _COLUMNS])
+        cells = np.zeros((len(items), _COLUMNS), dtype=np.float32)
+        cells[owner[low:high], number[low:high] - first] = 1
+        overlap += cells[: len(left)] @ cells[len(left) :].T
+    sizes = np.array([len(x) for x in items], dtype=np.float64)
+    total = sizes[: len(left), None] + sizes[None, len(left) :] - overlap
+    return np.where(total > 0, overlap / np.maximum(total, 1), 0.0)
+
+
+def _occurrences(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    values, counts = bag
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix(np.repeat(values, counts) + nth.astype(np.uint64) * _OCTAVE)
+
+
+def block_links(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect what is similar across classes within the buckets of members
+    (key, id, class_id, n).
+
+    A bucket is dealt into chunks, and each pair of chunks is compared at once, in a task of its
+    own; only links that connect something go out, never a row for each pair."""
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    own = F.pmod(F.xxhash64("id"), chunks).cast("int")
+    others = F.explode(F.sequence(F.lit(0), chunks - 1)).alias("with")
+    dealt = members.select("key", "id", "class_id", own.alias("own"), others).select(
+        "key", "id", "class_id", "own",
+        F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"),
+    )
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, low, high = key
+        sides = [rows[rows["own"] == chunk] for chunk in (low, high)]
+        bags = [[multiset(text) for text in side["text"]] for side in sides]
+        ids, group = [x["id"].to_numpy() for x in sides], [x["class_id"].to_numpy() for x in sides]
+        if not len(ids[0]) or not len(ids[1]):
+            return pd.DataFrame({"a": [], "b": []})
+        alike = similarities(*bags) >= similarity
+        alike &= group[0][:, None] != group[1][None, :]
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        found = []
+        for i, j in np.argwhere(alike).tolist():
+            a, b = top(int(group[0][i])), top(int(group[1][j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                found.append(sorted((int(ids[0][i]), int(ids[1][j]))))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return (
+        dealt.join(bodies, "id")
+        .groupBy("key", "low", "high")
+        .applyInPandas(compare, "a long, b long")
+    )
+
+
 def near_classes(
-    docs: DataFrame, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY
+    docs: DataFrame,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    similarity: float = SIMILARITY,
+    big: int = BIG,
 ) -> DataFrame:
-    """A row per document: doc_id, class_id (the smallest doc_id of its group), kept."""
+    """A row per document: doc_id, class_id (the smallest doc_id of its group), kept.
+
+    Buckets of more than `big` rows are compared in blocks; the result is the same."""
     signs = cut(signed(docs, bands, rows))
     texts = cut(
         signs.where("words_key is not null")
@@ -185,17 +273,18 @@ def near_classes(
     buckets = texts.where("doc_id is not null").select(
         F.col("doc_id").alias("id"), F.explode("bands").alias("key")
     )
+    def bodies(ids: DataFrame) -> DataFrame:
+        found = docs.select(F.col("doc_id").alias("id"), "text").join(checked(cut(ids)), "id")
+        return cut(found.groupBy("id").agg(F.max("text").alias("text")))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        bodies = (
-            docs.select("doc_id", "text")
-            .join(checked(ids), "doc_id")
-            .groupBy(F.col("doc_id").alias("id"))
-            .agg(F.max("text").alias("text"))
-        )
-        return similar_pairs(pairs, cut(bodies), similarity)
-
-    label = classes(buckets, verify)
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        return similar_pairs(pairs, bodies(ids), similarity)
+
+    def verify_blocks(members: DataFrame) -> DataFrame:
+        return block_links(members, bodies(members.select("id").distinct()), similarity)
+
+    label = classes(buckets, verify, verify_blocks, big)
     moved = cut(
         texts.join(label, F.col("doc_id") == F.col("id"), "left")
         .withColumn("class_id", F.coalesce("class_id", "doc_id"))
