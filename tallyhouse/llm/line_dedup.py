@@ -2,9 +2,12 @@
 
 A line is normalised to its words (letters and digits, lower case, one space between them). Its
 SimHash has 124 bits, the weighted majority of the hashes of its words bit by bit, in 4 blocks of
-31 bits; longer words weigh more, or unrelated lines would meet by their short common words. Two lines that differ in at most 3 bits agree in a whole block. Lines that share a block are
-compared by edit similarity, 1 - distance / length of the longer, and of each connected group
-one occurrence in the whole table stays: the one with the smallest (doc_id, line number).
+31 bits. Longer words weigh more, and words of up to three letters count only in lines that have no
+others, or unrelated lines would meet by their short common words. Two lines that differ in at most
+3 bits agree in a whole block. Lines that share a block are compared by edit similarity, 1 -
+distance / length of the longer, where a word that is repeated in a row counts once, and of each
+connected group one occurrence in the whole table stays: the one with the smallest (doc_id, line
+number).
 
 Occurrences of the same normalised line are counted before anything else, so a line that is very
 common costs as much as a rare one.
@@ -33,6 +36,8 @@ _LANE_MASK = sum(1 << (_LANE_BITS * lane) for lane in range(_LANES))
 _MOST_WEIGHT = 64
 # Runs of ASCII that is neither letter nor digit. Other characters count as letters.
 _NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A word and its repeats that follow at once.
+_REPEATED = r"(?<![^ ])([^ ]+)(?: \1)+(?![^ ])"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -57,13 +62,14 @@ def simhashes(lines: DataFrame) -> DataFrame:
 
     The words are weighed where the lines were grouped; nothing but the lines is shuffled. A line of
     so many words that a counter overflows has zero bits there."""
-    words = lines.select("id", F.explode(F.split("line", " ")).alias("word"))
+    known = lines.withColumn("has_long", F.col("line").rlike("[^ ]{4}"))
+    words = known.select("id", "has_long", F.explode(F.split("line", " ")).alias("word"))
     letters = F.length("word") - 2
     weight = F.least(F.greatest(letters * letters, F.lit(1)), F.lit(_MOST_WEIGHT)).cast("long")
-    hashed = words.select(
-        "id", F.xxhash64("word").alias("h0"), F.hash("word").alias("h1"), weight.alias("w")
+    hashed = words.where(~F.col("has_long") | (F.length("word") > 3)).select(
+        "id", F.xxhash64("word").alias("h0"), weight.alias("w")
     )
-    hashed = hashed.select("id", "h0", F.xxhash64("h1", "h0").alias("h1"), "w")
+    hashed = hashed.select("id", "h0", F.xxhash64("h0").alias("h1"), "w")
     sums = [
         F.try_sum(
             F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANE_MASK)) * F.col("w")
@@ -100,12 +106,18 @@ def similar(left: str, right: str, similarity: float) -> Column:
     most = F.floor(longer * (1 - similarity) + 1e-9).cast("int")
     apart = F.abs(F.length(left) - F.length(right))
     reached = F.when(apart > most, F.lit(False))
-    # The limit of `levenshtein` is a literal, so the full distance serves beyond the last one.
+    # If one begins or ends with the other, the lengths tell the distance.
+    for inside in (F.startswith, F.endswith):
+        whole = inside(F.col(left), F.col(right)) | inside(F.col(right), F.col(left))
+        reached = reached.when(whole, F.lit(True))
+    # The work grows with the limit: most pairs that are similar are so within a small one.
     for limit in _LIMITS:
-        distance = F.levenshtein(left, right, limit)
-        reached = reached.when(distance >= 0, distance <= most)
-        reached = reached.when(most <= limit, F.lit(False))
-    return reached.otherwise(F.levenshtein(left, right) <= most)
+        within = F.call_function(
+            "levenshtein", F.col(left), F.col(right), F.least(most, F.lit(limit))
+        )
+        reached = reached.when(within >= 0, F.lit(True)).when(most <= limit, F.lit(False))
+    within = F.call_function("levenshtein", F.col(left), F.col(right), most)
+    return reached.otherwise(within >= 0)
 
 
 def line_classes(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -117,9 +129,8 @@ def line_classes(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        lines = cut(
-            found.join(checked(ids), "id").groupBy("id").agg(F.min("line").alias("line"))
-        )
+        texts = found.join(checked(ids), "id").groupBy("id").agg(F.min("line").alias("line"))
+        lines = cut(texts.withColumn("line", F.regexp_replace("line", _REPEATED, "$1")))
         first = lines.select(F.col("id").alias("a"), F.col("line").alias("a_line"))
         second = lines.select(F.col("id").alias("b"), F.col("line").alias("b_line"))
         both = pairs.join(first, "a").join(second, "b")
@@ -186,12 +197,11 @@ def line_report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def without_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents with the dropped lines taken out of `text`; all columns and rows stay."""
     _, dropped = dropped_lines(docs, similarity)
-    lost = dropped.groupBy(F.col("doc_id").alias("lost_id")).agg(
-        F.collect_set("line_no").alias("lost_lines")
-    )
-    rest = F.filter(
-        F.split("text", "\n"), lambda line, at: ~F.array_contains("lost_lines", at)
+    lost = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("lines"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(lost["doc_id"])
+    rest = F.filter(F.split("row.text", "\n"), lambda line, at: ~F.array_contains("lines", at))
+    text = F.when(F.col("lines").isNull(), F.col("row.text")).otherwise(F.array_join(rest, "\n"))
+    return rows.join(lost, same, "left").select(
+        *[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
     )
-    text = F.when(F.col("lost_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left")
-    return joined.withColumn("text", text).select(docs.columns)
