@@ -3,7 +3,8 @@
 Features are the words of a text and their beginnings (4 to 8 bytes), as exact 64-bit hashes; a
 feature that occurs n times has the value log2(1 + n). All thresholds share one weight vector w:
 P(grade <= k) = sigmoid(t_k - w x), with t_0 < t_1 < t_2, and w is not negative: the features are
-those that occur significantly more often in toxic rows. The output is the expected severity, the sum over k of P(grade > k), from 0 to 3.
+those that occur significantly more often in toxic rows. The output is the expected severity, the
+sum over k of P(grade > k), from 0 to 3.
 
 Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the toxic rows in which
 its amount of toxic words lies; a clean row's grade is 0.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.shared import row_groups
 from tallyhouse.llm.words import mix, range_hashes, spans, text_bytes
 
-SAMPLE, FEATURES = 3000, 4000
+SAMPLE, FEATURES = 6000, 4000
 #: Expected severity from which on a document is rejected.
 REJECT = 0.5
 #: A feature counts when it is in this many toxic rows and has this z-score of its log odds.
