@@ -20,15 +20,19 @@ def with_row_ids(
     values of `then_by` per key, however many source rows stood behind one key.
     """
     bits = 64 if isinstance(rows.schema[key].dataType, T.LongType) else 32
-    blocked = rows.withColumn("__block", _block_of(F.col(key)))
-    sizes = blocked.groupBy("__block").agg(F.count(F.lit(1)).alias("__size"))
-    starts = _starts(sizes, bits - _BLOCK_BITS)
+    blocked = rows.withColumn("__block", _block_of(F.col(key))).repartition("__block")
+    # Counted with a condition on all columns that always holds, so that the sizes and the
+    # numbers come from the same exchange and the rows are computed once.
+    every = F.hash(*rows.columns) >= F.lit(-(2**31))
+    sizes = blocked.groupBy("__block").agg(F.count_if(every).alias("__size"))
+    # A null-safe match adds no condition to either side, which would tell the two apart.
+    starts = _starts(sizes, bits - _BLOCK_BITS).withColumnRenamed("__block", "__of")
     inside = Window.partitionBy("__block").orderBy(
         key, *[F.col(c).asc_nulls_last() for c in then_by]
     )
     return (
         blocked.withColumn("__rank", F.row_number().over(inside))
-        .join(starts, "__block")
+        .join(starts, F.col("__block").eqNullSafe(F.col("__of")))
         .select(
             (F.col("__start") + F.col("__rank") + F.lit(after)).cast("bigint").alias(alias),
             *rows.columns,

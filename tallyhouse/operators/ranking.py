@@ -14,7 +14,8 @@ def top1(
 
     Counting first combines rows before the shuffle, and the rank filter lets Spark cut
     every map task's output to one row per group, so a hot group stays small."""
-    counted = lines.groupBy(*group, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
+    times = F.sum(weight) if weight else F.count(F.lit(1))
+    counted = lines.groupBy(*group, value).agg(times.alias("__n"))
     best_first = Window.partitionBy(*group).orderBy(F.desc("__n"), F.col(value))
     return (
         counted.withColumn("__rn", F.row_number().over(best_first))

@@ -55,13 +55,13 @@ def order_lines(star: Star) -> DataFrame:
 
 def report_rows(star: Star) -> DataFrame:
     """The report without ids, by one plan for groups of every size."""
-    folded = fold(order_lines(star))
-    # A month that is not known has no most popular product or craftsman.
+    return _described(_known_months(fold(order_lines(star))), star.customer)
+
+
+def _known_months(rows: DataFrame) -> DataFrame:
+    """A month that is not known has no most popular product or craftsman."""
     known = F.col("month").isNotNull()
-    return _described(
-        folded.withColumns({name: F.when(known, F.col(name)) for name in _MOST_POPULAR}),
-        star.customer,
-    )
+    return rows.withColumns({name: F.when(known, F.col(name)) for name in _MOST_POPULAR})
 
 
 def fold(lines: DataFrame) -> DataFrame:
@@ -95,12 +95,17 @@ def ranked_report_rows(star: Star) -> DataFrame:
     All three start from the tally of equal orders. Its rows are spread by all of their
     columns, which no branch can leave out, so Spark makes them once for the three."""
     tally = tallied(order_lines(star))
-    rows = (
-        tallied_measures(tally)
-        .join(top1(tally, _GROUP, _NAMES[0], _MOST_POPULAR[0], "orders"), _GROUP, "left")
-        .join(top1(tally, _GROUP, _NAMES[1], _MOST_POPULAR[1], "orders"), _GROUP, "left")
-    )
-    return _described(rows, star.customer)
+    rows = tallied_measures(tally)
+    for name, most_popular in zip(_NAMES, _MOST_POPULAR):
+        top = top1(tally, _GROUP, name, most_popular, "orders").withColumnsRenamed(
+            {"customer_id": "__customer", "month": "__month"}
+        )
+        # A null-safe match adds no condition on the month to one side's tally only.
+        same = (F.col("customer_id") == F.col("__customer")) & F.col("month").eqNullSafe(
+            F.col("__month")
+        )
+        rows = rows.join(top, same, "left").drop("__customer", "__month")
+    return _described(_known_months(rows), star.customer)
 
 
 def tallied(lines: DataFrame) -> DataFrame:

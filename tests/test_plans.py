@@ -71,3 +71,20 @@ def test_nothing_is_brought_into_one_task(plan_of):
     for name in LAZY:
         alone = plan_of(name).count("Exchange SinglePartition")
         assert alone == (1 if name in one_row | {"mart_ids"} else 0), name
+
+
+@pytest.mark.parametrize("name", ["mart_full_onepass", "mart_full", "mart_ids"])
+def test_the_executed_report_reads_the_lines_once(spark, name):
+    """Without broadcasts, as dimensions are that outgrow the threshold."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = contract.report_queries()[name](spark, contract.SMOKE_DIR)
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    final = plan.split("== Initial Plan ==")[0]
+    scans = [s for s in final.splitlines() if "FileScan" in s and "lineitem" in s]
+    assert len(scans) == 1
+    assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final

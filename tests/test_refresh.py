@@ -207,3 +207,29 @@ def test_a_delivery_that_changes_nothing_writes_nothing(spark, tmp_path):
     assert [r.load_dttm for r in refresh.star().customer.orderBy("customer_id").collect()] == [
         FIRST, THIRD,
     ]
+
+
+def test_a_small_delivery_reads_only_what_runs_since_the_mark_wrote(spark, tmp_path, monkeypatch):
+    """Change capture of a third delivery, of one order, looks at that order's month alone."""
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    refresh.run(wide(spark, BATCH_2), customers(spark, 3), SECOND)
+    seen = []
+    real = changes.touched_orders
+
+    def spy(star, mark, recent=None, among=changes.DIMENSIONS):
+        seen.append((recent, tuple(among)))
+        return real(star, mark, recent, among)
+
+    monkeypatch.setattr(changes, "touched_orders", spy)
+    order = [(9, 1, "Vase", "Bob", dt.date(2023, 2, 11), None, "created")]
+    refresh.run(wide(spark, order), customers(spark), THIRD)
+    (recent, among), = seen
+    assert among == ()
+    files = recent.inputFiles()
+    assert files and all("month_part=2023-02" in f and THIRD.strftime("%Y%m%d") in f for f in files)
+    plan = recent.where(F.col("load_dttm") > F.lit(SECOND))._jdf.queryExecution().executedPlan()
+    assert "GreaterThan(load_dttm" in plan.toString()
+    assert {r.customer_id for r in refresh.tables.read(
+        "affected_customers", "customer_id BIGINT", THIRD
+    ).collect()} == {1}
