@@ -236,7 +236,8 @@ def template(rng: random.Random, words: list[str]) -> tuple[Page, list[int]]:
                 cells = "".join(f"<td{marked}>{some(1, 4)}</td>" for _ in range(3))
                 out.append(f"<table{marked}><tr{marked}>{cells}</tr></table>")
             elif turn < 0.4:
-                out.append(f'<p{marked}>{some(4, 20)} <a href="/x">{some(1, 4)}</a> {some(2, 9)}</p>')
+                link = f'<a href="/x">{some(1, 4)}</a>'
+                out.append(f"<p{marked}>{some(4, 20)} {link} {some(2, 9)}</p>")
             else:
                 out.append(f"<p{marked}>{some(1, 80)}</p>")
         return "\n".join(out)

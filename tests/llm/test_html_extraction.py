@@ -76,8 +76,10 @@ def test_marginals_are_those_of_all_assignments(model):
 def test_odd_rows(spark, model):
     deep = "<div>" * 3000 + "text" + "</div>" * 3000
     long = "<article>" + "<p>some words to read here</p>" * 20_000 + "</article>"
-    rows = [(1, "u", None), (2, None, ""), (3, "u", "just text"), (4, "u", deep), (5, "u", long),
-            (None, "u", "<p>&lt;b&gt;&nbsp; x &#233;<p>"), (6, "u", "</div></p><<>&&<!-- <p>")]
+    rows = [
+        (1, "u", None), (2, None, ""), (3, "u", "just text"), (4, "u", deep), (5, "u", long),
+        (None, "u", "<p>&lt;b&gt;&nbsp; x &#233;<p>"), (6, "u", "</div></p><<>&&<!-- <p>"),
+    ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r["page_id"]: r for r in rows_of(x.extracted(pages, model))}
     assert len(found) == 7

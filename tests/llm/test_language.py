@@ -21,7 +21,8 @@ def test_evidence_is_fused(spark):
     docs = table(spark, MIDDLE, "documents")
     model = language.fit(docs)
     texts = {r["lang"]: r["text"] for r in docs.where("n_chars > 900").collect()}
-    rows = [(i, f"http://a.example.de/{i}", f'<html lang="de"><p>{texts["de"]}</p>') for i in range(20)]
+    german = f'<html lang="de"><p>{texts["de"]}</p>'
+    rows = [(i, f"http://a.example.de/{i}", german) for i in range(20)]
     rows += [
         (100, "http://a.example.de/x", "<p>12 34</p>"),
         (101, "http://b.example.de/x", "<p></p>"),
@@ -39,7 +40,10 @@ def test_evidence_is_fused(spark):
 
 def test_odd_rows(spark, odd_docs):
     pages = spark.createDataFrame(
-        [(1, None, None), (2, "", ""), (None, "no url", "<html lang=xx>"), (3, "http://h/", "x" * 300_000)],
+        [
+            (1, None, None), (2, "", ""), (None, "no url", "<html lang=xx>"),
+            (3, "http://h/", "x" * 300_000),
+        ],
         "page_id long, url string, html string",
     )
     model = language.fit(odd_docs)

@@ -16,13 +16,14 @@ def distance(a, b):
 
 def test_exact_and_fuzzy_lines(make_docs):
     rng = random.Random(11)
-    words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    letters = "abcdefghijk"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(900)]
     lines = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(30)]
     close = [line.replace(line.split()[5], "zz", 1) for line in lines]
     docs = make_docs(
         [
             (1, "\n".join(lines), "en", "a"),
-            (2, "\n".join(["", "!!", lines[0].upper() + "!", "a line of its own", close[1]]), "en", "a"),
+            (2, f"\n!!\n{lines[0].upper()}!\na line of its own\n{close[1]}", "en", "a"),
             (3, "\n".join(close) + "\n\n...", "en", "a"),
             (4, "a line of its own\nanother line", "en", "a"),
         ]
@@ -34,14 +35,16 @@ def test_exact_and_fuzzy_lines(make_docs):
     assert not {0, 1, 3} & set(found[2]["dropped_lines"])
     # Pairs that share no block of the SimHash are not found; most of these do.
     assert found[3]["n_dropped"] >= 12
-    left = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.without_duplicate_lines(docs).collect()}
+    rest = line_dedup.without_duplicate_lines(docs).collect()
+    left = {r["doc_id"]: r["text"].split("\n") for r in rest}
     assert left[4] == ["another line"] and left[1] == lines
     assert left[2][:2] == ["", "!!"] and left[3][-2:] == ["", "..."]
 
 
 def test_links_are_those_of_brute_force(spark, make_docs):
     rng = random.Random(12)
-    base = [" ".join(rng.choice("one two three four five six seven".split()) for _ in range(12)) for _ in range(40)]
+    names = "one two three four five six seven".split()
+    base = [" ".join(rng.choice(names) for _ in range(12)) for _ in range(40)]
     lines = base + [b[:-1] for b in base] + [b + " one" for b in base]
     docs = make_docs([(i, line, "en", "a") for i, line in enumerate(lines)])
     found = line_dedup.occurrences(docs)

@@ -28,7 +28,8 @@ def test_the_schedule_meets_shares_everywhere(spark):
         for s, n in total.items():
             assert abs(seen[s] - n * part / len(slots)) < 6
     mix = mixing.mixed(rows, goals, 16)
-    words = {r["s"]: r["w"] for r in mix.groupBy("s").agg({"n_words": "sum"}).toDF("s", "w").collect()}
+    sums = mix.groupBy("s").agg({"n_words": "sum"}).toDF("s", "w").collect()
+    words = {r["s"]: r["w"] for r in sums}
     assert words == {r["s"]: r["words"] for r in goals.collect() if r["words"]}
 
 
