@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import checkpoint_folder, cut, stored
+from tallyhouse.llm.shared import checked, checkpoint_folder, cut, stored
 
 #: Bytes of a payload from which on equal payloads are stored once.
 LEAST_BYTES = 100
@@ -58,11 +58,13 @@ def with_records(pages: DataFrame) -> DataFrame:
         F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload.cast("binary"), 256).alias("payload_digest"),
     )
+    # The payloads stay where they are unless there are very many that occur more than once.
+    numbered = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
     firsts = cut(
-        rows.where("page_id is not null")
-        .where(F.col("payload_bytes") >= LEAST_BYTES)
+        rows.where(F.col("payload_bytes") >= LEAST_BYTES)
         .groupBy("payload_digest")
-        .agg(F.min(F.struct("page_id", "url")).alias("first"))
+        .agg(F.min(numbered).alias("first"), F.count("*").alias("n"))
+        .where("n > 1 and first is not null")
         .select(
             "payload_digest",
             F.col("first.page_id").alias("first_id"),
@@ -70,7 +72,7 @@ def with_records(pages: DataFrame) -> DataFrame:
         )
     )
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return rows.join(firsts, "payload_digest", "left").select(
+    return rows.join(checked(firsts), "payload_digest", "left").select(
         "page_id",
         "url",
         "payload",
