@@ -6,7 +6,8 @@ distinct chunk moves once, to verify that its digest stands for one content; aft
 lists of chunk identifiers are compared, and no text moves again.
 
 Edge cases: null and empty texts are equal and have an empty list. Rows that repeat a doc_id
-stand or fall together. A null doc_id loses to any other. An empty table gives an empty result.
+stand or fall together. A null doc_id loses to any other, but `keep_one` keeps its row. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ With 24 bands of 4 a pair at similarity 0.8 is missed with probability 3e-6.
 
 Edge cases: a text without words (null, empty, only punctuation) is similar to nothing. A text of
 fewer than five words is one shingle of all its words. Texts with the same words in the same order
-are one text here; rows that repeat a doc_id are too.
+are one text here; rows that repeat a doc_id are too. A row without a doc_id represents no group
+and `keep_one` keeps it.
 """
 
 from __future__ import annotations
@@ -264,10 +265,11 @@ def near_classes(
 
     Buckets of more than `big` rows are compared in blocks; the result is the same."""
     signs = cut(signed(docs, bands, rows))
+    numbered = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))
     texts = cut(
         signs.where("words_key is not null")
         .groupBy("words_key")
-        .agg(F.min(F.struct("doc_id", "bands")).alias("one"), F.count("*").alias("n"))
+        .agg(F.min(numbered).alias("one"), F.count("*").alias("n"))
         .select("words_key", "n", "one.*")
     )
     buckets = texts.where("doc_id is not null").select(

@@ -65,6 +65,14 @@ def test_odd_rows(odd_docs):
     assert {r["doc_id"] for r in kept.collect()} == {None, 1, 2, 3, 4, 5, 8, 9}
 
 
+def test_copies_of_a_row_without_id(make_docs):
+    text = "one two three four five six seven"
+    docs = make_docs([(None, text, "en", "a"), (4, text, "en", "a"), (3, text + "!", "en", "a")])
+    found = sorted((r["doc_id"] or 0, r["class_id"]) for r in near_dedup.near_classes(docs).collect())
+    assert found == [(0, 3), (3, 3), (4, 3)]
+    assert near_dedup.keep_one(docs).count() == 2
+
+
 def test_empty_table(odd_docs):
     assert near_dedup.near_classes(odd_docs.limit(0)).collect() == []
 
