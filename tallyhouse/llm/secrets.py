@@ -56,11 +56,14 @@ OTHER_NAMES = (
     "commit sha sha1 sha256 md5 checksum digest hash revision build uuid guid id order invoice "
     "phone card number version page image file isbn serial"
 ).split()
-_NAMES = "|".join(sorted(KEY_NAMES, key=len, reverse=True))
-_PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in FORMATS.items()] + [
-    ("assigned", re.compile(rf"(?i)\b[\w-]*(?:{_NAMES})\s*[:=]+\s*[\"']?([^\s\"'<>]{{8,}})")),
-    ("run", re.compile(r"(?<![\w+/=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")),
-]
+_PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in FORMATS.items()]
+_ASSIGNMENT = re.compile(r"[:=]+(?=\s*[\"']?([^\s\"'<>]{8,}))")
+_NAMES = tuple(KEY_NAMES)
+_LONGEST_NAME = max(map(len, KEY_NAMES))
+_DIGITS = re.compile(r"[0-9]+")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+_RUN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+_LEAST_RUN = 16
 _WORD = re.compile(r"[^\W\d_]{3,20}")
 _FIELDS = (
     "length", "digits", "upper", "lower", "other", "changes", "entropy", "pairs", "repeat", "hex",
@@ -74,10 +77,16 @@ _SCHEMA = (
 
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
     """Start, end and kind of the candidates of a text, without overlaps."""
-    found = []
+    text = text or ""
+    found = [(start, end, "run") for start, end in _runs(text)]
     for kind, pattern in _PATTERNS:
-        for match in pattern.finditer(text or ""):
-            found.append((*match.span(pattern.groups), kind))
+        found += [(*match.span(), kind) for match in pattern.finditer(text)]
+    for match in _ASSIGNMENT.finditer(text):
+        end = match.start()
+        while end and text[end - 1].isspace():
+            end -= 1
+        if text[max(0, end - _LONGEST_NAME) : end].lower().endswith(_NAMES):
+            found.append((*match.span(1), "assigned"))
     found.sort(key=lambda c: (c[0], -c[1], c[2] not in FORMATS, c[2] == "run", c[2]))
     out: list[tuple[int, int, str]] = []
     for start, end, kind in found:
@@ -86,6 +95,20 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     return out
 
 
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the long runs that have a digit, found from their digits."""
+    done = 0
+    for digits in _DIGITS.finditer(text):
+        if digits.start() < done:
+            continue
+        start, before = digits.start(), done
+        done = _RUN.match(text, start).end()
+        while start > before and text[start - 1] in _RUN_CHARS:
+            start -= 1
+        if done - start >= _LEAST_RUN:
+            yield start, done
+
+
 def coverage(candidate: str, dictionary: set[str]) -> float:
     """The share of the characters that dictionary words of 3 to 12 letters cover."""
     lower, covered = candidate.lower(), bytearray(len(candidate))
