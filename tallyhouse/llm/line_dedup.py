@@ -5,9 +5,8 @@ SimHash has 124 bits, the weighted majority of the hashes of its words bit by bi
 31 bits. Longer words weigh more, and words of up to three letters count only in lines that have no
 others, or unrelated lines would meet by their short common words. Two lines that differ in at most
 3 bits agree in a whole block. Lines that share a block are compared by edit similarity, 1 -
-distance / length of the longer, where a word that is repeated in a row counts once, and of each
-connected group one occurrence in the whole table stays: the one with the smallest (doc_id, line
-number).
+distance / length of the longer, of the whole normalised lines, and of each connected group one
+occurrence in the whole table stays: the one with the smallest (doc_id, line number).
 
 Occurrences of the same normalised line are counted before anything else, so a line that is very
 common costs as much as a rare one.
@@ -36,8 +35,6 @@ _LANE_MASK = sum(1 << (_LANE_BITS * lane) for lane in range(_LANES))
 _MOST_WEIGHT = 64
 # Runs of ASCII that is neither letter nor digit. Other characters count as letters.
 _NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# A word and its repeats that follow at once.
-_REPEATED = r"(?<![^ ])([^ ]+)(?: \1)+(?![^ ])"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -130,7 +127,7 @@ def line_classes(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         texts = found.join(checked(ids), "id").groupBy("id").agg(F.min("line").alias("line"))
-        lines = cut(texts.withColumn("line", F.regexp_replace("line", _REPEATED, "$1")))
+        lines = cut(texts)
         first = lines.select(F.col("id").alias("a"), F.col("line").alias("a_line"))
         second = lines.select(F.col("id").alias("b"), F.col("line").alias("b_line"))
         both = pairs.join(first, "a").join(second, "b")

@@ -88,3 +88,12 @@ def test_long_lines(make_docs):
             (4, "w " * 38_000, "en", "a")]
     found = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_report(make_docs(rows)).collect()}
     assert found == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
+def test_repeated_words_count(make_docs):
+    rows = ["no", "no no no no no", "0", "0 0 0 0 0", "el", "el el"]
+    docs = make_docs([(i, line, "en", "a") for i, line in enumerate(rows)])
+    found = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_report(docs).collect()}
+    assert found == dict.fromkeys(range(6), 0)
+    long = make_docs([(1, "no " * 50, "en", "a"), (2, "no " * 45, "en", "a")])
+    assert sum(r["n_dropped"] for r in line_dedup.line_report(long).collect()) == 1
