@@ -4,8 +4,11 @@ A line is normalised to its words (letters and digits, lower case, one space bet
 SimHash has 124 bits, the weighted majority of the hashes of its words bit by bit, in 4 blocks of
 31 bits. Longer words weigh more, and words of up to three letters count only in lines that have no
 others, or unrelated lines would meet by their short common words. Two lines that differ in at most
-3 bits agree in a whole block. Lines that share a block are compared by edit similarity, 1 -
-distance / length of the longer, of the whole normalised lines, and of each connected group one
+3 bits agree in a whole block. An edit of one word can change many more bits, so lines also meet by
+bands of least hashes (MinHash): of their pairs of neighbouring words, and in lines of at most
+`SHORT` characters of their runs of 4 characters. A pair is missed when it shares no block and no
+band; the README has the measured recall. Lines that share a key are compared by edit similarity,
+1 - distance / length of the longer, of the whole normalised lines, and of each connected group one
 occurrence in the whole table stays: the one with the smallest (doc_id, line number).
 
 Occurrences of the same normalised line are counted before anything else, so a line that is very
@@ -26,6 +29,10 @@ from tallyhouse.llm.shared import checked, cut, stored
 
 SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS = 4, 31
+#: Bands, and least hashes to a band, of the pairs of neighbouring words and of runs of characters.
+PAIR_BANDS, GRAM_BANDS = (6, 2), (8, 3)
+#: Lines up to this length also meet by their runs of so many characters.
+SHORT, _GRAM = 64, 4
 #: Distances up to which cheaper comparisons look first.
 _LIMITS = (16, 256)
 #: Three counters to a sum: bits i, i + 21 and i + 42 of a hash.
@@ -55,18 +62,43 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
-    """id and the SimHash of each distinct line (id, line), as an array of its blocks.
+    """id and the keys of each distinct line (id, line), as an array: the blocks of its SimHash and
+    the bands of least hashes of its word pairs and, in a short line, of its runs of characters.
 
     The words are weighed where the lines were grouped; nothing but the lines is shuffled. A line of
     so many words that a counter overflows has zero bits there."""
     known = lines.withColumn("has_long", F.col("line").rlike("[^ ]{4}"))
-    words = known.select("id", "has_long", F.explode(F.split("line", " ")).alias("word"))
+    whole = F.split("line", " ")
+    long = F.filter(whole, lambda word: F.length(word) > 3)
+    counting = F.when(F.col("has_long"), long).otherwise(whole)
+    known = known.select("id", "line", counting.alias("all"))
+    # Every word with the hash of it and the next one, if there is one.
+    after = F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(1)))
+    pairs = F.zip_with(
+        "all",
+        after,
+        lambda word, follower: F.struct(
+            word.alias("word"),
+            F.when(follower.isNotNull(), F.xxhash64(word, follower)).alias("pair"),
+            F.lit(None).cast("long").alias("gram"),
+        ),
+    )
+    places = F.sequence(F.lit(1), F.greatest(F.length("line") - _GRAM + 1, F.lit(1)))
+    grams = F.transform(
+        F.when(F.length("line") <= SHORT, places).otherwise(F.array().cast("array<int>")),
+        lambda at: F.struct(
+            F.lit(None).cast("string").alias("word"),
+            F.lit(None).cast("long").alias("pair"),
+            F.xxhash64(F.substring("line", at, F.lit(_GRAM))).alias("gram"),
+        ),
+    )
+    words = known.select("id", F.explode(F.concat(pairs, grams)).alias("at"))
+    words = words.select("id", "at.word", "at.pair", "at.gram")
     letters = F.length("word") - 2
     weight = F.least(F.greatest(letters * letters, F.lit(1)), F.lit(_MOST_WEIGHT)).cast("long")
-    hashed = words.where(~F.col("has_long") | (F.length("word") > 3)).select(
-        "id", F.xxhash64("word").alias("h0"), weight.alias("w")
-    )
-    hashed = hashed.select("id", "h0", F.xxhash64("h0").alias("h1"), "w")
+    hash_of = F.when(F.col("word").isNotNull(), F.xxhash64("word"))
+    hashed = words.select("id", hash_of.alias("h0"), weight.alias("w"), "pair", "gram")
+    hashed = hashed.select("id", "h0", F.xxhash64("h0").alias("h1"), "w", "pair", "gram")
     sums = [
         F.try_sum(
             F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANE_MASK)) * F.col("w")
@@ -74,7 +106,8 @@ def simhashes(lines: DataFrame) -> DataFrame:
         for h in ("h0", "h1")
         for i in range(_LANE_BITS)
     ]
-    counted = hashed.groupBy("id").agg(F.sum("w").alias("n"), *sums)
+    least = [*_least_hashes("pair", *PAIR_BANDS), *_least_hashes("gram", *GRAM_BANDS)]
+    counted = hashed.groupBy("id").agg(F.sum("w").alias("n"), *sums, *least)
     bits = [
         _majority(F.col(f"{h}_{i}"), lane)
         for h in ("h0", "h1")
@@ -87,7 +120,35 @@ def simhashes(lines: DataFrame) -> DataFrame:
         for place, bit in enumerate(bits[block * BLOCK_BITS : (block + 1) * BLOCK_BITS]):
             value = value + F.when(bit, F.lit(1 << place)).otherwise(F.lit(0))
         blocks.append(value.cast("long"))
-    return counted.select("id", F.array(*blocks).alias("blocks"))
+    keys = [*blocks, *_band_keys("pair", *PAIR_BANDS), *_band_keys("gram", *GRAM_BANDS)]
+    return counted.select("id", F.array_compact(F.array(*keys)).alias("blocks"))
+
+
+def _least_hashes(name: str, bands: int, rows: int) -> list[Column]:
+    """The least of a column of hashes in each of bands * rows orders; nulls do not count.
+
+    An order compares the hashes after an exclusive or with a number of its own, so that nothing is
+    hashed again."""
+    return [
+        F.min(F.col(name).bitwiseXOR(F.lit(_turn(turn)))).alias(f"{name}_{turn}")
+        for turn in range(bands * rows)
+    ]
+
+
+def _turn(turn: int) -> int:
+    """Numbers whose leading bits are spread evenly: multiples of the golden ratio."""
+    value = (turn + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _band_keys(name: str, bands: int, rows: int) -> list[Column]:
+    """A key of each band of least hashes; null for lines without any."""
+    keys = []
+    for band in range(bands):
+        least = [F.col(f"{name}_{turn}") for turn in range(band * rows, (band + 1) * rows)]
+        key = F.xxhash64(F.lit(f"{name} {band}"), *least)
+        keys.append(F.when(least[0].isNotNull(), key))
+    return keys
 
 
 def _majority(counters: Column, lane: int) -> Column:

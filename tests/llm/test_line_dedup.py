@@ -1,8 +1,10 @@
 import random
+import re
 
-from .helpers import rows_of
+from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import line_dedup
+from tallyhouse.llm.shared import table
 
 
 def distance(a, b):
@@ -97,3 +99,41 @@ def test_repeated_words_count(make_docs):
     assert found == dict.fromkeys(range(6), 0)
     long = make_docs([(1, "no " * 50, "en", "a"), (2, "no " * 45, "en", "a")])
     assert sum(r["n_dropped"] for r in line_dedup.line_report(long).collect()) == 1
+
+
+def test_recall_of_planted_edits(spark, make_docs):
+    """Against the edits themselves, whatever the keys are."""
+    rng = random.Random(13)
+    texts = [r["text"] for r in table(spark, SMALL, "documents").collect()]
+    raw = [line for text in texts if text for line in text.split("\n")]
+    clean = sorted({" ".join(re.findall(r"\w+", line.lower())) for line in raw})
+    rng.shuffle(clean)
+
+    def word_replaced(line):
+        words = line.split()
+        at = rng.choice([i for i, word in enumerate(words) if 3 < len(word) < 12])
+        return " ".join([*words[:at], "qzqzqz", *words[at + 1 :]])
+
+    def character_replaced(line):
+        at = rng.choice([i for i, c in enumerate(line) if c != " "])
+        return line[:at] + "q" + line[at + 1 :]
+
+    kinds = {
+        "word, 10 to 20 words": (word_replaced, 10, 20, 0.9),
+        "word, 40 to 80 words": (word_replaced, 40, 80, 0.95),
+        "character, 10 to 20 words": (character_replaced, 10, 20, 0.9),
+        "character, 3 to 8 words": (character_replaced, 3, 8, 0.7),
+    }
+    recall = {}
+    for name, (edit, low, high, _) in kinds.items():
+        usable = [x for x in clean if low <= len(x.split()) <= high]
+        usable = [x for x in usable if re.search(r"\b\w{4,11}\b", x)]
+        pairs = [(line, edit(line)) for line in usable[:150]]
+        pairs = [(a, b) for a, b in pairs if a != b and distance(a, b) <= 0.2 * max(len(a), len(b))]
+        rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
+        found = line_dedup.simhashes(spark.createDataFrame(rows, "id long, line string")).collect()
+        keys = {r["id"]: set(r["blocks"]) for r in found}
+        met = sum(bool(keys[2 * i] & keys[2 * i + 1]) for i in range(len(pairs)))
+        recall[name] = (met / len(pairs), len(pairs))
+    print(recall)
+    assert all(recall[name][0] >= least for name, (*_, least) in kinds.items()), recall
