@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 # Fixed values of the HTML standard: elements without an end tag, without text of the page, that
-# do not begin a block, and those whose start ends an open paragraph's sibling.
+# do not begin a block, of other languages, and those whose start ends an open paragraph's sibling.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -16,6 +16,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt "
     "s samp small span strike strong sub sup time tt u var".split()
 )
+FOREIGN = frozenset("svg math".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIBLINGS = {
     "li": frozenset(["li"]),
@@ -97,6 +98,11 @@ class _Reader(HTMLParser):
         self.open.append((tag, owner))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        # Only foreign elements end themselves; elsewhere the slash means nothing.
+        if tag in FOREIGN:
+            if self.skipped == "head":
+                self.skipped = ""
+            return
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:

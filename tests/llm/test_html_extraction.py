@@ -6,6 +6,7 @@ import pytest
 from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import html_extraction as x
+from tallyhouse.llm.dom import block_texts, read_page
 from tallyhouse.llm.shared import table
 
 PAGE = """<html><head><title>T</title></head><body><div id="cookie-banner">We use cookies</div>
@@ -88,3 +89,14 @@ def test_odd_rows(spark, model):
     assert found[5]["text"].count("some words") == 20_000
     assert found[None]["text"] == "<b> x é"
     assert x.extracted(pages.limit(0), x.fit_on([], 20)).collect() == []
+
+
+def test_foreign_elements_that_end_themselves():
+    html = (
+        '<body><p>Before <svg class="i"/> the icon</p><p><math/>After</p>'
+        "<svg><svg/><text>not read</text></svg><p>And the end</p>"
+    )
+    page = read_page(html)
+    assert block_texts(page, [True] * len(page.nodes)) == ["Before the icon", "After", "And the end"]
+    page = read_page("<head><title>T</title><svg/><p>No end of the head")
+    assert block_texts(page, [True] * len(page.nodes)) == ["No end of the head"]
