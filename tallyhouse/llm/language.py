@@ -11,8 +11,8 @@ Trigrams are not independent, so a text's log-likelihood counts with a fraction
 no more than as that of `MOST` trigrams.
 
 The trigram models are fitted on a bounded sample of the documents with a label: about `SAMPLE` per
-language, chosen by a hash of doc_id. Everything is scored whole. At most `LANGUAGES` languages,
-the most frequent ones, are told apart.
+language, chosen by a hash of doc_id. Everything is scored whole, and every language with a label is
+told apart.
 
 Edge cases: a row without text, declaration and address gets the prior of all rows. Null and empty
 texts and unknown declarations carry no evidence. Without labelled documents the result has no
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import cut, row_groups
 
-SAMPLE, LANGUAGES = 500, 50
+SAMPLE = 500
 #: Weight of a trigram's log-likelihood, and trigrams that count at most.
 WEIGHT, MOST = 0.2, 500
 #: Rows that the prior of the level above counts as.
@@ -44,7 +44,10 @@ _NOT_TEXT = re.compile(
 )
 _MARKUP = re.compile(r"(?s)<!--.*?-->|<[^>]*>")
 _DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_OPENED = re.compile(r"(?i)<html\b")
 _PIECE = 1 << 20
+#: Numbers of the trigram table that are looked up at once.
+_LOOKED_UP = 4_000_000
 
 
 @dataclass
@@ -57,8 +60,10 @@ class TrigramModel:
     def log_likelihood(self, text: str | None) -> np.ndarray:
         """The tempered log-likelihood of the text in each language, best one 0."""
         total, count = np.zeros(len(self.languages)), 0
+        step = max(_LOOKED_UP // max(len(total), 1), 1)
         for cells in trigrams(text):
-            total += self.table[cells].sum(axis=0, dtype=np.float64)
+            for start in range(0, len(cells), step):
+                total += self.table[cells[start : start + step]].sum(axis=0, dtype=np.float64)
             count += len(cells)
         if not count or not len(total):
             return np.zeros(len(self.languages))
@@ -83,22 +88,27 @@ def page_text(html: str | None) -> str:
 
 
 def declared(html: str | None) -> str | None:
-    found = _DECLARED.search((html or "")[: 1 << 16])
-    return found[1].lower() if found else None
+    """The `lang` of the first html element that has one, wherever it begins."""
+    html, at = html or "", 0
+    while opened := _OPENED.search(html, at):
+        end = html.find(">", opened.end())
+        at = len(html) if end < 0 else end
+        if found := _DECLARED.match(html, opened.start(), at):
+            return found[1].lower()
+    return None
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> TrigramModel:
     """Trigram models of the languages of labelled documents."""
     labelled = docs.where("lang is not null and text is not null")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    top = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    counts = {row["lang"]: row["n"] for row in top}
+    counts = {row["lang"]: row["n"] for row in sizes.collect()}
     names = sorted(counts)
     if not names:
         return TrigramModel([], np.zeros((_CELLS, 0), np.float32))
-    share = F.lit(0.0)
-    for name in names:
-        share = F.when(F.col("lang") == name, sample / counts[name]).otherwise(share)
+    shares = docs.sparkSession.createDataFrame(
+        [(name, sample / n) for name, n in counts.items()], "lang string, share double"
+    )
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,17 +131,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> TrigramModel:
                 )
 
     cells = (
-        labelled.where(turn < share)
+        labelled.select("doc_id", "lang", "text")
+        .join(F.broadcast(shares), "lang")
+        .where(turn < F.col("share"))
         .select("lang", "text")
         .mapInArrow(run, "lang string, cell long, n long")
         .groupBy("lang", "cell")
         .agg(F.sum("n").alias("n"))
     )
     table = np.zeros((_CELLS, len(names)))
-    for row in cells.collect():
-        table[row["cell"], names.index(row["lang"])] = row["n"]
+    place = {name: number for number, name in enumerate(names)}
+    for row in cells.toLocalIterator():
+        table[row["cell"], place[row["lang"]]] = row["n"]
     table += 0.1
-    return TrigramModel(names, np.log(table / table.sum(axis=0)).astype(np.float32))
+    table /= table.sum(axis=0)
+    return TrigramModel(names, np.log(table, out=table).astype(np.float32))
 
 
 def evidence(docs: DataFrame | None, pages: DataFrame | None, model: TrigramModel) -> DataFrame:

@@ -53,3 +53,20 @@ def test_odd_rows(spark, odd_docs):
     none = language.fit(odd_docs.limit(0))
     assert all(r["language"] is None for r in language.identified(odd_docs, pages, none).collect())
     assert language.identified(odd_docs.limit(0), pages.limit(0), model).collect() == []
+
+
+def test_more_languages_than_fifty(make_docs):
+    names = [a + b for a in "abcdef" for b in "klmnopqrst"]
+    rows = [(i, f"{name * 3} {name[::-1] * 4} " * 20, name, "s") for i, name in enumerate(names)]
+    docs = make_docs(rows * 2 + rows[:50])
+    model = language.fit(docs)
+    assert model.languages == sorted(names)
+    found = language.identified(docs, None, model).collect()
+    assert all(r["language"] == names[r["doc_id"]] == r["declared"] for r in found)
+
+
+def test_late_declaration():
+    late = "<!-- " + "x" * 100_000 + " --><HTML class=a><html dir=ltr LANG='pt-BR'><p>"
+    assert language.declared(late) == "pt"
+    assert language.declared("<html " * 50_000) is None
+    assert language.declared("<html><p lang=en>") is None
