@@ -6,6 +6,11 @@ P(grade <= k) = sigmoid(t_k - w x), with t_0 < t_1 < t_2, and w is not negative:
 those that occur significantly more often in toxic rows. The output is the expected severity, the
 sum over k of P(grade > k), from 0 to 3.
 
+A sum of counts can only rise with length, so a text is judged in windows of `WINDOW` words, each
+beginning half a window after the one before it and the last one at the text's end. The severity of
+a text is that of its worst window, and the model is fitted on the window of each labelled row that
+has the largest amount of toxic words. A text of at most `WINDOW` words is one window.
+
 Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the toxic rows in which
 its amount of toxic words lies; a clean row's grade is 0.
 
@@ -35,6 +40,8 @@ SAMPLE, FEATURES = 6000, 4000
 REJECT = 0.5
 #: A feature counts when it is in this many toxic rows and has this z-score of its log odds.
 LEAST_ROWS, LEAST_Z = 3, 3.5
+#: Words that are judged together.
+WINDOW = 200
 _PREFIXES = (4, 5, 6, 7, 8)
 
 
@@ -46,32 +53,51 @@ class Severity:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def expected(self, found: np.ndarray) -> float:
-        """Expected severity of a text with these features."""
+    def expected(self, text: str | None) -> float:
+        """Expected severity of the worst window of a text."""
         if not len(self.thresholds):
             return 0.0
-        number, value = self.known(found)
-        score = float(self.weights[number] @ value)
+        score = max(float(self.weights[number] @ value) for number, value in self.known(text))
         return float((1 / (1 + np.exp(self.thresholds - score))).sum())
 
-    def known(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers and values of those of the features that the model has."""
-        if not len(self.features) or not len(found):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
-        number, count = np.unique(at[self.features[at] == found], return_counts=True)
-        return number, np.log2(1.0 + count)
-
-
-def features(text: str | None) -> np.ndarray:
-    """The hash of every word and of its beginnings; repeats included."""
+    def largest(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers and values of the first window with the largest sum of values."""
+        return max(self.known(text), key=lambda window: window[1].sum())
+
+    def known(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each window, the numbers and values of those of its features that the model has."""
+        found, word, n_words = features(text)
+        number = np.zeros(0, dtype=np.int64)
+        if len(self.features) and len(found):
+            at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
+            hit = np.flatnonzero(self.features[at] == found)
+            hit = hit[np.argsort(word[hit], kind="stable")]
+            number, word = at[hit], word[hit]
+        for start in window_starts(n_words) if len(number) else [0]:
+            low, high = 0, 0
+            if len(number):
+                low, high = np.searchsorted(word, [start, start + WINDOW])
+            inside, count = np.unique(number[low:high], return_counts=True)
+            yield inside, np.log2(1.0 + count)
+
+
+def window_starts(n_words: int) -> list[int]:
+    """The first word of each window."""
+    last = max(n_words - WINDOW, 0)
+    return [*range(0, last, WINDOW // 2), last]
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hash of every word and of its beginnings, repeats included, the number of the word that
+    each belongs to, and how many words there are."""
     data = text_bytes(text)
     starts, ends = spans(data)
-    out = [range_hashes(data, starts, ends)]
+    out, word = [range_hashes(data, starts, ends)], [np.arange(len(starts))]
     for size in _PREFIXES:
-        long = ends - starts > size
+        long = np.flatnonzero(ends - starts > size)
         out.append(mix(range_hashes(data, starts[long], starts[long] + size) + np.uint64(size)))
-    return np.concatenate(out)
+        word.append(long)
+    return np.concatenate(out), np.concatenate(word), len(starts)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -91,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [np.unique(features(t)) for t in batch.column("text").to_pylist()]
+            found = [np.unique(features(t)[0]) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -127,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            known = [sent.value.known(features(t)) for t in batch.column("text").to_pylist()]
+            known = [sent.value.largest(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -220,7 +246,7 @@ def severity(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [sent.value.expected(features(t)) for t in batch.column("text").to_pylist()]
+            found = [sent.value.expected(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())],
                 names=["doc_id", "severity"],

@@ -52,3 +52,29 @@ def test_odd_rows(spark, odd_docs):
     kept = toxicity.drop_toxic(odd_docs, labels.limit(0))
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
     assert toxicity.drop_toxic(odd_docs.limit(0), labels).collect() == []
+
+
+def test_length_does_not_make_a_text_toxic(spark, split_labels):
+    """Texts of 20,000 words, joined from held-out clean rows that are accepted alone."""
+    docs = table(spark, LARGE, "documents")
+    train, test = split_labels
+    model = toxicity.fit(docs, train)
+    clean = docs.join(test.where("toxic = 0").select("doc_id"), "doc_id").orderBy("doc_id")
+    texts = [r["text"] for r in clean.collect() if r["text"]]
+    texts = [t for t in texts if len(t.split()) <= 1000 and model.expected(t) < toxicity.REJECT]
+    rng = np.random.default_rng(3)
+    rejected = 0
+    for _ in range(20):
+        joined, n_words = [], 0
+        while n_words < 20_000:
+            joined.append(texts[rng.integers(len(texts))])
+            n_words += len(joined[-1].split())
+        rejected += model.expected("\n".join(joined)) >= toxicity.REJECT
+    assert rejected <= 5
+
+
+def test_windows_cover_every_word():
+    for n_words in (0, 1, toxicity.WINDOW, toxicity.WINDOW + 1, 5 * toxicity.WINDOW + 7):
+        starts = toxicity.window_starts(n_words)
+        assert starts[0] == 0 and starts[-1] == max(n_words - toxicity.WINDOW, 0)
+        assert all(b - a <= toxicity.WINDOW // 2 for a, b in zip(starts, starts[1:], strict=False))
