@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
     decontamination,
     exact_dedup,
     html_extraction,
     language,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
     secrets,
+    substring_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from tallyhouse.llm.shared import table
 
@@ -68,6 +72,23 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": _line_dedup,
     "op2_exact_dedup": _exact_dedup,
@@ -79,8 +100,14 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": _secrets,
     "op9_language_id": _language,
     "op10_decontamination": _decontamination,
+    "op11_lexical_search": _lexical_search,
+    "op12_whitening": _whitening,
+    "op13_substring_dedup": _substring_dedup,
 }
 
+#: A word and the twelve after it in one string; null where there are not so many.
+_NEXT_WORDS = " || ' ' || ".join(["word", *(f"lead(word, {k}) OVER later" for k in range(1, 13))])
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
         WITH lowered AS (
@@ -151,4 +178,72 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
         FROM sized LEFT JOIN firsts USING (payload_digest)
     """,
+    "op11_lexical_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS d, doc_id, text FROM documents
+        ), found AS (
+            SELECT d, doc_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM docs
+        ), held AS (
+            SELECT d, doc_id, term, count(*) AS tf FROM found GROUP BY ALL
+        ), lengths AS (
+            SELECT d, count(*) AS n FROM found GROUP BY d
+        ), totals AS (
+            SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+        ), frequencies AS (
+            SELECT term, count(*) AS df FROM held GROUP BY term
+        ), asked AS (
+            SELECT row_number() OVER () AS i, item_id, text FROM benchmark
+        ), wanted AS (
+            SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM asked
+        ), weighed AS (
+            SELECT i, item_id, term, CAST(floor(1000 * ln(
+                       CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM wanted JOIN frequencies USING (term), totals
+        ), scored AS (
+            SELECT i, item_id, d, doc_id, CAST(sum(w * (1000000000 * tf
+                       // (1000 * tf + 20 * (50 + 50 * n * docs // terms)))) AS BIGINT) AS score
+            FROM weighed JOIN held USING (term) JOIN lengths USING (d), totals
+            GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        WINDOW best AS (PARTITION BY i, item_id ORDER BY score DESC, doc_id NULLS LAST)
+        QUALIFY row_number() OVER best <= 50
+    """,
+    "op13_substring_dedup": rf"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS d, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), placed AS (
+            SELECT d, doc_id, unnest(words) AS word,
+                   unnest(generate_series(1, len(words))) AS place
+            FROM docs
+        ), windows AS (
+            SELECT d, doc_id, place, {_NEXT_WORDS} AS words
+            FROM placed WINDOW later AS (PARTITION BY d ORDER BY place)
+        ), firsts AS (
+            SELECT words, min(doc_id) AS first_id FROM windows
+            WHERE words IS NOT NULL GROUP BY words
+        ), gone AS (
+            SELECT DISTINCT d, unnest(generate_series(place, place + 12)) AS place
+            FROM windows JOIN firsts USING (words) WHERE first_id < doc_id
+        ), kept AS (
+            SELECT d, string_agg(word, ' ' ORDER BY place) AS text
+            FROM placed ANTI JOIN gone USING (d, place) GROUP BY d
+        ), removed AS (
+            SELECT d, count(*) AS n FROM gone GROUP BY d
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(removed.n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (d) LEFT JOIN removed USING (d)
+    """,
 }
