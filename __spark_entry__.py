@@ -309,6 +309,10 @@ def _affected_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.affected_customers(_delta(spark, sf_dir))
 
 
+def _affected_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.affected_months(_delta(spark, sf_dir))
+
+
 def _affected_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.orders_of(
         Marketplace(spark, sf_dir).stamped_star().order, _affected_customers(spark, sf_dir)
@@ -399,6 +403,7 @@ _QUERIES: dict[str, Query] = {
     "delta_flagged": _delta_flagged,
     "new_customers": _new_customers,
     "affected_customers": _affected_customers,
+    "affected_months": _affected_months,
     "affected_history": _affected_history,
     "mart_insert_rows": _mart_insert_rows,
     "mart_update": _mart_update,

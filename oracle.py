@@ -433,6 +433,7 @@ FROM delta d LEFT JOIN (SELECT customer_id FROM known) k ON d.customer_id = k.cu
             "SELECT customer_id FROM affected WHERE customer_id NOT IN (FROM known)"
         ),
         "affected_customers": _with("SELECT customer_id FROM affected"),
+        "affected_months": _with("SELECT DISTINCT customer_id, report_month FROM delta"),
         "affected_history": _with(
             f"""SELECT {_ORDER}, strftime(order_load_dttm, '%Y-%m-%d %H:%M:%S') AS load_dttm
 FROM stamped_orders WHERE order_customer_id IN (FROM affected)"""

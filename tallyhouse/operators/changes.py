@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.columns import moment
+from tallyhouse.functions.columns import moment, report_month
 from tallyhouse.operators.star import Star, star_join
 
 # Fixed value: the mark before the first run.
 FIRST_MARK = dt.date(1900, 1, 1)
 
 DIMENSION_STAMPS = ["craftsman_load_dttm", "customers_load_dttm", "products_load_dttm"]
-ORDER_STAMP = "order_load_dttm"
+CUSTOMER_STAMP, ORDER_STAMP = "customers_load_dttm", "order_load_dttm"
+MONTH_KEY = ["customer_id", "report_month"]
 
 
 def hwm_read(log: DataFrame) -> DataFrame:
@@ -112,15 +115,56 @@ def affected_customers(delta_rows: DataFrame) -> DataFrame:
     return delta_rows.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
 
 
-def affected_summary(delta_rows: DataFrame) -> DataFrame:
-    """The affected customers with the number and the latest stamps of their delta rows:
-    both the keys to recompute and all that the next mark needs, from one pass."""
-    return delta_rows.groupBy("customer_id").agg(
+def affected_months(delta_rows: DataFrame) -> DataFrame:
+    """Customer months of which an order was touched: the rows of the report that can differ."""
+    return delta_rows.select(*MONTH_KEY).where(F.col("customer_id").isNotNull()).distinct()
+
+
+def affected_summary(delta_rows: DataFrame, mark: dt.datetime | dt.date) -> DataFrame:
+    """The affected customer months with the number and the latest stamps of their delta rows:
+    both the keys to bring up to date and all that the next mark needs, from one pass.
+
+    A month is `measured` anew when an order, a craftsman or a product of it was touched. If only
+    the customer was, none of its measures can differ."""
+    stamps = [c for c in [*DIMENSION_STAMPS, ORDER_STAMP] if c != CUSTOMER_STAMP]
+    measured = reduce(or_, [F.coalesce(F.col(c) > _bound(mark), F.lit(False)) for c in stamps])
+    return delta_rows.groupBy(*MONTH_KEY).agg(
         F.count(F.lit(1)).alias("delta_rows"),
+        F.bool_or(measured).alias("measured"),
         *[F.max(c).alias(c) for c in [*DIMENSION_STAMPS, ORDER_STAMP]],
     )
 
 
+def measured_if_unknown(summary: DataFrame, report: DataFrame) -> DataFrame:
+    """The summary, in which months that the report does not have yet are measured too: those of a
+    customer who appeared after their orders."""
+    known = report.select(
+        F.col("customer_id").cast("bigint").alias("__customer"),
+        F.col("report_month").alias("__month"),
+        F.lit(True).alias("__known"),
+    )
+    same = (F.col("customer_id") == F.col("__customer")) & F.col("report_month").eqNullSafe(
+        F.col("__month")
+    )
+    measured = F.col("measured") | F.col("__known").isNull()
+    return (
+        summary.join(known, same, "left")
+        .withColumn("measured", measured)
+        .select(*summary.columns)
+    )
+
+
+def orders_in(orders: DataFrame, months: DataFrame) -> DataFrame:
+    """The orders of the given customer months. Orders without a day are a month of their own."""
+    wanted = months.select(
+        F.col("customer_id").alias("__customer"), F.col("report_month").alias("__month")
+    )
+    same = (F.col("order_customer_id") == F.col("__customer")) & report_month(
+        F.col("order_created_date")
+    ).eqNullSafe(F.col("__month"))
+    return orders.join(wanted, same, "left_semi")
+
+
 def orders_of(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """The whole history of the given customers."""
     return orders.join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +19,18 @@ from tallyhouse.operators.changes import (
     delta,
     exact_mark,
     latest_mark,
-    orders_of,
+    measured_if_unknown,
+    orders_in,
 )
 from tallyhouse.operators.checks import (
     check_merge_cardinality,
-    check_not_null,
     check_pk,
-    check_source_keys,
+    months_seen,
     refuse,
+    set_of,
+    watch_of,
+    watched_nulls,
+    with_alike,
 )
 from tallyhouse.operators.star import Star
 from tallyhouse.operators.upsert import changed_rows, latest_per_key, overwrite, unmatched
@@ -41,6 +46,7 @@ from tallyhouse.plans.star_load import (
     source_rows,
 )
 from tallyhouse.sources.schemas import (
+    CUSTOMER_ATTRIBUTES,
     CUSTOMER_REPORT,
     REPORT_COLUMNS,
     REPORT_KEY,
@@ -53,7 +59,7 @@ from tallyhouse.sources.snapshots import (
     Parts,
     SnapshotTables,
     latest_parts,
-    months_in,
+    month_part,
 )
 
 REPORT = "customer_report_datamart"
@@ -113,18 +119,16 @@ class Refresh:
         written = self.merge_delivery(craft_products_orders, customers, last, run_ts)
         star = self._star_after(last, written, run_ts)
 
-        mark = last.mark_ts if self.exact_mark else last.load_dttm
-        affected = self.tables.write(
-            "affected_customers",
-            affected_summary(self._delta(star, mark, last, written, run_ts)),
-            run_ts,
+        affected, seen = self._affected(star, last, written, run_ts)
+        order_parts = dict.fromkeys(written[ORDER], run_ts)
+        report_months, last_id = self._refresh_report(
+            star, affected, seen, last, order_parts, run_ts
         )
-        report_months, last_id = self._refresh_report(star, affected, last, run_ts)
         self.tables.append_log(
-            affected.agg(
+            self.spark.range(1).select(
                 F.lit(last.runs + 1).cast("bigint").alias("id"),
-                day_mark(run_ts).alias("load_dttm"),
-                exact_mark(mark).alias("mark_ts"),
+                F.lit(seen["load_dttm"]).cast("date").alias("load_dttm"),
+                F.lit(seen["mark_ts"]).cast("timestamp_ntz").alias("mark_ts"),
                 moment(run_ts).alias("run_ts"),
                 F.lit(last_id).cast("bigint").alias("last_report_id"),
                 _names([t.name for t in STAR_TABLES if t is not ORDER and written[t]]).alias(
@@ -181,7 +185,7 @@ class Refresh:
         finished = [row["run_ts"] for row in log.select("run_ts").collect()]
         stages = [f"{t.name}_{kind}" for t in STAR_TABLES for kind in ("source", "changes")]
         for run_ts in finished:
-            for name in [*stages, "affected_customers", "report_rows", "report_changes"]:
+            for name in [*stages, "affected_months", "report_rows", "report_changes"]:
                 self.tables.remove(name, run_ts)
             for name in {t.name for t in STAR_TABLES if t is not ORDER}:
                 if last.dimensions.get(name) != run_ts:
@@ -236,55 +240,70 @@ class Refresh:
     def _merge_table(
         self, table: StarTable, rows: DataFrame, last: LastRun, run_ts: dt.datetime
     ) -> list[str]:
-        rows = self._incoming(table, rows, run_ts)
-        target = self._reached(table, rows, last)
+        rows, seen = self._incoming(table, rows, run_ts)
+        target = self._reached(table, seen, last)
         # The source alone tells whether it has double keys; the target is asked only then.
-        if not check_source_keys(rows, table.natural_key).isEmpty():
+        if seen["alike"] > 1:
             refuse(
                 check_merge_cardinality(target, rows, table.natural_key),
                 f"{table.name}: several source rows for one target row",
             )
         if self.only_if_changed and last.run_ts is not None:
             compared = [name for name in table.schema.names if name != "load_dttm"]
-            rows = self.tables.write(
+            rows, seen = self.tables.write_watched(
                 f"{table.name}_changes",
                 changed_rows(
                     rows.select(*compared), target.select(*compared), table.natural_key
                 ),
                 run_ts,
+                watch_of(month=_month_of(table), key=table.key),
             )
-            target = self._reached(table, rows, last)
-        if rows.isEmpty():
+            target = self._reached(table, seen, last)
+        if not seen["rows"]:
             return []
         merged = merge(table, target, rows, run_ts, self.only_if_changed)
         if table is ORDER:
-            written = months_in(rows, _order_month())
-            self.tables.write_months(table.name, merged, _order_month(), run_ts)
+            written = months_seen(seen["months"])
+            self.tables.write_months(table.name, merged, _order_month(), run_ts, watch_of())
+            # An id is unique over all months. Only files whose range of ids meets that of the
+            # rows have to be read for it.
+            near = F.col(table.key).between(seen["low"], seen["high"])
+            doubled = True
         else:
-            written = [table.name]
-            self.tables.write(table.name, merged, run_ts)
-        whole = self._after(table, last, written, run_ts)
-        refuse(check_pk(whole, [table.key], among=rows), f"{table.name}: double keys")
+            written, near = [table.name], F.lit(True)
+            counted = with_alike(merged, [table.key])
+            _, after = self.tables.write_watched(
+                table.name, counted, run_ts, watch_of(alike=True)
+            )
+            doubled = after["alike"] > 1
+        if doubled:
+            whole = self._after(table, last, written, run_ts).where(near)
+            refuse(check_pk(whole, [table.key], among=rows), f"{table.name}: double keys")
         return written
 
-    def _incoming(self, table: StarTable, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
-        """The distinct source rows of a table, written because two joins and three checks
-        read them."""
+    def _incoming(
+        self, table: StarTable, rows: DataFrame, run_ts: dt.datetime
+    ) -> tuple[DataFrame, dict[str, object]]:
+        """The distinct source rows of a table, written because two joins read them, and what the
+        checks and the merge need to know of them, from the same job."""
         if self.keep_latest and "load_dttm" in rows.columns:
             rows = latest_per_key(rows, table.natural_key, by="load_dttm")
-        written = self.tables.write(f"{table.name}_source", rows, run_ts)
-        refuse(
-            check_not_null(written, required_columns(table.schema)),
-            f"{table.name}: required columns without a value",
+        required = [c for c in required_columns(table.schema) if c in rows.columns]
+        written, seen = self.tables.write_watched(
+            f"{table.name}_source",
+            with_alike(rows, table.natural_key),
+            run_ts,
+            watch_of(required, alike=True, month=_month_of(table), key=table.key),
         )
-        return written
+        refuse(watched_nulls(seen), f"{table.name}: required columns without a value")
+        return written, seen
 
-    def _reached(self, table: StarTable, rows: DataFrame, last: LastRun) -> DataFrame:
+    def _reached(self, table: StarTable, seen: dict[str, object], last: LastRun) -> DataFrame:
         """The part of a table that rows may match. Orders match on their creation day
         among others, so that it is the months the rows are of."""
         if table is not ORDER:
             return self._after(table, last)
-        months = _only(last.order_months, months_in(rows, _order_month()))
+        months = _only(last.order_months, months_seen(seen["months"]))
         return self.tables.read_months(table.name, table.schema, months)
 
     def _after(
@@ -316,6 +335,34 @@ class Refresh:
         ]
         return Star(craftsman, product, customer, order)
 
+    def _affected(
+        self,
+        star: Star,
+        last: LastRun,
+        written: dict[StarTable, list[str]],
+        run_ts: dt.datetime,
+    ) -> tuple[DataFrame, dict[str, object]]:
+        """The customer months that the delta touches, written, with the months to measure anew,
+        the months to describe anew, and the next marks."""
+        mark = last.mark_ts if self.exact_mark else last.load_dttm
+        touched, among = self._delta(star, mark, last, written, run_ts)
+        summary = affected_summary(touched, mark)
+        if "customer" in among:
+            known = self.tables.read_months(REPORT, self._report_schema(), last.report_months)
+            summary = measured_if_unknown(summary, known)
+        month = month_part(F.col("report_month"))
+        return self.tables.write_watched(
+            "affected_months",
+            summary,
+            run_ts,
+            {
+                "measured": set_of(F.when(F.col("measured"), month)),
+                "described": set_of(F.when(~F.col("measured"), month)),
+                "load_dttm": day_mark(run_ts).cast("string"),
+                "mark_ts": exact_mark(mark).cast("string"),
+            },
+        )
+
     def _delta(
         self,
         star: Star,
@@ -323,10 +370,10 @@ class Refresh:
         last: LastRun,
         written: dict[StarTable, list[str]],
         run_ts: dt.datetime,
-    ) -> DataFrame:
-        """The star rows touched since the mark. A stamp is the time of the run that wrote the
-        row, so months and dimensions that no later run wrote cannot have been touched: they
-        are not read for it."""
+    ) -> tuple[DataFrame, list[str]]:
+        """The star rows touched since the mark, and the dimensions among which there can be any. A
+        stamp is the time of the run that wrote the row, so months and dimensions that no later run
+        wrote cannot have been touched: they are not read for it."""
         after = mark if isinstance(mark, dt.datetime) else dt.datetime.combine(mark, dt.time())
         parts = {table: dict.fromkeys(written[table], run_ts) for table in STAR_TABLES}
         months = last.order_months | parts[ORDER]
@@ -335,29 +382,43 @@ class Refresh:
         tables = {"craftsman": CRAFTSMAN, "customer": CUSTOMER, "product": PRODUCT}
         among = [name for name, table in tables.items() if fresh.get(table.name, after) > after]
         orders = self.tables.read_months(ORDER.name, ORDER.schema, recent)
-        return delta(star, mark, orders, among)
+        return delta(star, mark, orders, among), among
 
     def _refresh_report(
-        self, star: Star, affected: DataFrame, last: LastRun, run_ts: dt.datetime
+        self,
+        star: Star,
+        affected: DataFrame,
+        seen: dict[str, object],
+        last: LastRun,
+        written: Parts,
+        run_ts: dt.datetime,
     ) -> tuple[list[str], int]:
-        """Compute the affected customers' rows anew, and write the months in which a row
-        is new or differs. Returns those months and the greatest id in the report."""
+        """Bring the affected customer months up to date, and write the months in which a row is
+        new or differs. Returns those months and the greatest id in the report.
+
+        Months of which an order was touched are measured anew, from the orders of those months
+        alone. Where only the customer was touched, their new attributes go into the rows."""
         schema = self._report_schema()
-        known = self.tables.read_months(REPORT, schema, last.report_months)
-        history = replace(star, order=orders_of(star.order, affected))
-        rows = self.tables.write(
-            "report_rows",
-            conform_report(report_rows(history), self.wide_keys),
+        measured, described = months_seen(seen["measured"]), months_seen(seen["described"])
+        rows = []
+        if measured:
+            rows.append(self._measured(star, affected, measured, last, written))
+        if described:
+            rows.append(self._described(star, affected, described, last))
+        if not rows:
+            return [], last.last_report_id
+        fresh = self.tables.write("report_rows", reduce(DataFrame.unionByName, rows), run_ts)
+        known = self._report_in(sorted({*measured, *described}), last)
+        changes, found = self.tables.write_watched(
+            "report_changes",
+            changed_rows(fresh, known, REPORT_KEY, null_safe=True),
             run_ts,
+            watch_of(month=month_part(F.col("report_month"))),
         )
-        changes = self.tables.write(
-            "report_changes", changed_rows(rows, known, REPORT_KEY, null_safe=True), run_ts
-        )
-        month = F.col("report_month")
-        months = months_in(changes, month)
+        months = months_seen(found["months"])
         if not months:
             return [], last.last_report_id
-        target = self.tables.read_months(REPORT, schema, _only(last.report_months, months))
+        target = self._report_in(months, last)
 
         # Rows without a month are one group per customer: here NULL equals NULL.
         measures = [name for name in REPORT_COLUMNS if name not in REPORT_KEY]
@@ -367,10 +428,44 @@ class Refresh:
             last.last_report_id,
             self.wide_keys,
         )
-        self.tables.write_months(REPORT, kept.unionByName(added), month, run_ts)
-        written = self.tables.read_months(REPORT, schema, dict.fromkeys(months, run_ts))
-        last_id = written.agg(F.max("id")).first()[0]
-        return months, max(last_id, last.last_report_id)
+        after = self.tables.write_months(
+            REPORT, kept.unionByName(added), F.col("report_month"), run_ts, watch_of(key="id")
+        )
+        return months, max(after["high"], last.last_report_id)
+
+    def _measured(
+        self, star: Star, affected: DataFrame, months: list[str], last: LastRun, written: Parts
+    ) -> DataFrame:
+        """The rows of customer months computed from their orders."""
+        orders = self._orders_in(months, last, written)
+        history = replace(star, order=orders_in(orders, affected.where("measured")))
+        return conform_report(report_rows(history), self.wide_keys)
+
+    def _described(
+        self, star: Star, affected: DataFrame, months: list[str], last: LastRun
+    ) -> DataFrame:
+        """The rows of customer months with the attributes that their customers have now."""
+        known = self._report_in(months, last).select(*REPORT_COLUMNS)
+        wanted = affected.where("not measured").select(
+            F.col("customer_id").alias("__customer"), F.col("report_month").alias("__month")
+        )
+        same = (F.col("customer_id") == F.col("__customer")) & F.col("report_month").eqNullSafe(
+            F.col("__month")
+        )
+        rows = known.join(wanted, same, "left_semi")
+        return overwrite(rows, star.customer, ["customer_id"], CUSTOMER_ATTRIBUTES)
+
+    def _orders_in(self, months: list[str], last: LastRun, written: Parts) -> DataFrame:
+        """The orders of some months, as this run leaves them."""
+        return self.tables.read_months(
+            ORDER.name, ORDER.schema, _only(last.order_months | written, months)
+        )
+
+    def _report_in(self, months: list[str], last: LastRun) -> DataFrame:
+        """The report's rows of some months, as the last run left them."""
+        return self.tables.read_months(
+            REPORT, self._report_schema(), _only(last.report_months, months)
+        )
 
     def _report_schema(self) -> T.StructType:
         return widened(CUSTOMER_REPORT, "id", "customer_id") if self.wide_keys else CUSTOMER_REPORT
@@ -380,6 +475,11 @@ def _order_month() -> Column:
     return report_month(F.col("order_created_date"))
 
 
+def _month_of(table: StarTable) -> Column | None:
+    """The months that are watched: those of orders, as other tables have none."""
+    return month_part(_order_month()) if table is ORDER else None
+
+
 def _only(known: Parts, months: list[str]) -> Parts:
     return {month: known[month] for month in months if month in known}
 

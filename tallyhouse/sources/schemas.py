@@ -100,6 +100,9 @@ RUN_LOG = _schema(
 )
 
 REPORT_KEY = ["customer_id", "report_month"]
+CUSTOMER_ATTRIBUTES = [
+    "customer_name", "customer_address", "customer_birthday", "customer_email",
+]
 REPORT_COLUMNS = [name for name in CUSTOMER_REPORT.names if name != "id"]
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,22 +42,40 @@ class SnapshotTables:
         rows.write.mode("overwrite").parquet(path)
         return self._spark.read.schema(rows.schema).parquet(path)
 
+    def write_watched(
+        self, name: str, rows: DataFrame, run_ts: dt.datetime, watch: dict[str, Column]
+    ) -> tuple[DataFrame, dict[str, object]]:
+        """As `write`, and what `watch` says of the rows, found by the job that writes them.
+        Columns that begin with two underscores are watched and not written."""
+        observed, watched = _observed(rows, watch)
+        written = self.write(name, observed, run_ts)
+        return written, watched.get
+
     def read(self, name: str, schema: T.StructType, run_ts: dt.datetime | None) -> DataFrame:
         """A table's state after a run; empty before the first one."""
         if run_ts is None:
             return self._spark.createDataFrame([], schema)
         return self._spark.read.schema(schema).parquet(self._path(name, run_ts))
 
-    def write_months(self, name: str, rows: DataFrame, month: Column, run_ts: dt.datetime) -> None:
-        """Write whole months of a table. Rebalancing gives each month few files, and
-        splits a month that is too large for one task."""
+    def write_months(
+        self,
+        name: str,
+        rows: DataFrame,
+        month: Column,
+        run_ts: dt.datetime,
+        watch: dict[str, Column],
+    ) -> dict[str, object]:
+        """Write whole months of a table, and return what `watch` says of the rows. Rebalancing
+        gives each month few files, and splits a month that is too large for one task."""
+        observed, watched = _observed(rows, watch)
         (
-            rows.withColumn(_PART, _part(month))
+            observed.withColumn(_PART, month_part(month))
             .hint("rebalance", _PART)
             .write.mode("overwrite")
             .partitionBy(_PART)
             .parquet(self._path(name, run_ts))
         )
+        return watched.get
 
     def read_months(self, name: str, schema: T.StructType, months: Parts) -> DataFrame:
         """The given months of a table, each from the run that wrote it last."""
@@ -110,12 +128,6 @@ class SnapshotTables:
         return f"{self._root}/{name}/run={run_ts:%Y%m%dT%H%M%S%f}"
 
 
-def months_in(rows: DataFrame, month: Column) -> list[str]:
-    """The months that occur in a frame, as `write_months` names them. There can be no more
-    than the calendar has."""
-    return sorted(row[0] for row in rows.select(_part(month)).distinct().collect())
-
-
 def latest_parts(log: DataFrame, column: str) -> Parts:
     """The last run that wrote each of the parts listed in a column of the log."""
     written = log.select("run_ts", F.explode(column).alias("part"))
@@ -132,5 +144,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tallyhouse/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
-def _part(month: Column) -> Column:
+def month_part(month: Column) -> Column:
+    """A month as `write_months` names it. There can be no more than the calendar has."""
     return F.coalesce(month, F.lit(_NO_MONTH))
+
+
+def _observed(rows: DataFrame, watch: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The rows, watched by whatever job computes them first."""
+    watched = Observation()
+    seen = rows.observe(watched, *[metric.alias(name) for name, metric in watch.items()])
+    return seen.select([c for c in rows.columns if not c.startswith("__")]), watched

@@ -39,8 +39,8 @@ def refreshed(spark, tmp_path_factory):
 
 def affected(refresh, run_ts):
     return refresh.tables.read(
-        "affected_customers", "customer_id BIGINT", run_ts
-    ).count()
+        "affected_months", "customer_id BIGINT", run_ts
+    ).distinct().count()
 
 
 def test_exact_marks_affect_fewer_customers(refreshed):
@@ -231,5 +231,111 @@ def test_a_small_delivery_reads_only_what_runs_since_the_mark_wrote(spark, tmp_p
     plan = recent.where(F.col("load_dttm") > F.lit(SECOND))._jdf.queryExecution().executedPlan()
     assert "GreaterThan(load_dttm" in plan.toString()
     assert {r.customer_id for r in refresh.tables.read(
-        "affected_customers", "customer_id BIGINT", THIRD
+        "affected_months", "customer_id BIGINT", THIRD
     ).collect()} == {1}
+
+
+def spied(monkeypatch, cls, name, note):
+    real = getattr(cls, name)
+
+    def spy(self, *args, **named):
+        note(self, *args)
+        return real(self, *args, **named)
+
+    monkeypatch.setattr(cls, name, spy)
+
+
+def test_a_delivery_of_one_order_measures_one_month(spark, tmp_path, monkeypatch):
+    """Customer 1 has orders in two months, and the new one is in the second: the report's row of
+    the first is not computed again, nor are the first month's orders read for it."""
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    measured = []
+    real = changes.orders_in
+
+    def spy(orders, months):
+        measured.append((orders.inputFiles(), months.collect()))
+        return real(orders, months)
+
+    monkeypatch.setattr("tallyhouse.plans.refresh.orders_in", spy)
+    order = [(9, 1, "Vase", "Bob", dt.date(2023, 2, 11), None, "created")]
+    report = refresh.run(wide(spark, order), customers(spark), SECOND)
+    (files, months), = measured
+    assert files and all("month_part=2023-02" in f for f in files)
+    assert [(r.customer_id, r.report_month) for r in months] == [(1, "2023-02")]
+    assert refresh.tables.read("report_rows", "customer_id INT", SECOND).count() == 1
+    counts = {(r.customer_id, r.report_month): r.customer_order_count for r in report.collect()}
+    assert counts == {(1, "2023-01"): 3, (1, "2023-02"): 2, (2, "2023-01"): 2}
+
+
+def test_a_moved_customer_is_described_and_not_measured(spark, tmp_path, monkeypatch):
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    before = shown(refresh.report())
+
+    def none(orders, months):
+        raise AssertionError("no order was touched")
+
+    monkeypatch.setattr("tallyhouse.plans.refresh.orders_in", none)
+    moved = customers(spark, 1).withColumn("customer_address", F.lit("elsewhere"))
+    report = refresh.run(wide(spark, []), moved, SECOND)
+    assert shown(report) == before
+    assert sorted((r.id, r.customer_id, r.customer_address) for r in report.collect()) == [
+        (1, 1, "elsewhere"), (2, 1, "elsewhere"), (3, 2, "Road 2"),
+    ]
+    affected_rows = refresh.tables.read(
+        "affected_months", "customer_id BIGINT, measured BOOLEAN", SECOND
+    ).collect()
+    assert [(r.customer_id, r.measured) for r in affected_rows] == [(1, False), (1, False)]
+
+
+def test_a_customer_who_appears_after_their_orders(spark, tmp_path):
+    """Orders of an unknown customer are not in the report until the customer is delivered, and
+    then in all their months, whichever run wrote them."""
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1), FIRST)
+    late = [(9, 2, "Rug", "Bob", dt.date(2023, 3, 3), None, "created")]
+    report = refresh.run(wide(spark, late), customers(spark), SECOND)
+    assert {r.customer_id for r in report.collect()} == {1}
+    report = refresh.run(wide(spark, []), customers(spark, 2), THIRD)
+    full = conform_report(report_rows(refresh.star()))
+    rows = report.select(*full.columns)
+    assert rows.exceptAll(full).isEmpty() and full.exceptAll(rows).isEmpty()
+    assert {(r.customer_id, r.report_month) for r in rows.collect()} == {
+        (1, "2023-01"), (1, "2023-02"), (2, "2023-01"), (2, "2023-03"),
+    }
+
+
+def test_checks_are_taken_while_writing(spark, tmp_path, monkeypatch):
+    """A delivery writes each table's rows, changes and merged rows once. Nothing is read again for
+    the checks but the ids of orders."""
+    refresh = Refresh(spark, str(tmp_path), exact_mark=True, only_if_changed=True)
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    last = refresh.last_run()
+    orders, people = wide(spark, BATCH_2), customers(spark, 3)
+    writes, reads = [], []
+    spied(monkeypatch, type(orders.write), "parquet", lambda _, path: writes.append(path))
+    for name in ("collect", "first", "count", "isEmpty"):
+        spied(monkeypatch, type(orders), name, lambda frame, *_: reads.append(frame.columns))
+    refresh.merge_delivery(orders, people, last, SECOND)
+    tables = sorted(path.removeprefix(f"{tmp_path}/").split("/")[0] for path in writes)
+    assert tables == sorted(
+        [f"{t}_{k}" for t in ("d_craftsman", "d_customer", "d_product", "f_order")
+         for k in ("changes", "source")] + ["d_customer", "f_order"]
+    )
+    assert reads == [["order_id", "row_count"]]
+
+
+def test_ids_of_other_months_are_read_within_the_range_of_the_delivery(spark, tmp_path):
+    refresh = Refresh(spark, str(tmp_path))
+    refresh.run(wide(spark, BATCH_1), customers(spark, 1, 2), FIRST)
+    taken = [(4, 2, "Rug", "Bob", dt.date(2023, 3, 3), None, "created")]
+    with pytest.raises(ConstraintViolation, match="f_order: double keys.*'order_id': 4"):
+        refresh.run(wide(spark, taken), customers(spark), SECOND)
+    assert refresh.last_run().runs == 1
+
+
+def test_two_orders_with_one_id_in_a_delivery(spark, tmp_path):
+    doubled = [BATCH_1[0], (1, 2, "Rug", "Bob", dt.date(2023, 4, 3), None, "created")]
+    with pytest.raises(ConstraintViolation, match="f_order: double keys.*'order_id': 1"):
+        Refresh(spark, str(tmp_path)).run(wide(spark, doubled), customers(spark, 1, 2), FIRST)
