@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import moment, report_month
+from tallyhouse.operators.key_filter import key_filter, may_hold
 from tallyhouse.operators.star import Star, star_join
 
 # Fixed value: the mark before the first run.
@@ -79,17 +80,20 @@ def touched_orders(
 
     The first are a filter on the stamp alone, which reaches the scan; `recent` may be the part
     of the orders that can have such stamps. The others are found by the keys touched in the
-    dimensions `among` which there can be any, few in a regular run."""
+    dimensions `among` which there can be any, few in a regular run. A filter over these keys cuts
+    the orders where they are read, so that the joins shuffle little else than what they keep."""
     stamped = F.col("load_dttm") > _bound(mark)
     out = (star.order if recent is None else recent).where(stamped)
     if not among:
         return out
-    rest = star.order.where(~F.coalesce(stamped, F.lit(False)))
-    for name in among:
-        keys = touched(getattr(star, name), mark).select(
-            F.col(f"{name}_id").alias(f"order_{name}_id"), F.lit(True).alias(f"__{name}")
-        )
-        rest = rest.join(keys, f"order_{name}_id", "left")
+    keys = {
+        name: touched(getattr(star, name), mark).select(F.col(f"{name}_id").alias(f"order_{name}_id"))
+        for name in among
+    }
+    near = [may_hold(key_filter(of), F.col(f"order_{name}_id")) for name, of in keys.items()]
+    rest = star.order.where(~F.coalesce(stamped, F.lit(False))).where(reduce(or_, near))
+    for name, of in keys.items():
+        rest = rest.join(of.withColumn(f"__{name}", F.lit(True)), f"order_{name}_id", "left")
     reached = F.coalesce(*[F.col(f"__{name}") for name in among])
     return out.unionByName(rest.where(reached).select(*star.order.columns))
 

@@ -24,3 +24,35 @@ def test_ids_are_consecutive_in_key_order(spark, kind, spread):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "customer_id INT, report_month STRING")
     assert with_row_ids(empty, "customer_id", ["report_month"]).count() == 0
+
+
+def test_ids_do_not_depend_on_the_size_of_blocks(spark):
+    rows = spark.range(3_000).select(
+        (F.col("id") * 7919 % 1000 - 500).cast("int").alias("k"), (F.col("id") % 3).alias("m")
+    ).distinct()
+    order = {tuple(r): n for n, r in enumerate(sorted(map(tuple, rows.collect())), 1)}
+    for bits in (0, 3, 16):
+        made = with_row_ids(rows, "k", ["m"], block_bits=bits)
+        assert {(r.k, r.m): r.id for r in made.collect()} == order
+
+
+def test_many_tasks_number_the_rows(spark):
+    """The 15,000 customers of the largest given tables are numbered by as many tasks as there are
+    partitions. Broadcasts are off, or the rows could be sent to where the sizes are."""
+    many = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in many}
+    for name, value in many.items():
+        spark.conf.set(name, value)
+    try:
+        customers = spark.read.parquet("/root/testdata/sf0.1/customer.parquet")
+        rows = customers.select("c_custkey").withColumn("m", F.lit(1))
+        made = with_row_ids(rows, "c_custkey", ["m"])
+        tasks = made.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) >= 8 and max(t["count"] for t in tasks) < 3_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

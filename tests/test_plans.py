@@ -66,10 +66,12 @@ def test_semi_and_anti_joins(plan_of):
 
 
 def test_nothing_is_brought_into_one_task(plan_of):
-    """But for aggregates that give one row, and the sizes of the blocks of ids."""
+    """But for aggregates that give one row, and the sizes of the blocks of ids. The words of a key
+    filter, a fixed number, are such an aggregate."""
     one_row = {"hwm_read", "hwm_next", "check_not_null"}
     for name in LAZY:
-        alone = plan_of(name).count("Exchange SinglePartition")
+        plan = plan_of(name)
+        alone = plan.count("Exchange SinglePartition") - plan.count("[partial_collect_list(entry")
         assert alone == (1 if name in one_row | {"mart_ids"} else 0), name
 
 
