@@ -23,6 +23,7 @@ from tallyhouse.operators.upsert import latest_per_key, overwrite  # noqa: E402
 from tallyhouse.plans import report, star_load  # noqa: E402
 from tallyhouse.plans.refresh import Refresh  # noqa: E402
 from tallyhouse.sources import schemas  # noqa: E402
+from tallyhouse.sources.inputs import read_new_files  # noqa: E402
 from tallyhouse.sources.marketplace import FIRST_RUN, SECOND_RUN, Marketplace  # noqa: E402
 from tallyhouse.sources.snapshots import shared_folder  # noqa: E402
 
@@ -128,6 +129,15 @@ def _orphan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _new_customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of customers in one folder, of which the second is read."""
+    market, folder = Marketplace(spark, sf_dir), f"{shared_folder(spark)}/customers"
+    market.first_delivery().customers.write.parquet(folder)
+    _, read = read_new_files(spark, folder, schemas.CUSTOMERS, None)
+    market.second_delivery().customers.write.mode("append").parquet(folder)
+    return read_new_files(spark, folder, schemas.CUSTOMERS, read)[0]
+
+
 # Report
 
 
@@ -362,6 +372,7 @@ _QUERIES: dict[str, Query] = {
     "distinct_product": _source_rows(star_load.PRODUCT),
     "distinct_customer": _source_rows(star_load.CUSTOMER),
     "distinct_order": _source_rows(star_load.ORDER),
+    "new_customer_files": _new_customer_files,
     "load_craftsman": _load(star_load.CRAFTSMAN),
     "load_product": _load(star_load.PRODUCT),
     "load_customer": _load(star_load.CUSTOMER),

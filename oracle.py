@@ -287,6 +287,7 @@ def statements() -> dict[str, str]:
         "distinct_product": _with(f"SELECT DISTINCT {_PRODUCT} FROM sold_products"),
         "distinct_customer": _with(f"SELECT DISTINCT {_CUSTOMER} FROM customers"),
         "distinct_order": _with(f"SELECT DISTINCT {_ORDER} FROM all_orders"),
+        "new_customer_files": _with(f"SELECT {_CUSTOMER} FROM second_customers"),
         "load_craftsman": _with(
             f"SELECT DISTINCT {_CRAFTSMAN}, {_NO_STAMP} FROM sold_craftsmen"
         ),

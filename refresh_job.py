@@ -11,9 +11,9 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from tallyhouse.plans.refresh import Refresh
+from tallyhouse.plans.refresh import LastRun, Refresh
 from tallyhouse.session import settings
-from tallyhouse.sources.inputs import read_source
+from tallyhouse.sources.inputs import read_new_files, read_source
 from tallyhouse.sources.schemas import CRAFT_PRODUCTS_ORDERS, CUSTOMERS
 
 
@@ -42,6 +42,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--clean", action="store_true", help="delete what this run has superseded, and its stages"
     )
+    parser.add_argument(
+        "--new-files",
+        action="store_true",
+        help="read only files that were written since those of the last run; both sources must "
+        "be folders",
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("customer report refresh").getOrCreate()
@@ -56,11 +62,20 @@ def main(argv: list[str] | None = None) -> None:
         keep_latest=args.keep_latest,
         wide_keys=args.wide_keys,
     )
+    orders_read = customers_read = None
+    if args.new_files:
+        last = LastRun() if args.rebuild else refresh.last_run()
+        orders, orders_read = read_new_files(
+            spark, args.orders, CRAFT_PRODUCTS_ORDERS, last.orders_read
+        )
+        customers, customers_read = read_new_files(
+            spark, args.customers, CUSTOMERS, last.customers_read
+        )
+    else:
+        orders = read_source(spark, args.orders, CRAFT_PRODUCTS_ORDERS)
+        customers = read_source(spark, args.customers, CUSTOMERS)
     report = refresh.run(
-        read_source(spark, args.orders, CRAFT_PRODUCTS_ORDERS),
-        read_source(spark, args.customers, CUSTOMERS),
-        args.run_ts,
-        rebuild=args.rebuild,
+        orders, customers, args.run_ts, args.rebuild, orders_read, customers_read
     )
     if args.publish:
         refresh.publish(args.publish)

@@ -74,6 +74,8 @@ class LastRun:
     load_dttm: dt.date = FIRST_MARK
     mark_ts: dt.datetime | dt.date = FIRST_MARK
     last_report_id: int = 0
+    orders_read: dt.datetime | None = None
+    customers_read: dt.datetime | None = None
     dimensions: Parts = field(default_factory=dict)
     order_months: Parts = field(default_factory=dict)
     report_months: Parts = field(default_factory=dict)
@@ -107,10 +109,13 @@ class Refresh:
         customers: DataFrame,
         run_ts: dt.datetime,
         rebuild: bool = False,
+        orders_read: dt.datetime | None = None,
+        customers_read: dt.datetime | None = None,
     ) -> DataFrame:
         """Merge one delivery into the star, bring the report up to date, move the mark.
         Returns the report. Each run needs a later `run_ts` than the one before. `rebuild`
-        starts over from the delivery alone: what earlier runs left is not read again."""
+        starts over from the delivery alone: what earlier runs left is not read again.
+        `orders_read` and `customers_read` are noted in the log for the next run."""
         last = self.last_run()
         if last.run_ts is not None and last.run_ts >= run_ts:
             raise ValueError(f"run_ts {run_ts} is not later than the last run, {last.run_ts}")
@@ -137,6 +142,8 @@ class Refresh:
                 _names(written[ORDER]).alias("order_months"),
                 _names(report_months).alias("report_months"),
                 F.lit(rebuild).alias("rebuilt"),
+                _time(orders_read or last.orders_read).alias("orders_read"),
+                _time(customers_read or last.customers_read).alias("customers_read"),
             )
         )
         return self.tables.read_months(
@@ -179,25 +186,24 @@ class Refresh:
         self.tables.publish(f"{database}.{name}", schema, paths)
 
     def clean(self) -> None:
-        """Delete the stages of all finished runs, and the parts that a later run has written
-        anew. Readers of an earlier state must be done."""
-        last, log = self.last_run(), self.tables.log()
-        finished = [row["run_ts"] for row in log.select("run_ts").collect()]
+        """Delete what the log does not name: the stages of all runs, the parts that a later run has
+        written anew, and all that runs left which did not finish. The folders are listed, so a run
+        that died is found without being repeated, and what is gone is not looked for again. No run
+        may be under way, and readers of an earlier state must be done."""
+        last = self.last_run()
         stages = [f"{t.name}_{kind}" for t in STAR_TABLES for kind in ("source", "changes")]
-        for run_ts in finished:
-            for name in [*stages, "affected_months", "report_rows", "report_changes"]:
+        for name in [*stages, "affected_months", "report_rows", "report_changes"]:
+            for run_ts in self.tables.runs(name):
                 self.tables.remove(name, run_ts)
-            for name in {t.name for t in STAR_TABLES if t is not ORDER}:
+        for name in [t.name for t in STAR_TABLES if t is not ORDER]:
+            for run_ts in self.tables.runs(name):
                 if last.dimensions.get(name) != run_ts:
                     self.tables.remove(name, run_ts)
-        for name, column, current in (
-            (ORDER.name, "order_months", last.order_months),
-            (REPORT, "report_months", last.report_months),
-        ):
-            written = log.select("run_ts", F.explode(column).alias("month")).collect()
-            for row in written:
-                if current.get(row["month"]) != row["run_ts"]:
-                    self.tables.remove(name, row["run_ts"], [row["month"]])
+        for name, current in ((ORDER.name, last.order_months), (REPORT, last.report_months)):
+            for run_ts in self.tables.runs(name):
+                kept = {month for month, ts in current.items() if ts == run_ts}
+                old = [month for month in self.tables.months(name, run_ts) if month not in kept]
+                self.tables.remove(name, run_ts, old if kept else None)
 
     def last_run(self) -> LastRun:
         log = self.tables.log()
@@ -209,6 +215,8 @@ class Refresh:
             latest_mark("load_dttm", "date"),
             latest_mark("mark_ts", "timestamp_ntz"),
             F.coalesce(F.max("last_report_id"), F.lit(0)).alias("last_report_id"),
+            F.max("orders_read").alias("orders_read"),
+            F.max("customers_read").alias("customers_read"),
         ).first()
         return LastRun(
             **latest.asDict(),
@@ -484,5 +492,9 @@ def _only(known: Parts, months: list[str]) -> Parts:
     return {month: known[month] for month in months if month in known}
 
 
+def _time(ts: dt.datetime | None) -> Column:
+    return F.lit(None).cast("timestamp_ntz") if ts is None else moment(ts)
+
+
 def _names(parts: list[str]) -> Column:
     return F.array(*[F.lit(part) for part in parts]).cast("array<string>")

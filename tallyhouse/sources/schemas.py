@@ -91,11 +91,13 @@ CUSTOMERS = _schema(
 # One row per finished refresh. `load_dttm` is the day-precision mark, `mark_ts` the exact
 # one. `run_ts` names the directories that the run wrote, `dimensions` the tables among
 # them, `order_months` and `report_months` the months; `last_report_id` is the greatest id
-# so far. Rows before the last one that `rebuilt` everything are history.
+# so far. `orders_read` and `customers_read` are the times up to which files of the sources were
+# taken, if runs take new files only. Rows before the last one that `rebuilt` everything are
+# history.
 RUN_LOG = _schema(
     "id BIGINT, load_dttm DATE, mark_ts TIMESTAMP_NTZ, run_ts TIMESTAMP_NTZ, "
     "last_report_id BIGINT, dimensions STRINGS, order_months STRINGS, report_months STRINGS, "
-    "rebuilt BOOLEAN",
+    "rebuilt BOOLEAN, orders_read TIMESTAMP_NTZ, customers_read TIMESTAMP_NTZ",
     required=("id", "load_dttm", "run_ts"),
 )
 

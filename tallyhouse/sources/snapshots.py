@@ -23,6 +23,7 @@ from tallyhouse.sources.schemas import RUN_LOG
 
 RUN_LOG_NAME = "run_log"
 _PART = "month_part"
+_RUN, _STAMP = "run", "%Y%m%dT%H%M%S%f"
 _NO_MONTH = "none"
 
 # Which run wrote each month of a table, or each table.
@@ -90,10 +91,31 @@ class SnapshotTables:
         """Delete what a run wrote of a table, or some of its months."""
         path = self._path(name, run_ts)
         for each in [path] if months is None else [f"{path}/{_PART}={m}" for m in months]:
-            target = self._spark._jvm.org.apache.hadoop.fs.Path(each)
-            system = target.getFileSystem(self._spark._jsc.hadoopConfiguration())
+            system, target = self._system(each)
             system.delete(target, True)
 
+    def runs(self, name: str) -> list[dt.datetime]:
+        """The runs that left files of a table, finished or not."""
+        found = self._listed(f"{self._root}/{name}", _RUN)
+        return sorted(dt.datetime.strptime(value, _STAMP) for value in found)
+
+    def months(self, name: str, run_ts: dt.datetime) -> list[str]:
+        """The months of which a run left files."""
+        return sorted(self._listed(self._path(name, run_ts), _PART))
+
+    def _listed(self, path: str, key: str) -> list[str]:
+        """The values of the folders `key`=value below a path."""
+        system, target = self._system(path)
+        if not system.exists(target):
+            return []
+        names = [status.getPath().getName() for status in system.listStatus(target)]
+        return [name.split("=", 1)[1] for name in names if name.startswith(f"{key}=")]
+
+    def _system(self, path: str) -> tuple:
+        """The file system of a path, through Spark's own connection to it."""
+        target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self._spark._jsc.hadoopConfiguration()), target
+
     def paths(
         self, name: str, run_ts: dt.datetime | None, months: Parts | None = None
     ) -> list[str]:
@@ -103,14 +125,18 @@ class SnapshotTables:
         return [] if run_ts is None else [self._path(name, run_ts)]
 
     def publish(self, name: str, schema: T.StructType, paths: list[str]) -> None:
-        """A view in the catalog over files of one schema."""
+        """A view in the catalog over files of one schema. All paths are one relation, so a query
+        plans one scan, however many months there are."""
         nothing = ", ".join(
             f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields
         )
         names = ", ".join(f"`{f.name}`" for f in schema.fields)
-        parts = [f"SELECT {names} FROM parquet.`{path}`" for path in paths]
-        body = " UNION ALL ".join(parts) or f"SELECT {nothing} WHERE false"
-        self._spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+        below = [path.removeprefix(f"{self._root}/") for path in paths]
+        where = below[0] if len(below) == 1 else "{" + ",".join(below) + "}"
+        body = f"SELECT {names} FROM parquet.`{self._root}/{where}`" if paths else None
+        self._spark.sql(
+            f"CREATE OR REPLACE VIEW {name} AS {body or f'SELECT {nothing} WHERE false'}"
+        )
 
     def log_path(self) -> str:
         return f"{self._root}/{RUN_LOG_NAME}"
@@ -125,7 +151,7 @@ class SnapshotTables:
         entry.coalesce(1).write.mode("append").parquet(self.log_path())
 
     def _path(self, name: str, run_ts: dt.datetime) -> str:
-        return f"{self._root}/{name}/run={run_ts:%Y%m%dT%H%M%S%f}"
+        return f"{self._root}/{name}/{_RUN}={run_ts.strftime(_STAMP)}"
 
 
 def latest_parts(log: DataFrame, column: str) -> Parts:
