@@ -12,7 +12,7 @@ are tiled: a tile consists of seeds, so this loses nothing.
 
 Edge cases: null and empty texts match nothing; items of fewer than five words are not searched
 for, as such runs occur by chance. Items with equal texts are reported each. Repeated rows give
-repeated results.
+repeated results, and `drop_leaked` decides on each row by its own text.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import row_groups
+from tallyhouse.llm.shared import filtered, row_groups
 from tallyhouse.llm.words import words
 
 #: Words of the shortest tile; share of an item's words that tiles must cover.
 TILE, COVERAGE = 5, 0.5
 #: Words of the benchmark that go to the executors at a time (eight bytes each).
 BLOCK_WORDS = 1_000_000
+#: Pairs of equal seeds of a document and an item that are listed.
+MOST_PAIRS = 2_000_000
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,10 +54,14 @@ def tiles(
 ) -> list[tuple[int, int, int]]:
     """Greedy tiling: (place in the item, place in the document, number of words) of each tile.
 
-    Of equally long matches the one earlier in the item, then in the document, goes first."""
+    Of equally long matches the one earlier in the item, then in the document, goes first. Where
+    seeds repeat so much that a list of all pairs would not fit, as in a page of one word over and
+    over, the longest match is looked for anew for each tile."""
     order = np.argsort(item_seeds, kind="stable")
     low = np.searchsorted(item_seeds[order], doc_seeds, "left")
     count = np.searchsorted(item_seeds[order], doc_seeds, "right") - low
+    if count.sum() > MOST_PAIRS:
+        return _tiles_one_by_one(doc, item, least)
     at = np.repeat(np.arange(len(doc_seeds)), count)
     nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
     in_item = order[np.repeat(low, count) + nth]
@@ -87,6 +93,32 @@ def tiles(
     return sorted(out)
 
 
+def _tiles_one_by_one(
+    doc: np.ndarray, item: np.ndarray, least: int
+) -> list[tuple[int, int, int]]:
+    """The same tiles with memory in proportion to the texts. Words that the other side lacks end
+    every match, so only the others are compared."""
+    doc_free, item_free = np.isin(doc, item), np.isin(item, doc)
+    out = []
+    while True:
+        best = (0, 0, 0)
+        length = np.zeros(len(doc) + 1, dtype=np.int32)
+        for i in range(len(item) - 1, -1, -1):
+            if not item_free[i]:
+                length[:] = 0
+                continue
+            # The match that starts here is one word longer than the one after it on both sides.
+            length[:-1] = np.where((doc == item[i]) & doc_free, length[1:] + 1, 0)
+            longest = int(length.max())
+            if longest >= max(best[2], least):
+                best = (i, int(length.argmax()), longest)
+        i, d, size = best
+        if not size:
+            return sorted(out)
+        item_free[i : i + size] = doc_free[d : d + size] = False
+        out.append(best)
+
+
 @dataclass
 class Block:
     """Items of a benchmark, and their seeds in order."""
@@ -132,6 +164,21 @@ class Block:
         return hit, found
 
 
+    def leaked(
+        self, text: str | None, coverage: float
+    ) -> Iterator[tuple[int, list[tuple[int, int, int]], int]]:
+        """The items that a text leaks: their numbers, tiles, and how many words these cover."""
+        doc = words(text)
+        seeds = rolling(doc, self.least)
+        _, found = self.candidates(seeds, coverage)
+        for number in found:
+            item = self.items[number]
+            marked = tiles(doc, item, self.least, seeds, rolling(item, self.least))
+            covered = sum(t[2] for t in marked)
+            if covered >= coverage * len(item):
+                yield number, marked, covered
+
+
 def blocks(benchmark: DataFrame, least: int, block_words: int) -> Iterator[Block]:
     """The benchmark in blocks of about `block_words` words."""
 
@@ -194,27 +241,14 @@ def leaks(
                     batch.column("text").to_pylist(),
                     strict=True,
                 ):
-                    doc = words(text)
-                    seeds = rolling(doc, least)
-                    _, found = block.candidates(seeds, coverage)
-                    for number in found:
-                        item = block.items[number]
-                        marked = tiles(doc, item, least, seeds, rolling(item, least))
-                        covered = sum(t[2] for t in marked)
-                        if covered >= coverage * len(item):
-                            rows.append(
-                                (
-                                    doc_id,
-                                    block.ids[number],
-                                    len(item),
-                                    covered,
-                                    covered / len(item),
-                                    [
-                                        {"item_start": i, "doc_start": d, "n_words": n}
-                                        for i, d, n in marked
-                                    ],
-                                )
-                            )
+                    for number, marked, covered in block.leaked(text, coverage):
+                        size = len(block.items[number])
+                        spans = [
+                            {"item_start": i, "doc_start": d, "n_words": n} for i, d, n in marked
+                        ]
+                        rows.append(
+                            (doc_id, block.ids[number], size, covered, covered / size, spans)
+                        )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
                     names=names,
@@ -224,7 +258,21 @@ def leaks(
     return out
 
 
-def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that leak no item, with all their columns."""
-    leaked = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(docs.columns)
+def drop_leaked(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    least: int = TILE,
+    coverage: float = COVERAGE,
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents that leak no item, with all their columns. Each row is judged by its own text,
+    whatever its doc_id."""
+    context = docs.sparkSession.sparkContext
+    for block in blocks(benchmark, least, block_words):
+        sent = context.broadcast(block)
+
+        def clean(texts: list[str | None], sent=sent) -> list[bool]:
+            return [not any(sent.value.leaked(text, coverage)) for text in texts]
+
+        docs = filtered(docs, clean)
+    return docs

@@ -1,12 +1,14 @@
 """Exact duplicates by content-defined chunk recipes.
 
 Texts are equal when they are identical after lower-casing A-Z; null counts as empty. A text is
-cut where a gear hash of its last 64 bytes says so, so equal texts have equal chunks. Each
-distinct chunk moves once, to verify that its digest stands for one content; after that only
-lists of chunk identifiers are compared, and no text moves again.
-
-Edge cases: null and empty texts are equal and have an empty list. Rows that repeat a doc_id
-stand or fall together. A null doc_id loses to any other, but `keep_one` keeps its row. An empty
+cut where a gear hash of its last 64 bytes says so, so equal texts have equal chunks. A task
+sends each different chunk of its documents once, to verify that its digest stands for one content;
+after that only lists of chunk identifiers are compared. `keep_one` returns whole rows, of which a
+task sends one for each different text.
+
+Edge cases: null and empty texts are equal and have an empty list. A null doc_id loses to any
+other. Of rows that repeat a doc_id and a text `exact_groups` marks each as kept or each as not,
+and `keep_one` keeps exactly one row of each group of equal texts, whatever their ids. An empty
 table gives an empty result.
 """
 
@@ -20,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.llm.shared import cut, row_groups
 from tallyhouse.llm.words import mix
@@ -28,6 +31,7 @@ from tallyhouse.llm.words import mix
 LEAST, MEAN, MOST = 256, 2048, 16384
 #: Bytes of a chunk's digest.
 DIGEST = 16
+_RECIPE, _SHA = "__recipe", "__text_sha256"
 _GEAR = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -66,55 +70,49 @@ def _normalised(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def recipes(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
-    """doc_id, the digests of its chunks in one string of bytes, and the SHA-256 of the text."""
+    """The rows with the digests of their texts' chunks in one string of bytes, and the SHA-256 of
+    the text."""
+    names = [*docs.columns, _RECIPE, _SHA]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
             texts = _normalised(batch)
+            lists = [b"".join(d for d, _ in chunks_of(t, digest_bytes)) for t in texts]
+            digests = [hashlib.sha256(t).hexdigest() for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(
-                        [b"".join(d for d, _ in chunks_of(t, digest_bytes)) for t in texts],
-                        pa.binary(),
-                    ),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                ],
-                names=["doc_id", "recipe", "text_sha256"],
+                [*batch.columns, pa.array(lists, pa.binary()), pa.array(digests, pa.string())],
+                names=names,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, recipe binary, text_sha256 string"
-    )
+    more = [T.StructField(_RECIPE, T.BinaryType()), T.StructField(_SHA, T.StringType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
 def chunks(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
-    """doc_id, place, digest and content of every chunk."""
+    """SHA-256 of the text, place, digest and content of every chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
             rows = [
-                (doc_id, place, digest, body)
-                for doc_id, text in zip(
-                    batch.column("doc_id").to_pylist(), _normalised(batch), strict=True
-                )
+                (hashlib.sha256(text).hexdigest(), place, digest, body)
+                for text in _normalised(batch)
                 for place, (digest, body) in enumerate(chunks_of(text, digest_bytes))
             ]
-            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                names=["doc_id", "place", "digest", "body"],
+                names=[_SHA, "place", "digest", "body"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, place int, digest binary, body binary"
+    return docs.select("text").mapInArrow(
+        run, f"{_SHA} string, place int, digest binary, body binary"
     )
 
 
-def verified_recipes(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
-    """`recipes` in which equal lists mean equal texts: where a digest stands for more than one
-    content, the list also names which of them it is."""
-    rows = cut(recipes(docs, digest_bytes))
+def verified(rows: DataFrame, docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
+    """The rows of `recipes` in which equal lists mean equal texts: where a digest stands for more
+    than one content, the list also names which of them it is. What is added depends on the text
+    alone, so ids may repeat or be missing."""
     contents = chunks(docs, digest_bytes).groupBy("digest", "body").agg(F.count("*").alias("n"))
     clashing = cut(
         contents.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
@@ -131,29 +129,25 @@ def verified_recipes(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
     notes = (
         chunks(docs, digest_bytes)
         .join(told_apart, ["digest", "body"])
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_set(F.struct("place", "which"))).alias("notes"))
-    )
-    return rows.join(notes, "doc_id", "left").select(
-        "doc_id",
-        F.concat("recipe", F.coalesce(F.to_json("notes"), F.lit("")).cast("binary")).alias(
-            "recipe"
-        ),
-        "text_sha256",
+        .groupBy(_SHA)
+        .agg(F.sort_array(F.collect_set(F.struct("place", "which"))).alias("__notes"))
     )
+    told = F.concat(_RECIPE, F.coalesce(F.to_json("__notes"), F.lit("")).cast("binary"))
+    return rows.join(notes, _SHA, "left").withColumn(_RECIPE, told).select(*rows.columns)
 
 
 def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the largest doc_id stays."""
-    rows = verified_recipes(docs, digest_bytes)
+    found = recipes(docs.select("doc_id", "text"), digest_bytes).drop("text")
+    rows = verified(cut(found), docs, digest_bytes)
     groups = cut(
-        rows.groupBy("recipe")
+        rows.groupBy(_RECIPE)
         .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         .where("group_size > 1")
     )
-    return rows.join(groups, "recipe", "left").select(
+    return rows.join(groups, _RECIPE, "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id"))
         .otherwise(F.col("keep_id"))
@@ -162,11 +156,16 @@ def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
         F.when(F.col("group_size").isNull(), F.lit(True))
         .otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .alias("kept"),
-        "text_sha256",
+        F.col(_SHA).alias("text_sha256"),
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without exact duplicates, with all their columns."""
-    dropped = exact_groups(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+def keep_one(docs: DataFrame, digest_bytes: int = DIGEST) -> DataFrame:
+    """The documents without exact duplicates, with all their columns: of equal texts exactly one
+    row stays, one with the largest doc_id. Rows are ranked before they move, so a text that a
+    third of all rows have is sent once by each task."""
+    rows = verified(recipes(docs, digest_bytes), docs, digest_bytes)
+    best = Window.partitionBy(_RECIPE).orderBy(F.col("doc_id").desc_nulls_last())
+    return rows.withColumn("__rank", F.row_number().over(best)).where("__rank = 1").select(
+        *docs.columns
+    )

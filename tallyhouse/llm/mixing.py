@@ -40,11 +40,15 @@ def sized(docs: DataFrame) -> DataFrame:
         "doc_id",
         "source",
         F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("s"),
-        F.coalesce(F.regexp_count("text", F.lit(_SPACE)), F.lit(0)).cast("long").alias("size"),
+        _size().alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn"),
     )
 
 
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(_SPACE)), F.lit(0)).cast("long")
+
+
 def targets(rows: DataFrame, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """s, source_size, target and the number of words to take (the target without its fraction)."""
     sizes = rows.groupBy("s").agg(F.sum("size").alias("source_size"))
@@ -208,7 +212,7 @@ def mixed(rows: DataFrame, goals: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """A row per document: doc_id, source, size, source_size, target, taken."""
-    rows = cut(placed(sized(docs)))
+    rows = cut(placed(cut(sized(docs))))
     goals = cut(targets(rows))
     mix = mixed(rows, goals, block).groupBy("s", "start", "size").agg(
         F.sum("n_words").alias("taken")
@@ -225,3 +229,24 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
         )
     )
+
+
+def with_shares(docs: DataFrame) -> DataFrame:
+    """The documents with mix_size, mix_source_size, mix_target and mix_taken, which replace columns
+    of these names. Rows that share doc_id, source and size are numbered on both sides, so each gets
+    a share of its own."""
+    numbers = {name: f"mix_{name}" for name in ("size", "source_size", "target", "taken")}
+    key, turn = "__mix_key", "__mix_turn"
+
+    def keyed(rows: DataFrame, size: Column, order: str) -> DataFrame:
+        parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), size.cast("string")]
+        rows = rows.withColumn(key, F.concat_ws(":", *parts, "source"))
+        alike = Window.partitionBy(key).orderBy(order)
+        return rows.withColumn(turn, F.row_number().over(alike))
+
+    shares = keyed(taken(docs), F.col("size"), "taken").select(
+        key, turn, *[F.col(name).alias(shown) for name, shown in numbers.items()]
+    )
+    own = [c for c in docs.columns if c not in numbers.values()]
+    rows = keyed(docs.select(*own), _size(), key)
+    return rows.join(shares, [key, turn], "left").select(*own, *numbers.values())

@@ -15,8 +15,9 @@ With 24 bands of 4 a pair at similarity 0.8 is missed with probability 3e-6.
 
 Edge cases: a text without words (null, empty, only punctuation) is similar to nothing. A text of
 fewer than five words is one shingle of all its words. Texts with the same words in the same order
-are one text here; rows that repeat a doc_id are too. A row without a doc_id represents no group
-and `keep_one` keeps it.
+are one text here. Every row counts by its own text, also where doc_ids repeat; a missing doc_id is
+greater than any other. Rows that repeat a doc_id and a text are each marked as kept or each as
+not, and `keep_one` keeps one of them.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.grouping import classes
@@ -119,8 +120,15 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def row_key() -> Column:
+    """Tells apart rows that differ in doc_id or text."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.concat_ws(":", doc_id, F.xxhash64("text").cast("string"))
+
+
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, a key of its sequence of words, and its band keys (null without words)."""
+    """doc_id, the key of its row, one of its sequence of words, and its band keys (null without
+    words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
@@ -135,14 +143,15 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row_key"),
                     pa.array([sequence_hash(h) if len(h) else None for h in hashes], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "words_key", "bands"],
+                names=["doc_id", "row_key", "words_key", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, words_key binary, bands array<long>"
+    return docs.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(
+        run, "doc_id long, row_key string, words_key binary, bands array<long>"
     )
 
 
@@ -264,19 +273,35 @@ def near_classes(
     """A row per document: doc_id, class_id (the smallest doc_id of its group), kept.
 
     Buckets of more than `big` rows are compared in blocks; the result is the same."""
+    placed = _placed(docs, bands, rows, similarity, big)
+    return placed.select("doc_id", "class_id", "kept")
+
+
+def _placed(
+    docs: DataFrame,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    similarity: float = SIMILARITY,
+    big: int = BIG,
+) -> DataFrame:
+    """doc_id, row_key, class_id and kept of every row."""
     signs = cut(signed(docs, bands, rows))
-    numbered = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))
+    first = F.struct(F.col("doc_id").isNull().alias("unnumbered"), "doc_id", "row_key")
+    # A number for each different text, fixed by being written.
     texts = cut(
         signs.where("words_key is not null")
         .groupBy("words_key")
-        .agg(F.min(numbered).alias("one"), F.count("*").alias("n"))
-        .select("words_key", "n", "one.*")
-    )
-    buckets = texts.where("doc_id is not null").select(
-        F.col("doc_id").alias("id"), F.explode("bands").alias("key")
+        .agg(F.min(F.struct(first.alias("row"), "bands")).alias("one"), F.count("*").alias("n"))
+        .select(
+            F.monotonically_increasing_id().alias("id"), "words_key", "n", "one.row", "one.bands"
+        )
     )
+    buckets = texts.select("id", F.explode("bands").alias("key"))
+    keys = texts.select("id", F.col("row.row_key").alias("row_key"))
+
     def bodies(ids: DataFrame) -> DataFrame:
-        found = docs.select(F.col("doc_id").alias("id"), "text").join(checked(cut(ids)), "id")
+        wanted = checked(cut(keys.join(ids, "id", "left_semi")))
+        found = docs.select(row_key().alias("row_key"), "text").join(wanted, "row_key")
         return cut(found.groupBy("id").agg(F.max("text").alias("text")))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -287,20 +312,28 @@ def near_classes(
         return block_links(members, bodies(members.select("id").distinct()), similarity)
 
     label = classes(buckets, verify, verify_blocks, big)
+    linked = cut(texts.join(label, "id", "left").withColumn("no", F.coalesce("class_id", "id")))
+    least = linked.where("class_id is not null").groupBy("no").agg(F.min("row").alias("least"))
     moved = cut(
-        texts.join(label, F.col("doc_id") == F.col("id"), "left")
-        .withColumn("class_id", F.coalesce("class_id", "doc_id"))
-        .where("n > 1 or class_id != doc_id")
-        .select("words_key", "class_id")
-    )
-    placed = signs.select("doc_id", "words_key").join(moved, "words_key", "left")
-    class_id = F.coalesce("class_id", "doc_id")
-    return placed.select(
-        "doc_id", class_id.alias("class_id"), F.col("doc_id").eqNullSafe(class_id).alias("kept")
+        linked.join(least, "no", "left")
+        .withColumn("first", F.coalesce("least", "row"))
+        .where("n > 1 or first != row")
+        .select("words_key", "first")
     )
+    placed = signs.select("doc_id", "row_key", "words_key").join(moved, "words_key", "left")
+    told = F.col("first").isNotNull()
+    class_id = F.when(told, F.col("first.doc_id")).otherwise(F.col("doc_id"))
+    kept = ~told | (F.col("first.row_key") == F.col("row_key"))
+    return placed.select("doc_id", "row_key", class_id.alias("class_id"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one of each group of near duplicates, with all their columns."""
-    dropped = near_classes(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The documents with one row of each group of near duplicates, with all their columns.
+
+    Rows move once, dealt by their key; of equal rows a task sends one."""
+    key = "__row_key"
+    dropped = _placed(docs).where("not kept").select(F.col("row_key").alias(key)).distinct()
+    alike = Window.partitionBy(key).orderBy(key)
+    rows = docs.withColumn(key, row_key())
+    rows = rows.withColumn("__rank", F.row_number().over(alike)).where("__rank = 1")
+    return rows.join(dropped, key, "left_anti").select(*docs.columns)

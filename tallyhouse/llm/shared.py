@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +51,17 @@ def checked(frame: DataFrame, most: int = 200_000) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= most else frame
 
 
+def filtered(frame: DataFrame, keep: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose text `keep` wants, whole and in one pass: no row is joined or shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in row_groups(iter([batch]), "text"):
+                yield some.filter(pa.array(keep(some.column("text").to_pylist()), pa.bool_()))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def row_groups(
     batches: Iterator[pa.RecordBatch], text_column: str, most_chars: int = 2_000_000
 ) -> Iterator[pa.RecordBatch]:

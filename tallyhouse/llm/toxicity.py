@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import row_groups
+from tallyhouse.llm.shared import filtered, row_groups
 from tallyhouse.llm.words import mix, range_hashes, spans, text_bytes
 
 SAMPLE, FEATURES = 6000, 4000
@@ -256,7 +256,8 @@ def severity(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFr
     return scored.withColumn("toxic", F.col("severity") >= reject)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
-    rejected = severity(docs, fit(docs, labels)).where("toxic").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+def drop_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
+    """The documents that are not rejected, with all their columns. Each row is judged by its own
+    text, whatever its doc_id."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    return filtered(docs, lambda texts: [sent.value.expected(t) < reject for t in texts])

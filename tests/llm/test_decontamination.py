@@ -63,3 +63,32 @@ def test_reordered_passages_are_caught_and_clean_texts_are_not(spark, make_docs,
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
     assert d.leaks(docs.limit(0), bench).collect() == []
     assert d.leaks(docs, bench.limit(0)).collect() == []
+
+
+def test_tiles_without_a_list_of_pairs_are_the_same(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(60):
+        doc = np.array([rng.randrange(4) for _ in range(rng.randint(0, 60))], dtype=np.uint64)
+        item = np.array([rng.randrange(5) for _ in range(rng.randint(2, 20))], dtype=np.uint64)
+        listed = d.tiles(doc, item, 2, d.rolling(doc, 2), d.rolling(item, 2))
+        assert d._tiles_one_by_one(doc, item, 2) == listed
+
+
+def test_one_word_over_and_over(make_docs, spark):
+    """Seed pairs would be 200 million."""
+    docs = make_docs([(1, "no " * 100_000, "en", "a"), (2, "no " * 900, "en", "a")])
+    bench = spark.createDataFrame([(5, "no " * 2_000)], "item_id long, text string")
+    found = [(r["doc_id"], r["n_covered"]) for r in d.leaks(docs, bench).collect()]
+    assert found == [(1, 2_000)]
+
+
+def test_rows_are_dropped_by_their_own_texts(make_docs, spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(None, item), (3, item), (3, "clean text"), (None, "clean too"), (3, None)]
+    docs = make_docs([(i, text, "en", "a") for i, text in rows])
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    for size in (1_000_000, 4):
+        kept = d.drop_leaked(docs, bench, block_words=size).collect()
+        assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(
+            str(x) for x in [(3, "clean text"), (None, "clean too"), (3, None)]
+        )

@@ -26,6 +26,26 @@ def test_digests_that_clash_are_told_apart(make_docs, sql):
     same_as_sql(sql, make_docs(rows), digest_bytes=1)
 
 
+def test_one_row_of_each_text_stays_whatever_the_ids(make_docs, sql):
+    rows = [(1, "A"), (1, "B"), (2, "a"), (2, "A"), (None, "c"), (None, "C"), (None, "d")]
+    docs = make_docs([(i, text, "en", "a") for i, text in rows])
+    same_as_sql(sql, docs)
+    kept = sorted((r["doc_id"] or 0, r["text"].lower()) for r in exact_dedup.keep_one(docs).collect())
+    assert kept == [(0, "c"), (0, "d"), (1, "b"), (2, "a")]
+
+
+def test_clashing_digests_of_rows_without_own_ids(make_docs, sql):
+    """Texts of several chunks whose digests are one byte: lists of digests alone would group
+    different texts."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(0, 900))) for _ in range(60)]
+    for ids in ([None] * 60, [7] * 60, [i % 3 for i in range(60)]):
+        docs = make_docs([(i, text, "en", "a") for i, text in zip(ids, texts, strict=True)])
+        same_as_sql(sql, docs, digest_bytes=1)
+        kept = exact_dedup.keep_one(docs, digest_bytes=1)
+        assert sorted(r["text"] for r in kept.collect()) == sorted(set(texts))
+
+
 def test_empty_table(odd_docs):
     assert exact_dedup.exact_groups(odd_docs.limit(0)).collect() == []
     assert exact_dedup.keep_one(odd_docs.limit(0)).collect() == []

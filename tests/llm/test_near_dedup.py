@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pytest
-from .helpers import rows_of
+from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import near_dedup
+from tallyhouse.llm.shared import table
 
 
 def brute_classes(rows):
@@ -62,7 +63,7 @@ def test_odd_rows(odd_docs):
     assert all(by_id[i] == i for i in (1, 2, 3, 4, 8, 9))
     kept = near_dedup.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
-    assert {r["doc_id"] for r in kept.collect()} == {None, 1, 2, 3, 4, 5, 8, 9}
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8, 9]
 
 
 def test_copies_of_a_row_without_id(make_docs):
@@ -70,7 +71,25 @@ def test_copies_of_a_row_without_id(make_docs):
     docs = make_docs([(None, text, "en", "a"), (4, text, "en", "a"), (3, text + "!", "en", "a")])
     found = sorted((r["doc_id"] or 0, r["class_id"]) for r in near_dedup.near_classes(docs).collect())
     assert found == [(0, 3), (3, 3), (4, 3)]
-    assert near_dedup.keep_one(docs).count() == 2
+    assert [r["doc_id"] for r in near_dedup.keep_one(docs).collect()] == [3]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(make_docs):
+    one, two = "one two three four five six seven", "eight nine ten eleven twelve and more"
+    rows = [(1, one), (1, two), (2, one.upper()), (None, two + "!"), (None, "a b c d e f"), (1, one)]
+    docs = make_docs([(i, text, "en", "a") for i, text in rows])
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in near_dedup.keep_one(docs).collect())
+    assert kept == [(0, "a b c d e f"), (1, two), (1, one)]
+    found = near_dedup.near_classes(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["class_id"] or 0, r["kept"]) for r in found) == [
+        (0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False),
+    ]
+
+
+def test_same_groups_as_all_pairs_of_the_table(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
+    assert found == brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
 def test_empty_table(odd_docs):

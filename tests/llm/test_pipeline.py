@@ -9,7 +9,7 @@ from .test_near_dedup import brute_classes
 
 import corpus_pipeline
 from tallyhouse.llm import mixing, toxicity
-from tallyhouse.llm.shared import table
+from tallyhouse.llm.shared import cut, table
 from tallyhouse.llm.words import words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -35,7 +35,7 @@ def test_same_rows_as_brute_force(spark):
     rows = {r["doc_id"]: r for r in docs.collect()}
     left = [
         i for i, r in rows.items()
-        if model.expected(toxicity.features(r["text"])) < toxicity.REJECT
+        if model.expected(r["text"]) < toxicity.REJECT
     ]
     last = {}
     for i in sorted(left):
@@ -66,6 +66,33 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd_docs):
         docs = made
 
 
+def test_null_and_repeated_ids(spark, make_docs):
+    """No stage loses a text because another row shares its doc_id, nor keeps one for lack of it."""
+    item = table(spark, SMALL, "benchmark").first()["text"]
+    clean = [f"plain text number {i} about one thing and another {i}" for i in range(4)]
+    rows = [(1, clean[0], "a"), (1, clean[1], "a"), (2, clean[0].upper(), "a"), (None, clean[2], None),
+            (None, clean[2], None), (None, item, "b"), (3, item + " x", "b"), (3, clean[3], "b")]
+    docs = make_docs([(i, text, "en", source) for i, text, source in rows])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = cut(stage(spark, docs, SMALL))
+    found = sorted((str(r["doc_id"]), r["text"].lower(), r["mix_size"]) for r in docs.collect())
+    assert found == sorted(
+        (str(i), clean[k], 10) for i, k in ((2, 0), (1, 1), (None, 2), (3, 3))
+    )
+
+
+def test_rows_that_share_an_id_have_shares_of_their_own(spark, make_docs):
+    rows = [(1, "one two three", "a"), (1, "four five", "a"), (1, "six seven", "a"), (None, "x", None)]
+    docs = make_docs([(i, text, "en", source) for i, text, source in rows])
+    made = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    assert sorted((r["text"], r["mix_size"]) for r in made) == [
+        ("four five", 2), ("one two three", 3), ("six seven", 2), ("x", 1),
+    ]
+    assert sum(r["mix_taken"] for r in made if r["source"]) == int(
+        next(r["mix_target"] for r in made if r["source"])
+    )
+
+
 def test_mixing_columns_replace_others(spark, make_docs):
     docs = make_docs([(1, "one two three", "en", "a"), (2, "four", "en", None)])
     docs = docs.selectExpr("*", "'x' AS mix_size")
