@@ -56,10 +56,21 @@ class _Reader(HTMLParser):
         self.nodes = [Node("#page", -1, 0)]
         self.runs: list[tuple[int, int, str]] = []
         self.open: list[tuple[str, int]] = [("#page", 0)]
+        # Where in `open` the blocks are, and the elements of each name.
+        self.blocks, self.places = [0], {"#page": [0]}
         self.block = 0
         self.links = 0
         self.skipped = ""
         self.skip_depth = 0
+        self.endless = False
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        # What has no end from one place on has none from a later one: it is looked for once.
+        if self.endless:
+            return -1
+        end = super().parse_comment(i, report)
+        self.endless = end < 0
+        return end
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skipped:
@@ -95,7 +106,7 @@ class _Reader(HTMLParser):
             self.nodes[owner].children += 1
             self.nodes.append(Node(tag, owner, self.nodes[owner].depth + 1, names))
             owner = len(self.nodes) - 1
-        self.open.append((tag, owner))
+        self._push(tag, owner)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # Only foreign elements end themselves; elsewhere the slash means nothing.
@@ -114,15 +125,15 @@ class _Reader(HTMLParser):
         if tag == "br":
             self._run(" ")
             return
-        inline = tag in INLINE
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at][0] == tag or tag in HEADINGS and self.open[at][0] in HEADINGS:
-                self._close(at)
-                break
-            if inline and self.open[at][0] not in INLINE:
-                return
-        if not inline:
-            self.block += 1
+        # The nearest open element that the tag ends; an inline one only inside its block.
+        places = self.places.get(_kind(tag))
+        if tag in INLINE:
+            if places and places[-1] > self.blocks[-1]:
+                self._close(places[-1])
+            return
+        if places:
+            self._close(places[-1])
+        self.block += 1
 
     def handle_data(self, data: str) -> None:
         if not self.skipped:
@@ -139,20 +150,40 @@ class _Reader(HTMLParser):
     def _end_siblings(self, tag: str) -> None:
         """A block ends an open paragraph; an item ends the item before it."""
         ends = SIBLINGS.get(tag, frozenset())
-        for at in range(len(self.open) - 1, 0, -1):
+        turn = len(self.blocks) - 1
+        while turn > 0:
+            at = self.blocks[turn]
             name = self.open[at][0]
             if name == "p" or name in ends:
                 self._close(at)
                 if not ends or name != "p":
                     return
-            elif name not in INLINE and not (ends and name in _INSIDE.get(tag, ())):
+            elif not (ends and name in _INSIDE.get(tag, ())):
                 return
+            turn -= 1
+
+    def _push(self, tag: str, owner: int) -> None:
+        at = len(self.open)
+        self.open.append((tag, owner))
+        self.places.setdefault(_kind(tag), []).append(at)
+        if tag not in INLINE:
+            self.blocks.append(at)
 
     def _close(self, at: int) -> None:
-        self.links -= sum(name == "a" for name, _ in self.open[at:])
+        """End an element and all that are open inside it."""
+        for name, _ in reversed(self.open[at:]):
+            self.links -= name == "a"
+            self.places[_kind(name)].pop()
+            if name not in INLINE:
+                self.blocks.pop()
         del self.open[at:]
 
 
+def _kind(tag: str) -> str:
+    """Headings of all levels end each other."""
+    return "h" if tag in HEADINGS else tag
+
+
 _IN_HEAD = frozenset("title meta link base style script noscript template".split())
 _INSIDE = {"tr": ("td", "th"), "dt": (), "dd": (), "li": (), "td": (), "th": ()}
 

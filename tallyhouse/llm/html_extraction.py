@@ -35,6 +35,8 @@ from tallyhouse.llm.shared import row_groups
 
 #: Pages whose text fills the training templates; templates made; steps of training.
 TEXTS, TEMPLATES, STEPS = 60, 800, 400
+#: Characters and words of a sampled page that go into templates.
+SAMPLED_CHARS, SAMPLED_WORDS = 200_000, 2000
 KINDS = ("text", "part", "page")
 _TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dt dd td th li".split())
 
@@ -324,12 +326,19 @@ def _labelled(html: str) -> tuple[Page, list[int]]:
 
 
 def fit(pages: DataFrame, texts: int = TEXTS, templates: int = TEMPLATES) -> Model:
-    """The model trained with text of a bounded sample of the pages."""
+    """The model trained with text of a bounded sample of the pages: `texts` pages in the order of
+    a hash, chosen by hashes alone and read afterwards, of each the first `SAMPLED_CHARS` characters
+    (a bound on the sample, not on what is extracted)."""
+    key, order = F.xxhash64("page_id", "html").alias("key"), [F.xxhash64("page_id"), "page_id", "key"]
+    there = pages.where("html is not null")
+    chosen = there.select("page_id", key).distinct().orderBy(*order).limit(texts).select("key")
+    html = F.substring("html", 1, SAMPLED_CHARS).alias("html")
     rows = (
-        pages.where("html is not null")
-        .orderBy(F.xxhash64("page_id"), "page_id", "html")
-        .limit(texts)
-        .select("html")
+        there.select("page_id", key, html)
+        .join(F.broadcast(chosen), "key")
+        .groupBy("page_id", "key")
+        .agg(F.max("html").alias("html"))
+        .orderBy(*order)
         .collect()
     )
     return fit_on([row["html"] for row in rows], templates)
@@ -340,7 +349,7 @@ def fit_on(sample: list[str], templates: int = TEMPLATES) -> Model:
     labelled = []
     for html in sample:
         page = read_page(html)
-        words += " ".join(block_texts(page, [True] * len(page.nodes))).split()[:2000]
+        words += " ".join(block_texts(page, [True] * len(page.nodes))).split()[:SAMPLED_WORDS]
         known = labelled_by_tags(html)
         if known:
             labelled.append(known)

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,10 +40,10 @@ WEIGHT, MOST = 0.2, 500
 #: Rows that the prior of the level above counts as.
 SMOOTHING = 5.0
 _CELLS = 1 << 16
-_NOT_TEXT = re.compile(
-    r"(?is)<(head|script|style|nav|header|footer|aside|form|noscript|template)\b.*?</\1\s*>"
+_SET_ASIDE = re.compile(
+    r"(?i)<(/?)(head|script|style|nav|header|footer|aside|form|noscript|template)\b"
 )
-_MARKUP = re.compile(r"(?s)<!--.*?-->|<[^>]*>")
+_TAG_END = re.compile(r"\s*>")
 _DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
 _OPENED = re.compile(r"(?i)<html\b")
 _PIECE = 1 << 20
@@ -84,7 +85,49 @@ def trigrams(text: str | None) -> Iterator[np.ndarray]:
 
 def page_text(html: str | None) -> str:
     """The text of a page without the parts that the HTML standard sets aside, and markup."""
-    return entities.unescape(_MARKUP.sub(" ", _NOT_TEXT.sub(" ", html or "")))
+    return entities.unescape(_without_markup(_without_parts(html or "")))
+
+
+def _without_parts(html: str) -> str:
+    """The html with a space for each part, from its start to the next end of its name. A part that
+    nothing ends is not one. The page is searched once, however many are not ended."""
+    opened: list[tuple[int, int, str]] = []
+    closed: dict[str, list[tuple[int, int]]] = {}
+    for found in _SET_ASIDE.finditer(html):
+        name = found[2].lower()
+        if not found[1]:
+            opened.append((found.start(), found.end(), name))
+        elif end := _TAG_END.match(html, found.end()):
+            closed.setdefault(name, []).append((found.start(), end.end()))
+    out, at = [], 0
+    for start, after, name in opened:
+        if start < at:
+            continue
+        ends = closed.get(name, [])
+        turn = bisect_left(ends, (after, 0))
+        if turn < len(ends):
+            out += [html[at:start], " "]
+            at = ends[turn][1]
+    return "".join([*out, html[at:]])
+
+
+def _without_markup(html: str) -> str:
+    """The html with a space for each comment and tag; what is not ended is neither."""
+    out, at, begin = [], 0, html.find("<")
+    comments = True
+    while begin >= 0:
+        end = -1
+        if comments and html.startswith("<!--", begin):
+            end = html.find("-->", begin + 4) + 3
+            comments = end >= 3
+        if end < 3:
+            end = html.find(">", begin + 1) + 1
+            if not end:
+                break
+        out += [html[at:begin], " "]
+        at = end
+        begin = html.find("<", end)
+    return "".join([*out, html[at:]])
 
 
 def declared(html: str | None) -> str | None:

@@ -1,12 +1,14 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import html_extraction as x
 from tallyhouse.llm.dom import block_texts, read_page
+from tallyhouse.llm.language import page_text
 from tallyhouse.llm.shared import table
 
 PAGE = """<html><head><title>T</title></head><body><div id="cookie-banner">We use cookies</div>
@@ -100,3 +102,42 @@ def test_foreign_elements_that_end_themselves():
     assert block_texts(page, [True] * len(page.nodes)) == ["Before the icon", "After", "And the end"]
     page = read_page("<head><title>T</title><svg/><p>No end of the head")
     assert block_texts(page, [True] * len(page.nodes)) == ["No end of the head"]
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<form>" * 80_000,
+        "<!--" * 80_000,
+        "<" * 80_000,
+        "<div>" * 40_000 + "</p>" * 40_000,
+        "<b>" * 40_000 + "<p>x</p>" * 40_000,
+        "<b>" * 40_000 + "<div><i>" + "</u></i>" * 40_000,
+        "<form>" * 40_000 + "</form>" * 10 + "<nav>" * 40_000,
+    ],
+)
+def test_markup_without_end_takes_no_longer_than_other_markup(html):
+    """Looking for each end anew would take minutes."""
+    begun = time.process_time()
+    read_page(html)
+    page_text(html)
+    assert time.process_time() - begun < 10
+
+
+def test_text_of_pages_with_open_markup():
+    assert page_text("a<form>b<nav>c</nav >d<p>e") == "a b d e"
+    assert page_text("a<!--b--><!-- c <i>d") == "a  d"
+    assert page_text("<header>x</HEADER>y<head>z") == " y z"
+
+
+def test_extra_columns_and_odd_pages(spark):
+    rows = [(1, "u", None, "x", 7), (2, None, "", "x", 7), (None, "u", "<p>one</p>", None, None)]
+    schema = "page_id long, url string, html string, text string, n_chars int"
+    pages = spark.createDataFrame(rows, schema)
+    found = x.extracted(pages, x.fit(pages))
+    assert sorted(str((r["page_id"], r["url"], r["n_chars"])) for r in found.collect())[:2] == [
+        "(1, 'u', 0)", "(2, None, 0)",
+    ]
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert x.extracted(pages.limit(0), x.fit(pages.limit(0))).collect() == []
+
