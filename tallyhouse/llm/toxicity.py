@@ -8,14 +8,18 @@ sum over k of P(grade > k), from 0 to 3.
 
 A sum of counts can only rise with length, so a text is judged in windows of `WINDOW` words, each
 beginning half a window after the one before it and the last one at the text's end. The severity of
-a text is that of its worst window, and the model is fitted on the window of each labelled row that
-has the largest amount of toxic words. A text of at most `WINDOW` words is one window.
+a text is that of its worst window. A text of at most `WINDOW` words is one window. The model is
+fitted on the worst window of each labelled row, `ROUNDS` times, as each fit may find another window
+worst. At last the thresholds are raised until, of all windows of the clean rows of the sample, at
+most a share of `FALSE_WINDOWS` is rejected: a long text has many windows.
 
 Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the toxic rows in which
 its amount of toxic words lies; a clean row's grade is 0.
 
 The model is fitted on a bounded sample of labelled rows: at most `SAMPLE` rows of either label, in
-the order of a hash of doc_id, and at most `FEATURES` features. Everything is scored whole.
+the order of a hash of doc_id, and at most `FEATURES` features. Either label counts by the root of the
+number of all its rows, so the fit does not depend on how many of them are in the sample. Everything
+is scored whole.
 
 Edge cases: null and empty texts have no features and get the base severity, which is low. Labels
 that are null, or for rows that are not there, are left out. Without labels of both kinds nothing
@@ -40,8 +44,10 @@ SAMPLE, FEATURES = 6000, 4000
 REJECT = 0.5
 #: A feature counts when it is in this many toxic rows and has this z-score of its log odds.
 LEAST_ROWS, LEAST_Z = 3, 3.5
-#: Words that are judged together.
-WINDOW = 200
+#: Words that are judged together; fits, each with the windows that the one before finds worst.
+WINDOW, ROUNDS = 200, 3
+#: Share of the windows of clean rows that may be rejected.
+FALSE_WINDOWS = 5e-4
 _PREFIXES = (4, 5, 6, 7, 8)
 
 
@@ -57,12 +63,18 @@ class Severity:
         """Expected severity of the worst window of a text."""
         if not len(self.thresholds):
             return 0.0
-        score = max(float(self.weights[number] @ value) for number, value in self.known(text))
+        return self.severity_of(max(self.scores(text)))
+
+    def severity_of(self, score: float) -> float:
         return float((1 / (1 + np.exp(self.thresholds - score))).sum())
 
+    def scores(self, text: str | None) -> list[float]:
+        """The score of each window."""
+        return [float(self.weights[number] @ value) for number, value in self.known(text)]
+
     def largest(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers and values of the first window with the largest sum of values."""
-        return max(self.known(text), key=lambda window: window[1].sum())
+        """The numbers and values of the first window with the largest score."""
+        return max(self.known(text), key=lambda window: self.weights[window[0]] @ window[1])
 
     def known(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each window, the numbers and values of those of its features that the model has."""
@@ -100,10 +112,15 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate(out), np.concatenate(word), len(starts)
 
 
+def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id and toxic (0 or 1) of the labelled documents."""
+    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, toxic and text of at most `sample` toxic and as many clean rows."""
-    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known_labels(docs, labels)
     parts = [
         known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         for toxic in (0, 1)
@@ -148,8 +165,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
         .limit(FEATURES)
     )
     values = np.array([row["feature"] for row in chosen.select("feature").collect()], np.int64)
-    model = Severity(np.sort(values.view(np.uint64)), np.zeros(len(values)), np.zeros(0))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    model = Severity(np.sort(values.view(np.uint64)), np.ones(len(values)), np.zeros(0))
+    if not len(values):
+        return Severity(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+    labelled = {r["toxic"]: r["n"] for r in known_labels(docs, labels).groupBy("toxic").agg(
+        F.count("*").alias("n")
+    ).collect()}
+    # Rows are judged by their worst window, and which one that is the model decides: the first fit
+    # takes the one with the most features, each later one what the fit before finds worst.
+    for _ in range(ROUNDS):
+        model = _fitted(model, _windows(rows, model), labelled)
+    return calibrated(model, rows.where("toxic = 0"))
+
+
+def _windows(rows: DataFrame, model: Severity) -> list:
+    """The worst window of each labelled row."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
@@ -167,10 +198,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
     small = rows.select("doc_id", "toxic", "text").mapInArrow(
         narrow, "doc_id long, toxic int, known array<long>, value array<double>"
     )
-    return _fitted(model, sorted(small.collect()))
+    return sorted(small.collect())
 
 
-def _fitted(model: Severity, rows: list) -> Severity:
+def _fitted(model: Severity, rows: list, labelled: dict[int, int]) -> Severity:
     toxic = np.array([row["toxic"] for row in rows])
     amount = np.array([sum(row["value"]) for row in rows])
     grade = np.zeros(len(rows), dtype=np.int64)
@@ -180,28 +211,55 @@ def _fitted(model: Severity, rows: list) -> Severity:
     owner = np.repeat(np.arange(len(rows)), [len(row["known"]) for row in rows])
     column = np.array([c for row in rows for c in row["known"]], dtype=np.int64)
     value = np.array([v for row in rows for v in row["value"]], dtype=np.float64)
-    weights, thresholds = fit_cumulative_link(owner, column, value, grade, len(model.features))
+    # Either label counts as the root of the number of all its rows, however many are sampled.
+    share = np.array([labelled[t] ** 0.5 for t in (0, 1)]) / np.bincount(toxic, minlength=2)
+    weights, thresholds = fit_cumulative_link(
+        owner, column, value, grade, len(model.features), share[toxic]
+    )
     return Severity(model.features, weights, thresholds)
 
 
+def calibrated(model: Severity, clean: DataFrame, reject: float = REJECT) -> Severity:
+    """The model with its thresholds raised, if need be, until of all windows of sampled clean rows
+    only a share of `FALSE_WINDOWS` is rejected. A text has as many windows as it is long, so
+    without this long clean texts would be rejected for one window in a hundred."""
+    sent = clean.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_groups(batches, "text"):
+            found = [s for t in batch.column("text").to_pylist() for s in sent.value.scores(t)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["score"])
+
+    scores = clean.select("text").mapInArrow(score, "score double")
+    most = scores.agg(F.percentile("score", F.lit(1 - FALSE_WINDOWS))).first()[0] or 0.0
+    low, high = 0.0, 1000.0
+    while high - low > 1e-6:
+        shift = (low + high) / 2
+        raised = Severity(model.features, model.weights, model.thresholds + shift)
+        low, high = (shift, high) if raised.severity_of(most) >= reject else (low, shift)
+    if model.severity_of(most) < reject:
+        high = 0.0
+    return Severity(model.features, model.weights, model.thresholds + high)
+
+
 def fit_cumulative_link(
     owner: np.ndarray,
     column: np.ndarray,
     value: np.ndarray,
     grade: np.ndarray,
     n_features: int,
+    share: np.ndarray | None = None,
     grades: int = 4,
     steps: int = 400,
     rate: float = 0.05,
     penalty: float = 1e-4,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood, where
-    the rarer of toxic (grade above 0) and clean rows count more, by the root of their ratio.
+    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood, in which
+    rows count by their `share`, by default alike.
 
     Thresholds are the first one and positive gaps, so their order holds throughout."""
     n = len(grade)
-    toxic = grade > 0
-    share = np.sqrt(np.where(toxic, 1 / max(toxic.sum(), 1), 1 / max((~toxic).sum(), 1)))
+    share = np.ones(n) if share is None else share
     share = share / share.sum()
     state = np.concatenate((np.zeros(n_features), [1.0], np.zeros(grades - 2)))
     first, second = np.zeros_like(state), np.zeros_like(state)
