@@ -329,7 +329,8 @@ def fit(pages: DataFrame, texts: int = TEXTS, templates: int = TEMPLATES) -> Mod
     """The model trained with text of a bounded sample of the pages: `texts` pages in the order of
     a hash, chosen by hashes alone and read afterwards, of each the first `SAMPLED_CHARS` characters
     (a bound on the sample, not on what is extracted)."""
-    key, order = F.xxhash64("page_id", "html").alias("key"), [F.xxhash64("page_id"), "page_id", "key"]
+    key = F.xxhash64("page_id", "html").alias("key")
+    order = [F.xxhash64("page_id"), "page_id", "key"]
     there = pages.where("html is not null")
     chosen = there.select("page_id", key).distinct().orderBy(*order).limit(texts).select("key")
     html = F.substring("html", 1, SAMPLED_CHARS).alias("html")

@@ -17,9 +17,9 @@ Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the
 its amount of toxic words lies; a clean row's grade is 0.
 
 The model is fitted on a bounded sample of labelled rows: at most `SAMPLE` rows of either label, in
-the order of a hash of doc_id, and at most `FEATURES` features. Either label counts by the root of the
-number of all its rows, so the fit does not depend on how many of them are in the sample. Everything
-is scored whole.
+the order of a hash of doc_id, and at most `FEATURES` features. Either label counts by the root of
+the number of all its rows, so the fit does not depend on how many of them are in the sample.
+Everything is scored whole.
 
 Edge cases: null and empty texts have no features and get the base severity, which is low. Labels
 that are null, or for rows that are not there, are left out. Without labels of both kinds nothing

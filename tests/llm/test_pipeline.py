@@ -70,8 +70,9 @@ def test_null_and_repeated_ids(spark, make_docs):
     """No stage loses a text because another row shares its doc_id, nor keeps one for lack of it."""
     item = table(spark, SMALL, "benchmark").first()["text"]
     clean = [f"plain text number {i} about one thing and another {i}" for i in range(4)]
-    rows = [(1, clean[0], "a"), (1, clean[1], "a"), (2, clean[0].upper(), "a"), (None, clean[2], None),
-            (None, clean[2], None), (None, item, "b"), (3, item + " x", "b"), (3, clean[3], "b")]
+    rows = [(1, clean[0], "a"), (1, clean[1], "a"), (2, clean[0].upper(), "a")]
+    rows += [(None, clean[2], None), (None, clean[2], None), (None, item, "b")]
+    rows += [(3, item + " x", "b"), (3, clean[3], "b")]
     docs = make_docs([(i, text, "en", source) for i, text, source in rows])
     for _, stage in corpus_pipeline.STAGES:
         docs = cut(stage(spark, docs, SMALL))
@@ -82,7 +83,8 @@ def test_null_and_repeated_ids(spark, make_docs):
 
 
 def test_rows_that_share_an_id_have_shares_of_their_own(spark, make_docs):
-    rows = [(1, "one two three", "a"), (1, "four five", "a"), (1, "six seven", "a"), (None, "x", None)]
+    rows = [(1, "one two three", "a"), (1, "four five", "a"), (1, "six seven", "a")]
+    rows.append((None, "x", None))
     docs = make_docs([(i, text, "en", source) for i, text, source in rows])
     made = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
     assert sorted((r["text"], r["mix_size"]) for r in made) == [
