@@ -86,10 +86,10 @@ def touched_orders(
     out = (star.order if recent is None else recent).where(stamped)
     if not among:
         return out
-    keys = {
-        name: touched(getattr(star, name), mark).select(F.col(f"{name}_id").alias(f"order_{name}_id"))
-        for name in among
-    }
+    keys = {}
+    for name in among:
+        key = F.col(f"{name}_id").alias(f"order_{name}_id")
+        keys[name] = touched(getattr(star, name), mark).select(key)
     near = [may_hold(key_filter(of), F.col(f"order_{name}_id")) for name, of in keys.items()]
     rest = star.order.where(~F.coalesce(stamped, F.lit(False))).where(reduce(or_, near))
     for name, of in keys.items():
