@@ -1,8 +1,8 @@
 """Fuzzy duplicates of lines, with DataFrame operations only.
 
 A line is normalised to its words (letters and digits, lower case, one space between them). Its
-SimHash has 124 bits, the weighted majority of the hashes of its words bit by bit, in 4 blocks of
-31 bits. Longer words weigh more, and words of up to three letters count only in lines that have no
+SimHash has 120 bits, the weighted majority of the hashes of its words bit by bit, in 4 blocks of
+30 bits. Longer words weigh more, and words of up to three letters count only in lines that have no
 others, or unrelated lines would meet by their short common words. Two lines that differ in at most
 3 bits agree in a whole block. An edit of one word can change many more bits, so lines also meet by
 bands of least hashes (MinHash): of their pairs of neighbouring words, and in lines of at most
@@ -21,36 +21,50 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.grouping import classes
 from tallyhouse.llm.shared import checked, cut, stored
 
 SIMILARITY = 0.8
-BLOCKS, BLOCK_BITS = 4, 31
+BLOCKS, BLOCK_BITS = 4, 30
 #: Bands, and least hashes to a band, of the pairs of neighbouring words and of runs of characters.
-PAIR_BANDS, GRAM_BANDS = (6, 2), (8, 3)
+PAIR_BANDS, GRAM_BANDS = (10, 2), (12, 3)
 #: Lines up to this length also meet by their runs of so many characters.
 SHORT, _GRAM = 64, 4
 #: Distances up to which cheaper comparisons look first.
 _LIMITS = (16, 256)
-#: Three counters to a sum: bits i, i + 21 and i + 42 of a hash.
-_LANES, _LANE_BITS = 3, 21
-_LANE_MASK = sum(1 << (_LANE_BITS * lane) for lane in range(_LANES))
-#: Weight of a word: the square of its letters beyond two, from 1 to this.
-_MOST_WEIGHT = 64
-# Runs of ASCII that is neither letter nor digit. Other characters count as letters.
-_NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Rows to a tile of a crowded bucket; pairs of tiles are compared apart.
+_TILE = 1024
+#: Words of a line are counted in chunks of 128, six counters of 10 bits to a sum; chunks are added
+#: up two counters of 30 bits to a sum.
+_CHUNK_SHIFT, _NARROW, _LANE_BITS = 7, 10, 30
+_NARROW_MASK = sum(1 << _NARROW * lane for lane in range(6))
+_WIDE_MASK = ((1 << _NARROW) - 1) * (1 | 1 << _LANE_BITS)
+_LANE_MASK = 1 | 1 << _LANE_BITS
+#: Weight of a word: the square of its letters beyond two, from 1 to this. In lines of more bytes
+#: than `_GIANT` all words weigh 1, so that no counter of any string can reach 2^29.
+_MOST_WEIGHT, _GIANT = 7, 1 << 28
+#: Spark removes the shuffle files of a finished action.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Runs of ASCII that is neither letter nor digit, within a line. Others count as letters.
+_NOT_WORDS = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, line number from 0, normalised line, and two hashes of it, for lines with words."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    line = F.trim(F.regexp_replace(F.lower("raw"), _NOT_WORDS, " "))
+    """doc_id, line number from 0, normalised line, and two hashes of it, for lines with words.
+
+    The whole text is normalised before it is split: a filter on the split lines would have every
+    line normalised twice."""
+    words = F.trim(F.regexp_replace(F.lower("text"), _NOT_WORDS, " "))
+    lines = docs.select("doc_id", F.posexplode(F.split(words, " ?\n ?")).alias("line_no", "line"))
     return (
-        lines.select("doc_id", "line_no", line.alias("line"))
-        .where("line != ''")
+        lines.where("line != ''")
         .select(
             "doc_id",
             "line_no",
@@ -61,67 +75,102 @@ def occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
-def simhashes(lines: DataFrame) -> DataFrame:
-    """id and the keys of each distinct line (id, line), as an array: the blocks of its SimHash and
-    the bands of least hashes of its word pairs and, in a short line, of its runs of characters.
-
-    The words are weighed where the lines were grouped; nothing but the lines is shuffled. A line of
-    so many words that a counter overflows has zero bits there."""
-    known = lines.withColumn("has_long", F.col("line").rlike("[^ ]{4}"))
+def _counted_words(lines: DataFrame) -> DataFrame:
+    """id, line, and the words that count: those of more than three letters, or else all."""
     whole = F.split("line", " ")
     long = F.filter(whole, lambda word: F.length(word) > 3)
-    counting = F.when(F.col("has_long"), long).otherwise(whole)
-    known = known.select("id", "line", counting.alias("all"))
-    # Every word with the hash of it and the next one, if there is one.
-    after = F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(1)))
-    pairs = F.zip_with(
-        "all",
-        after,
-        lambda word, follower: F.struct(
-            word.alias("word"),
-            F.when(follower.isNotNull(), F.xxhash64(word, follower)).alias("pair"),
-            F.lit(None).cast("long").alias("gram"),
-        ),
-    )
-    places = F.sequence(F.lit(1), F.greatest(F.length("line") - _GRAM + 1, F.lit(1)))
-    grams = F.transform(
-        F.when(F.length("line") <= SHORT, places).otherwise(F.array().cast("array<int>")),
-        lambda at: F.struct(
-            F.lit(None).cast("string").alias("word"),
-            F.lit(None).cast("long").alias("pair"),
-            F.xxhash64(F.substring("line", at, F.lit(_GRAM))).alias("gram"),
-        ),
-    )
-    words = known.select("id", F.explode(F.concat(pairs, grams)).alias("at"))
-    words = words.select("id", "at.word", "at.pair", "at.gram")
+    counting = F.when(F.col("line").rlike("[^ ]{4}"), long).otherwise(whole)
+    return lines.select("id", "line", counting.alias("all"))
+
+
+def simhash_blocks(lines: DataFrame) -> DataFrame:
+    """id and the blocks of the SimHash of each distinct line (id, line), as an array."""
+    giant = F.octet_length("line") > _GIANT
+    most = F.when(giant, F.lit(1)).otherwise(F.lit(_MOST_WEIGHT)).alias("most")
+    words = _counted_words(lines).select("id", most, F.posexplode("all").alias("at", "word"))
     letters = F.length("word") - 2
-    weight = F.least(F.greatest(letters * letters, F.lit(1)), F.lit(_MOST_WEIGHT)).cast("long")
-    hash_of = F.when(F.col("word").isNotNull(), F.xxhash64("word"))
-    hashed = words.select("id", hash_of.alias("h0"), weight.alias("w"), "pair", "gram")
-    hashed = hashed.select("id", "h0", F.xxhash64("h0").alias("h1"), "w", "pair", "gram")
-    sums = [
-        F.try_sum(
-            F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANE_MASK)) * F.col("w")
-        ).alias(f"{h}_{i}")
+    weight = F.least(F.greatest(letters * letters, F.lit(1)), F.col("most")).cast("long")
+    chunk = F.shiftright("at", _CHUNK_SHIFT).alias("chunk")
+    hashed = words.select("id", chunk, F.xxhash64("word").alias("h0"), weight.alias("w"))
+    hashed = hashed.select("id", "chunk", "h0", F.xxhash64("h0").alias("h1"), "w")
+    narrow = [
+        F.sum(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_NARROW_MASK)) * F.col("w")).alias(
+            f"{h}_{i}"
+        )
         for h in ("h0", "h1")
-        for i in range(_LANE_BITS)
+        for i in range(_NARROW)
     ]
-    least = [*_least_hashes("pair", *PAIR_BANDS), *_least_hashes("gram", *GRAM_BANDS)]
-    counted = hashed.groupBy("id").agg(F.sum("w").alias("n"), *sums, *least)
-    bits = [
-        _majority(F.col(f"{h}_{i}"), lane)
+    chunks = hashed.groupBy("id", "chunk").agg(F.sum("w").alias("n"), *narrow)
+    names = [f"s{i}" for i in range(2 * _LANE_BITS)]
+    wide = [
+        F.sum(F.shiftrightunsigned(f"{h}_{i}", _NARROW * lane).bitwiseAND(F.lit(_WIDE_MASK)))
         for h in ("h0", "h1")
-        for lane in range(_LANES)
-        for i in range(_LANE_BITS)
+        for lane in range(3)
+        for i in range(_NARROW)
     ]
+    counted = chunks.groupBy("id").agg(
+        F.sum("n").alias("n"), *[total.alias(name) for total, name in zip(wide, names)]
+    )
+    # With this added, a counter of more than half of n reaches the top bit of its lane.
+    lift = (F.lit(1 << _LANE_BITS - 1) - F.floor(F.col("n") / 2) - 1) * F.lit(_LANE_MASK)
+    lifted = counted.select("id", lift.cast("long").alias("lift"), *names)
+
+    def majority(half: list[str]) -> Column:
+        return F.reduce(
+            F.array(*half),
+            F.lit(0).cast("long"),
+            lambda bits, total: F.shiftleft(bits, 1).bitwiseOR(
+                F.shiftrightunsigned(total + F.col("lift"), _LANE_BITS - 1).bitwiseAND(
+                    F.lit(_LANE_MASK)
+                )
+            ),
+        )
+
+    halves = lifted.select(
+        "id",
+        majority(names[:_LANE_BITS]).alias("low"),
+        majority(names[_LANE_BITS:]).alias("high"),
+    )
     blocks = []
-    for block in range(BLOCKS):
-        value = F.lit(block << BLOCK_BITS)
-        for place, bit in enumerate(bits[block * BLOCK_BITS : (block + 1) * BLOCK_BITS]):
-            value = value + F.when(bit, F.lit(1 << place)).otherwise(F.lit(0))
-        blocks.append(value.cast("long"))
-    keys = [*blocks, *_band_keys("pair", *PAIR_BANDS), *_band_keys("gram", *GRAM_BANDS)]
-    return counted.select("id", F.array_compact(F.array(*keys)).alias("blocks"))
+    for name in ("low", "high"):
+        for part in (F.col(name), F.shiftrightunsigned(name, BLOCK_BITS)):
+            bits = part.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+            blocks.append(bits.bitwiseOR(F.lit(len(blocks) << BLOCK_BITS)))
+    return halves.select("id", F.array(*blocks).alias("blocks"))
+
+
+def pair_bands(lines: DataFrame) -> DataFrame:
+    """id and the bands of least hashes of the pairs of neighbouring words, as an array."""
+    known = _counted_words(lines).where(F.size("all") > 1)
+    followers = F.slice("all", 2, F.size("all") - 1)
+    both = F.arrays_zip(F.slice("all", 1, F.size("all") - 1), followers)
+    pairs = known.select("id", F.inline(both)).toDF("id", "word", "follower")
+    return _bands(pairs.select("id", F.xxhash64("word", "follower").alias("h")), "pair", PAIR_BANDS)
+
+
+def gram_bands(lines: DataFrame) -> DataFrame:
+    """id and the bands of least hashes of the runs of characters of short lines, as an array."""
+    short = lines.where(F.length("line") <= SHORT)
+    places = F.sequence(F.lit(1), F.greatest(F.length("line") - _GRAM + 1, F.lit(1)))
+    grams = short.select("id", "line", F.explode(places).alias("at"))
+    gram = F.substring("line", F.col("at"), F.lit(_GRAM))
+    return _bands(grams.select("id", F.xxhash64(gram).alias("h")), "gram", GRAM_BANDS)
+
+
+def _bands(hashes: DataFrame, name: str, shape: tuple[int, int]) -> DataFrame:
+    least = hashes.groupBy("id").agg(*_least_hashes("h", *shape))
+    return least.select("id", F.array(*_band_keys("h", name, *shape)).alias("blocks"))
+
+
+def simhashes(lines: DataFrame) -> DataFrame:
+    """id and keys of each distinct line (id, line), as arrays in up to three rows: the blocks of
+    its SimHash, and the bands of least hashes of its word pairs and, in a short line, of its runs
+    of characters.
+
+    Words are hashed where the lines were grouped; nothing but the lines is shuffled, and that once.
+    The three are apart because one aggregation of all their columns is too large a method for the
+    JVM to compile."""
+    return simhash_blocks(lines).unionAll(pair_bands(lines)).unionAll(gram_bands(lines))
 
 
 def _least_hashes(name: str, bands: int, rows: int) -> list[Column]:
@@ -141,23 +190,15 @@ def _turn(turn: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _band_keys(name: str, bands: int, rows: int) -> list[Column]:
-    """A key of each band of least hashes; null for lines without any."""
+def _band_keys(column: str, name: str, bands: int, rows: int) -> list[Column]:
+    """A key of each band of least hashes."""
     keys = []
     for band in range(bands):
-        least = [F.col(f"{name}_{turn}") for turn in range(band * rows, (band + 1) * rows)]
-        key = F.xxhash64(F.lit(f"{name} {band}"), *least)
-        keys.append(F.when(least[0].isNotNull(), key))
+        least = [F.col(f"{column}_{turn}") for turn in range(band * rows, (band + 1) * rows)]
+        keys.append(F.xxhash64(F.lit(f"{name} {band}"), *least))
     return keys
 
 
-def _majority(counters: Column, lane: int) -> Column:
-    count = F.shiftrightunsigned(counters, lane * _LANE_BITS).bitwiseAND(
-        F.lit((1 << _LANE_BITS) - 1)
-    )
-    return F.coalesce(count * 2 > F.col("n"), F.lit(False))
-
-
 def similar(left: str, right: str, similarity: float) -> Column:
     """Whether two columns of lines reach the edit similarity."""
     longer = F.greatest(F.length(left), F.length(right))
@@ -178,26 +219,75 @@ def similar(left: str, right: str, similarity: float) -> Column:
     return reached.otherwise(within >= 0)
 
 
+@contextmanager
+def _releasing(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of an action go when it has ended. All that is read later has been
+    written by then, so that nothing asks for them again."""
+    before = spark.conf.get(_RELEASE)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, before)
+
+
 def line_classes(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """id, check and class_id of the distinct lines that are linked to another, for stored
     occurrences."""
+    with _releasing(found.sparkSession):
+        return _line_classes(found, similarity)
+
+
+def _line_classes(found: DataFrame, similarity: float) -> DataFrame:
     distinct = found.groupBy("id").agg(F.min("line").alias("line"))
-    hashes = cut(simhashes(distinct))
+    hashes = stored(simhashes(distinct))
     buckets = hashes.select("id", F.explode("blocks").alias("key"))
 
+    def texts(ids: DataFrame) -> DataFrame:
+        return found.join(checked(cut(ids)), "id").groupBy("id").agg(F.min("line").alias("line"))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        texts = found.join(checked(ids), "id").groupBy("id").agg(F.min("line").alias("line"))
-        lines = cut(texts)
+        lines = stored(texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
         first = lines.select(F.col("id").alias("a"), F.col("line").alias("a_line"))
         second = lines.select(F.col("id").alias("b"), F.col("line").alias("b_line"))
         both = pairs.join(first, "a").join(second, "b")
         return both.where(similar("a_line", "b_line", similarity)).select("a", "b")
 
-    linked = classes(buckets, verify)
+    def verify_blocks(members: DataFrame) -> DataFrame:
+        """Links across classes in crowded buckets. A bucket is cut into tiles, a pair of tiles is
+        a group, and rows meet only those whose lengths allow the similarity. Pairs are compared
+        where they meet; only links leave."""
+        members = members.join(stored(texts(members.select("id").distinct())), "id")
+        step = F.floor(F.log(F.length("line").cast("double")) / -math.log(similarity))
+        tiles = F.ceil(F.col("n") / _TILE).cast("int")
+        own = F.pmod(F.xxhash64("id"), tiles).cast("int")
+        placed = members.select(
+            "key", "id", "class_id", "line", step.alias("step"), tiles.alias("tiles"),
+            own.alias("own"),
+        )
+        every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+        left = placed.select(
+            "key", F.col("id").alias("a"), F.col("class_id").alias("a_class"),
+            F.col("line").alias("a_line"), F.col("own").alias("tile"), "step", "tiles",
+        )
+        left = left.withColumn("other", every).withColumn(
+            "step", F.explode(F.sequence(F.col("step") - 1, F.col("step") + 1))
+        )
+        right = placed.select(
+            "key", F.col("id").alias("b"), F.col("class_id").alias("b_class"),
+            F.col("line").alias("b_line"), F.col("own").alias("other"), "step", "tiles",
+        )
+        right = right.withColumn("tile", every)
+        both = left.drop("tiles").join(right.drop("tiles"), ["key", "tile", "other", "step"])
+        apart = both.where("a < b and a_class != b_class")
+        return apart.where(similar("a_line", "b_line", similarity)).select("a", "b").distinct()
+
+    linked = classes(buckets, verify, verify_blocks)
     checks = found.join(checked(cut(linked.select("id"))), "id").groupBy("id")
-    return linked.join(checks.agg(F.min(F.struct("line", "check")).alias("c")), "id").select(
-        "id", F.col("c.check").alias("check"), "class_id"
+    return cut(
+        linked.join(checks.agg(F.min(F.struct("line", "check")).alias("c")), "id").select(
+            "id", F.col("c.check").alias("check"), "class_id"
+        )
     )
 
 
@@ -205,7 +295,7 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Data
     """Two tables: the lines with words of each document (doc_id, n_lines), and every dropped
     occurrence (doc_id, line_no, class_id of its line)."""
     found = stored(occurrences(docs))
-    linked = cut(line_classes(found, similarity))
+    linked = line_classes(found, similarity)
     texts = found.groupBy("id", "check").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")
     )
