@@ -37,8 +37,9 @@ BLOCKS, BLOCK_BITS = 4, 30
 PAIR_BANDS, GRAM_BANDS = (10, 2), (12, 3)
 #: Lines up to this length also meet by their runs of so many characters.
 SHORT, _GRAM = 64, 4
-#: Distances up to which cheaper comparisons look first.
-_LIMITS = (16, 256)
+#: Distances up to which cheaper comparisons look first: the work grows with the limit, and most
+#: pairs that are similar are so within a small one.
+_LIMITS = (16, 48, 144, 432, 1296, 3888)
 #: Rows to a tile of a crowded bucket; pairs of tiles are compared apart.
 _TILE = 1024
 #: Words of a line are counted in chunks of 128, six counters of 10 bits to a sum; chunks are added
@@ -199,6 +200,20 @@ def _band_keys(column: str, name: str, bands: int, rows: int) -> list[Column]:
     return keys
 
 
+def _most_apart(left: Column, right: Column) -> Column:
+    """A distance that two lines, as arrays of words, do not exceed: that of replacing words place
+    by place and removing what is left over."""
+    costs = F.zip_with(
+        left,
+        right,
+        lambda a, b: F.when(a.eqNullSafe(b), F.lit(0))
+        .when(a.isNull(), F.length(b) + 1)
+        .when(b.isNull(), F.length(a) + 1)
+        .otherwise(F.greatest(F.length(a), F.length(b))),
+    )
+    return F.reduce(costs, F.lit(0), lambda total, cost: total + cost)
+
+
 def similar(left: str, right: str, similarity: float) -> Column:
     """Whether two columns of lines reach the edit similarity."""
     longer = F.greatest(F.length(left), F.length(right))
@@ -209,7 +224,10 @@ def similar(left: str, right: str, similarity: float) -> Column:
     for inside in (F.startswith, F.endswith):
         whole = inside(F.col(left), F.col(right)) | inside(F.col(right), F.col(left))
         reached = reached.when(whole, F.lit(True))
-    # The work grows with the limit: most pairs that are similar are so within a small one.
+    # Lines with some words replaced are told by their words, counted from either end.
+    words = F.split(left, " "), F.split(right, " ")
+    for one, other in (words, [F.reverse(side) for side in words]):
+        reached = reached.when(_most_apart(one, other) <= most, F.lit(True))
     for limit in _LIMITS:
         within = F.call_function(
             "levenshtein", F.col(left), F.col(right), F.least(most, F.lit(limit))
