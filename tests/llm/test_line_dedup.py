@@ -137,3 +137,23 @@ def test_recall_of_planted_edits(spark, make_docs):
         recall[name] = (met / len(pairs), len(pairs))
     print(recall)
     assert all(recall[name][0] >= least for name, (*_, least) in kinds.items()), recall
+
+
+def test_crowded_bucket_loses_no_link(make_docs):
+    """Lines of the same words share every block of the SimHash, whatever their order."""
+    rng = random.Random(14)
+    words = [f"word{c}{c}" for c in "abcdefghijkl"]
+    lines = []
+    for _ in range(30):
+        order = rng.sample(words, len(words))
+        lines += [" ".join(order), " ".join([*order[:4], order[5], order[4], *order[6:]])]
+    docs = make_docs([(i, line, "en", "a") for i, line in enumerate(lines)])
+    group = list(range(len(lines)))
+    for i, one in enumerate(lines):
+        for j, other in enumerate(lines[:i]):
+            if distance(one, other) <= int(0.2 * len(one) + 1e-9):
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    want = {i: int(group[i] != i) for i in range(len(lines))}
+    assert 20 < sum(want.values()) < len(lines) - 2
+    found = line_dedup.line_report(docs).collect()
+    assert {r["doc_id"]: r["n_dropped"] for r in found} == want
