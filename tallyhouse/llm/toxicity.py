@@ -10,16 +10,17 @@ A sum of counts can only rise with length, so a text is judged in windows of `WI
 beginning half a window after the one before it and the last one at the text's end. The severity of
 a text is that of its worst window. A text of at most `WINDOW` words is one window. The model is
 fitted on the worst window of each labelled row, `ROUNDS` times, as each fit may find another window
-worst. At last the thresholds are raised until, of all windows of the clean rows of the sample, at
-most a share of `FALSE_WINDOWS` is rejected: a long text has many windows.
+worst. At last the thresholds are raised until, of all windows of all labelled clean rows, at most a
+share of `FALSE_WINDOWS` (to the nearest whole window) is rejected: a long text has many windows.
 
 Labels say only toxic or not. A toxic row's grade is 1 to 3 by the third of the toxic rows in which
 its amount of toxic words lies; a clean row's grade is 0.
 
-The model is fitted on a bounded sample of labelled rows: at most `SAMPLE` rows of either label, in
-the order of a hash of doc_id, and at most `FEATURES` features. Either label counts by the root of
-the number of all its rows, so the fit does not depend on how many of them are in the sample.
-Everything is scored whole.
+All labelled rows count, at each step: the features are counted over all of them, the gradient of
+each step of a fit is summed by the tasks that hold their windows (a vector of at most `FEATURES`
+numbers a task goes to the driver), and ranks among amounts and scores are found by counting in
+bins. Either label counts by the root of the number of its rows. The texts are read twice for it,
+once for the features and once for where the chosen ones occur; the rest reads these places.
 
 Edge cases: null and empty texts have no features and get the base severity, which is low. Labels
 that are null, or for rows that are not there, are left out. Without labels of both kinds nothing
@@ -28,24 +29,32 @@ is toxic (severity 0).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from tallyhouse.llm.shared import filtered, row_groups
+from tallyhouse.llm.shared import FEW_ROWS, checked, cut, filtered, row_groups, stored
 from tallyhouse.llm.words import mix, range_hashes, spans, text_bytes
 
-SAMPLE, FEATURES = 6000, 4000
+FEATURES = 4000
 #: Expected severity from which on a document is rejected.
 REJECT = 0.5
 #: A feature counts when it is in this many toxic rows and has this z-score of its log odds.
 LEAST_ROWS, LEAST_Z = 3, 3.5
 #: Words that are judged together; fits, each with the windows that the one before finds worst.
 WINDOW, ROUNDS = 200, 3
+#: Steps of the first fit and of those after it, which go on from the one before, and the rate of
+#: the first step of each; it falls to 0 with the steps.
+STEPS, MORE_STEPS, RATE = 120, 60, 0.1
+#: Rows whose windows one task of a step takes, about.
+BLOCK_ROWS = 50_000
+#: Bins in which ranks are counted.
+BINS = 4096
 #: Share of the windows of clean rows that may be rejected.
 FALSE_WINDOWS = 5e-4
 _PREFIXES = (4, 5, 6, 7, 8)
@@ -72,25 +81,33 @@ class Severity:
         """The score of each window."""
         return [float(self.weights[number] @ value) for number, value in self.known(text)]
 
-    def largest(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers and values of the first window with the largest score."""
-        return max(self.known(text), key=lambda window: self.weights[window[0]] @ window[1])
-
     def known(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each window, the numbers and values of those of its features that the model has."""
-        found, word, n_words = features(text)
-        number = np.zeros(0, dtype=np.int64)
-        if len(self.features) and len(found):
-            at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
-            hit = np.flatnonzero(self.features[at] == found)
-            hit = hit[np.argsort(word[hit], kind="stable")]
-            number, word = at[hit], word[hit]
-        for start in window_starts(n_words) if len(number) else [0]:
-            low, high = 0, 0
-            if len(number):
-                low, high = np.searchsorted(word, [start, start + WINDOW])
-            inside, count = np.unique(number[low:high], return_counts=True)
-            yield inside, np.log2(1.0 + count)
+        return window_values(*places(self.features, text))
+
+
+def places(known: np.ndarray, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Where the known features occur in a text: their numbers, the numbers of their words in rising
+    order, and how many words there are."""
+    found, word, n_words = features(text)
+    if not len(known) or not len(found):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), n_words
+    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+    hit = np.flatnonzero(known[at] == found)
+    hit = hit[np.argsort(word[hit], kind="stable")]
+    return at[hit], word[hit], n_words
+
+
+def window_values(
+    number: np.ndarray, word: np.ndarray, n_words: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each window, the numbers of its features and their values."""
+    for start in window_starts(n_words) if len(number) else [0]:
+        low, high = 0, 0
+        if len(number):
+            low, high = np.searchsorted(word, [start, start + WINDOW])
+        inside, count = np.unique(number[low:high], return_counts=True)
+        yield inside, np.log2(1.0 + count)
 
 
 def window_starts(n_words: int) -> list[int]:
@@ -118,46 +135,26 @@ def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, toxic and text of at most `sample` toxic and as many clean rows."""
-    known = known_labels(docs, labels)
-    parts = [
-        known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        for toxic in (0, 1)
-    ]
-    chosen = parts[0].union(parts[1])
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic and text of all labelled rows. Labels that are too many to be sent to the texts
+    meet them by a shuffle, whose rows are kept."""
+    known = cut(known_labels(docs, labels))
+    rows = docs.select("doc_id", "text").join(checked(known), "doc_id")
+    return rows if known.count() <= FEW_ROWS else stored(rows)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
-    rows = labelled_sample(docs, labels, sample)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_groups(batches, "text"):
-            found = [np.unique(features(t)[0]) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("toxic").cast(pa.int32()),
-                    pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "toxic", "features"],
-            )
-
-    sparse = rows.select("doc_id", "toxic", "text").mapInArrow(
-        run, "doc_id long, toxic int, features array<long>"
-    )
-    by_label = sparse.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    counts = {row["toxic"]: row["n"] for row in by_label}
+def fit(docs: DataFrame, labels: DataFrame) -> Severity:
+    rows = labelled_rows(docs, labels)
+    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(
+        F.count("*").alias("n")
+    ).collect()}
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     if not n_toxic or not n_clean:
         return Severity(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
     a, b = F.col("n_toxic") + 0.5, F.col("n_clean") + 0.5
     odds = F.log(a / (n_toxic - a + 1)) - F.log(b / (n_clean - b + 1))
     chosen = (
-        sparse.select("toxic", F.explode("features").alias("feature"))
-        .groupBy("feature")
-        .agg(F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_clean"))
+        _feature_counts(rows)
         .where(F.col("n_toxic") >= LEAST_ROWS)
         .withColumn("z", odds / F.sqrt(1 / a + 1 / b))
         .where(F.col("z") >= LEAST_Z)
@@ -165,73 +162,212 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
         .limit(FEATURES)
     )
     values = np.array([row["feature"] for row in chosen.select("feature").collect()], np.int64)
-    model = Severity(np.sort(values.view(np.uint64)), np.ones(len(values)), np.zeros(0))
     if not len(values):
         return Severity(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    labelled = {r["toxic"]: r["n"] for r in known_labels(docs, labels).groupBy("toxic").agg(
-        F.count("*").alias("n")
-    ).collect()}
+    model = Severity(np.sort(values.view(np.uint64)), np.ones(len(values)), np.zeros(0))
+    placed = _placed(rows, model.features)
+    # Either label counts as the root of the number of its rows.
+    share = np.array([counts[t] ** -0.5 for t in (0, 1)]) / (n_toxic**0.5 + n_clean**0.5)
     # Rows are judged by their worst window, and which one that is the model decides: the first fit
     # takes the one with the most features, each later one what the fit before finds worst.
+    state = None
     for _ in range(ROUNDS):
-        model = _fitted(model, _windows(rows, model), labelled)
-    return calibrated(model, rows.where("toxic = 0"))
+        state = _fitted(_worst_windows(placed, model), len(values), share, state)
+        model = Severity(model.features, state[: len(values)], _ordered(state[len(values) :]))
+    return calibrated(model, placed.where("toxic = 0"))
 
 
-def _windows(rows: DataFrame, model: Severity) -> list:
-    """The worst window of each labelled row."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+def _feature_counts(rows: DataFrame) -> DataFrame:
+    """In how many toxic and clean rows each feature occurs. Rows of a slice are added up at once."""
 
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            known = [sent.value.largest(t) for t in batch.column("text").to_pylist()]
+            found = [np.unique(features(t)[0]) for t in batch.column("text").to_pylist()]
+            toxic = np.array(batch.column("toxic").to_pylist(), dtype=np.int64)
+            feature, at = np.unique(np.concatenate(found), return_inverse=True)
+            toxic = np.repeat(toxic, [len(f) for f in found])
+            counted = np.bincount(at * 2 + toxic, minlength=2 * len(feature)).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature.view(np.int64)), *[pa.array(counted[:, t]) for t in (1, 0)]],
+                names=["feature", "n_toxic", "n_clean"],
+            )
+
+    counted = rows.select("toxic", "text").mapInArrow(
+        run, "feature long, n_toxic long, n_clean long"
+    )
+    return counted.groupBy("feature").agg(
+        F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean")
+    )
+
+
+def _placed(rows: DataFrame, known: np.ndarray) -> DataFrame:
+    """toxic, and where the known features occur in the text (see `places`), of each row."""
+    sent = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_groups(batches, "text"):
+            found = [places(sent.value, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
                     batch.column("toxic").cast(pa.int32()),
-                    pa.array([number for number, _ in known], pa.list_(pa.int64())),
-                    pa.array([value for _, value in known], pa.list_(pa.float64())),
+                    pa.array([number for number, _, _ in found], pa.list_(pa.int32())),
+                    pa.array([word for _, word, _ in found], pa.list_(pa.int32())),
+                    pa.array([n_words for _, _, n_words in found], pa.int32()),
                 ],
-                names=["doc_id", "toxic", "known", "value"],
+                names=["toxic", "number", "word", "n_words"],
             )
 
-    small = rows.select("doc_id", "toxic", "text").mapInArrow(
-        narrow, "doc_id long, toxic int, known array<long>, value array<double>"
+    return stored(
+        rows.select("toxic", "text").mapInArrow(
+            run, "toxic int, number array<int>, word array<int>, n_words int"
+        )
     )
-    return sorted(small.collect())
-
-
-def _fitted(model: Severity, rows: list, labelled: dict[int, int]) -> Severity:
-    toxic = np.array([row["toxic"] for row in rows])
-    amount = np.array([sum(row["value"]) for row in rows])
-    grade = np.zeros(len(rows), dtype=np.int64)
-    rank = np.argsort(np.argsort(amount[toxic == 1], kind="stable"), kind="stable")
-    grade[toxic == 1] = 1 + rank * 3 // max(len(rank), 1)
-    grade[(toxic == 1) & (amount == 0)] = 1
-    owner = np.repeat(np.arange(len(rows)), [len(row["known"]) for row in rows])
-    column = np.array([c for row in rows for c in row["known"]], dtype=np.int64)
-    value = np.array([v for row in rows for v in row["value"]], dtype=np.float64)
-    # Either label counts as the root of the number of all its rows, however many are sampled.
-    share = np.array([labelled[t] ** 0.5 for t in (0, 1)]) / np.bincount(toxic, minlength=2)
-    weights, thresholds = fit_cumulative_link(
-        owner, column, value, grade, len(model.features), share[toxic]
+
+
+def _windows_in(batch: pa.RecordBatch) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """The windows of each row of `_placed`."""
+    number, word = batch.column("number"), batch.column("word")
+    numbers, words = number.flatten().to_numpy(), word.flatten().to_numpy()
+    ends = np.cumsum(np.diff(number.offsets.to_numpy()))
+    start = 0
+    for end, n_words in zip(ends.tolist(), batch.column("n_words").to_pylist(), strict=True):
+        yield [*window_values(numbers[start:end], words[start:end], n_words)]
+        start = end
+
+
+def _worst_windows(placed: DataFrame, model: Severity) -> DataFrame:
+    """The first window of each row with the largest score."""
+    sent = placed.sparkSession.sparkContext.broadcast(model.weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = sent.value
+        for batch in batches:
+            worst = [
+                windows[0]
+                if len(windows) == 1
+                else max(windows, key=lambda window: weights[window[0]] @ window[1])
+                for windows in _windows_in(batch)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("toxic"),
+                    pa.array([number for number, _ in worst], pa.list_(pa.int32())),
+                    pa.array([value for _, value in worst], pa.list_(pa.float64())),
+                    pa.array([float(value.sum()) for _, value in worst], pa.float64()),
+                ],
+                names=["toxic", "number", "value", "amount"],
+            )
+
+    return stored(
+        placed.mapInArrow(
+            run, "toxic int, number array<int>, value array<double>, amount double"
+        )
     )
-    return Severity(model.features, weights, thresholds)
+
+
+def _fitted(
+    rows: DataFrame, n_features: int, share: np.ndarray, state: np.ndarray | None
+) -> np.ndarray:
+    """The state of a fit on the windows of all rows, from the state of the one before."""
+    amounts = rows.where("toxic = 1").select("amount")
+    thirds = [value_at(amounts, part) for part in (1 / 3, 2 / 3)]
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a batch as arrays, in one row."""
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy()
+            amount = batch.column("amount").to_numpy()
+            grade = toxic * (1 + sum((amount > third).astype(np.int64) for third in thirds))
+            number = batch.column("number")
+            owner = np.repeat(np.arange(len(toxic)), np.diff(number.offsets.to_numpy()))
+            arrays = [
+                owner.astype(np.int64),
+                number.flatten().to_numpy().astype(np.int64),
+                batch.column("value").flatten().to_numpy(),
+                grade.astype(np.int64),
+                share[toxic],
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([array.tobytes()], pa.binary()) for array in arrays], names=[*_BLOCK]
+            )
+
+    # A step is short, so a task takes many rows; there are more tasks as there are more rows.
+    few = rows.coalesce(1 + rows.count() // BLOCK_ROWS)
+    packed = few.mapInArrow(blocks, ", ".join(f"{name} binary" for name in _BLOCK))
+    held = packed.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks_held = held.rdd
+
+    def slopes(at: np.ndarray) -> np.ndarray:
+        def summed(blocks: Iterator) -> Iterator[np.ndarray]:
+            total = np.zeros(len(at))
+            for block in blocks:
+                arrays = [np.frombuffer(block[n], dtype=d) for n, d in enumerate(_BLOCK.values())]
+                total += likelihood_slopes(at, n_features, *arrays)
+            yield total
+
+        # One vector a task; they are added in the order of the tasks, so that runs agree.
+        return np.sum(blocks_held.mapPartitions(summed).collect(), axis=0)
+
+    try:
+        return descend(n_features, slopes, STEPS if state is None else MORE_STEPS, RATE, state)
+    finally:
+        held.unpersist()
+
+
+_BLOCK = {
+    "owner": np.int64,
+    "number": np.int64,
+    "value": np.float64,
+    "grade": np.int64,
+    "share": np.float64,
+}
+
+
+def value_at(values: DataFrame, part: float) -> float:
+    """A bound that the given part of all values of a column, none of them negative, does not exceed,
+    and hardly more: the upper edge of the bin with the value of that rank, among `BINS` between
+    0 and the largest value, and again inside that bin. 0 if there are no values."""
+    value = F.col(values.columns[0])
+    total, largest = values.agg(F.count(value), F.max(value)).first()
+    rank = max(round(part * total), 1)
+    low, high = 0.0, largest or 0.0
+    for _ in range(2):
+        if high <= low:
+            break
+        step = (high - low) / BINS
+        # Bin n holds the values above its lower edge, up to its upper one.
+        number = F.least(F.ceil((value - low) / step) - 1, F.lit(BINS - 1))
+        number = F.when(value <= low, -1).otherwise(number).alias("bin")
+        found = values.where(value <= high).groupBy(number).agg(F.count("*").alias("n")).collect()
+        below = 0
+        for row in sorted(found):
+            below += row["n"]
+            if below >= rank:
+                break
+        if row["bin"] < 0:
+            return low
+        low, high = low + row["bin"] * step, low + (row["bin"] + 1) * step
+    return high
 
 
 def calibrated(model: Severity, clean: DataFrame, reject: float = REJECT) -> Severity:
-    """The model with its thresholds raised, if need be, until of all windows of sampled clean rows
-    only a share of `FALSE_WINDOWS` is rejected. A text has as many windows as it is long, so
-    without this long clean texts would be rejected for one window in a hundred."""
-    sent = clean.sparkSession.sparkContext.broadcast(model)
+    """The model with its thresholds raised, if need be, until of all windows of all clean rows only
+    a share of `FALSE_WINDOWS` is rejected. A text has as many windows as it is long, so without
+    this long clean texts would be rejected for one window in a hundred. `clean` are rows of
+    `_placed`."""
+    sent = clean.sparkSession.sparkContext.broadcast(model.weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_groups(batches, "text"):
-            found = [s for t in batch.column("text").to_pylist() for s in sent.value.scores(t)]
+        for batch in batches:
+            found = [
+                float(sent.value[number] @ value)
+                for windows in _windows_in(batch)
+                for number, value in windows
+            ]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["score"])
 
-    scores = clean.select("text").mapInArrow(score, "score double")
-    most = scores.agg(F.percentile("score", F.lit(1 - FALSE_WINDOWS))).first()[0] or 0.0
+    scores = stored(clean.mapInArrow(score, "score double"))
+    most = value_at(scores, 1 - FALSE_WINDOWS)
     low, high = 0.0, 1000.0
     while high - low > 1e-6:
         shift = (low + high) / 2
@@ -249,49 +385,83 @@ def fit_cumulative_link(
     grade: np.ndarray,
     n_features: int,
     share: np.ndarray | None = None,
-    grades: int = 4,
     steps: int = 400,
     rate: float = 0.05,
-    penalty: float = 1e-4,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood, in which
-    rows count by their `share`, by default alike.
+    """Weights and ordered thresholds of rows that are at hand, which count by their `share`, by
+    default alike."""
+    share = np.ones(len(grade)) if share is None else share
+    share = share / share.sum()
+    state = descend(
+        n_features,
+        lambda at: likelihood_slopes(at, n_features, owner, column, value, grade, share),
+        steps,
+        rate,
+    )
+    return state[:n_features], _ordered(state[n_features:])
+
+
+def descend(
+    n_features: int,
+    slopes: Callable[[np.ndarray], np.ndarray],
+    steps: int,
+    rate: float,
+    state: np.ndarray | None = None,
+    grades: int = 4,
+    penalty: float = 1e-4,
+) -> np.ndarray:
+    """Weights and thresholds after gradient steps (Adam) on the mean log-likelihood, at a rate that
+    falls to 0. Weights stay at 0 or above.
 
     Thresholds are the first one and positive gaps, so their order holds throughout."""
-    n = len(grade)
-    share = np.ones(n) if share is None else share
-    share = share / share.sum()
-    state = np.concatenate((np.zeros(n_features), [1.0], np.zeros(grades - 2)))
+    if state is None:
+        state = np.concatenate((np.zeros(n_features), [1.0], np.zeros(grades - 2)))
     first, second = np.zeros_like(state), np.zeros_like(state)
     for step in range(1, steps + 1):
-        weights, raw = state[:n_features], state[n_features:]
-        score = np.bincount(owner, weights=weights[column] * value, minlength=n)
-        thresholds = _ordered(raw)
-        cdf = np.hstack(
-            (np.zeros((n, 1)), 1 / (1 + np.exp(score[:, None] - thresholds)), np.ones((n, 1)))
-        )
-        rows = np.arange(n)
-        mass = np.maximum(cdf[rows, grade + 1] - cdf[rows, grade], 1e-9)
-        slope = cdf * (1 - cdf)
-        by_score = (slope[rows, grade + 1] - slope[rows, grade]) / mass * share
-        by_threshold = np.zeros((n, grades - 1))
-        upper, lower = grade < grades - 1, grade > 0
-        by_mass = share / mass
-        by_threshold[rows[upper], grade[upper]] -= (slope[rows, grade + 1] * by_mass)[upper]
-        by_threshold[rows[lower], grade[lower] - 1] += (slope[rows, grade] * by_mass)[lower]
-        t_slope = by_threshold.sum(axis=0)
-        raw_slope = np.array(
-            [t_slope[k:].sum() * (1.0 if k == 0 else np.exp(raw[k])) for k in range(grades - 1)]
-        )
-        w_slope = np.bincount(column, weights=by_score[owner] * value, minlength=n_features)
-        slopes = np.concatenate((w_slope + penalty * weights, raw_slope))
-        first = 0.9 * first + 0.1 * slopes
-        second = 0.999 * second + 0.001 * slopes**2
-        state = state - rate * (first / (1 - 0.9**step)) / (
+        slope = slopes(state)
+        slope[:n_features] += penalty * state[:n_features]
+        first = 0.9 * first + 0.1 * slope
+        second = 0.999 * second + 0.001 * slope**2
+        state = state - rate * (1 - (step - 1) / steps) * (first / (1 - 0.9**step)) / (
             np.sqrt(second / (1 - 0.999**step)) + 1e-8
         )
         state[:n_features] = np.maximum(state[:n_features], 0.0)
-    return state[:n_features], _ordered(state[n_features:])
+    return state
+
+
+def likelihood_slopes(
+    state: np.ndarray,
+    n_features: int,
+    owner: np.ndarray,
+    column: np.ndarray,
+    value: np.ndarray,
+    grade: np.ndarray,
+    share: np.ndarray,
+) -> np.ndarray:
+    """What some rows add to the slopes of the mean log-likelihood, as a loss."""
+    n = len(grade)
+    weights, raw = state[:n_features], state[n_features:]
+    grades = len(raw) + 1
+    score = np.bincount(owner, weights=weights[column] * value, minlength=n)
+    thresholds = _ordered(raw)
+    cdf = np.hstack(
+        (np.zeros((n, 1)), 1 / (1 + np.exp(score[:, None] - thresholds)), np.ones((n, 1)))
+    )
+    rows = np.arange(n)
+    mass = np.maximum(cdf[rows, grade + 1] - cdf[rows, grade], 1e-9)
+    slope = cdf * (1 - cdf)
+    by_score = (slope[rows, grade + 1] - slope[rows, grade]) / mass * share
+    by_threshold = np.zeros((n, grades - 1))
+    upper, lower = grade < grades - 1, grade > 0
+    by_mass = share / mass
+    by_threshold[rows[upper], grade[upper]] -= (slope[rows, grade + 1] * by_mass)[upper]
+    by_threshold[rows[lower], grade[lower] - 1] += (slope[rows, grade] * by_mass)[lower]
+    t_slope = by_threshold.sum(axis=0)
+    raw_slope = np.array(
+        [t_slope[k:].sum() * (1.0 if k == 0 else np.exp(raw[k])) for k in range(grades - 1)]
+    )
+    w_slope = np.bincount(column, weights=by_score[owner] * value, minlength=n_features)
+    return np.concatenate((w_slope, raw_slope))
 
 
 def _ordered(raw: np.ndarray) -> np.ndarray:

@@ -99,3 +99,31 @@ def test_windows_cover_every_word():
         starts = toxicity.window_starts(n_words)
         assert starts[0] == 0 and starts[-1] == max(n_words - toxicity.WINDOW, 0)
         assert all(b - a <= toxicity.WINDOW // 2 for a, b in zip(starts, starts[1:], strict=False))
+
+
+def test_all_labelled_rows_count(spark):
+    """A word of the toxic rows that come last by the hash of doc_id is a feature, whatever the
+    number of rows before them, and calibration covers the windows of all clean rows."""
+    n = 14_000
+    rows = [(i, "calm words here" if i % 2 else f"vile{i % 7} words here", 1 - i % 2) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    late = [r["doc_id"] for r in docs.where("toxic = 1").orderBy(
+        F.desc(F.xxhash64("doc_id")), "doc_id"
+    ).limit(200).select("doc_id").collect()]
+    docs = docs.withColumn(
+        "text", F.when(F.col("doc_id").isin(late), "zqxjk words here").otherwise(F.col("text"))
+    )
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    assert toxicity.features("zqxjk")[0][0] in model.features
+    assert model.expected("zqxjk words here") >= toxicity.REJECT > model.expected("calm words here")
+
+
+def test_ranks_by_bins(spark):
+    rng = np.random.default_rng(5)
+    for values in (rng.exponential(size=5000), np.repeat([0.0, 2.0], [900, 100]), np.zeros(9)):
+        frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+        for part in (1 / 3, 0.5, 0.95, 1 - toxicity.FALSE_WINDOWS):
+            bound = toxicity.value_at(frame, part)
+            wanted = np.sort(values)[max(round(part * len(values)), 1) - 1]
+            assert wanted - 1e-9 <= bound <= wanted + values.max() / toxicity.BINS**2 + 1e-9
+    assert toxicity.value_at(spark.createDataFrame([], "v double"), 0.5) == 0.0
