@@ -282,8 +282,9 @@ class Marketplace:
 
     def _widen(self, orders: DataFrame, delivered_at: dt.datetime) -> DataFrame:
         return (
-            orders.join(self.craftsmen(), "craftsman_id")
-            .join(self.products(), "product_id")
+            # Craftsmen have more text than products, so they come last: less of it is shuffled.
+            orders.join(self.products(), "product_id")
+            .join(self.craftsmen(), "craftsman_id")
             .withColumn("load_dttm", moment(delivered_at))
         )
 

@@ -90,3 +90,16 @@ def test_the_executed_report_reads_the_lines_once(spark, name):
     scans = [s for s in final.splitlines() if "FileScan" in s and "lineitem" in s]
     assert len(scans) == 1
     assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
+
+
+def test_no_shuffle_carries_the_widest_attributes(spark):
+    """Without broadcasts, the customer joins the orders last, and the craftsman the wide source."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("star_join", "customer_id"), ("distinct_craftsman", "craftsman_id")):
+            frame = contract.report_queries()[name](spark, contract.SMOKE_DIR)
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            joins = [s for s in plan.splitlines() if "SortMergeJoin" in s]
+            assert f"{key}#" in joins[0].split("],")[0], name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
