@@ -69,8 +69,9 @@ def _starts(sizes: DataFrame, bits: int) -> DataFrame:
             F.sum("__size").alias("__size")
         ),
         bits - _PARENT_BITS,
-    ).select(F.col("__block").alias("__parent"), F.col("__start").alias("__base"))
-    return local.join(parents, "__parent").select(
+    ).select(F.col("__block").alias("__of_parent"), F.col("__start").alias("__base"))
+    # Null-safe for the same reason: a condition on the parent would reach down to the rows.
+    return local.join(parents, F.col("__parent").eqNullSafe(F.col("__of_parent"))).select(
         "__block", (F.col("__base") + F.col("__local")).alias("__start")
     )
 

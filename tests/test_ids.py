@@ -56,3 +56,20 @@ def test_many_tasks_number_the_rows(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_rows_are_computed_once(spark, kind):
+    """The sizes of blocks and the numbers come from one exchange of the rows."""
+    made = spark.range(1_000).select((F.col("id") % 300).cast(kind).alias("k"), "id")
+    rows = made.join(spark.range(300).withColumnRenamed("id", "j"), F.col("k") == F.col("j"))
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        plan = with_row_ids(rows, "k", ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert plan.count("Range (0, 1000") == 1
