@@ -237,9 +237,8 @@ class Refresh:
         table: months of orders, or the table's name."""
 
         def merge_one(table: StarTable) -> list[str]:
-            return self._merge_table(
-                table, source_rows(table, craft_products_orders, customers), last, run_ts
-            )
+            rows = source_rows(table, craft_products_orders, customers, dealt_by_key=True)
+            return self._merge_table(table, rows, last, run_ts)
 
         # The four tables do not depend on each other: their jobs may share the cluster.
         with ThreadPoolExecutor(len(STAR_TABLES)) as pool:

@@ -58,16 +58,20 @@ STAR_TABLES = [CRAFTSMAN, PRODUCT, CUSTOMER, ORDER]
 
 
 def source_rows(
-    table: StarTable, craft_products_orders: DataFrame, customers: DataFrame
+    table: StarTable,
+    craft_products_orders: DataFrame,
+    customers: DataFrame,
+    dealt_by_key: bool = False,
 ) -> DataFrame:
-    """The distinct rows of the sources that feed a star table."""
+    """The distinct rows of the sources that feed a star table. `dealt_by_key` deals orders, of
+    which there are as many as source rows, by their natural key."""
     if table is CRAFTSMAN:
         return star.distinct_craftsmen(craft_products_orders, with_load_time=True)
     if table is PRODUCT:
         return star.distinct_products(craft_products_orders)
     if table is CUSTOMER:
         return star.distinct_customers(customers)
-    return star.distinct_orders(craft_products_orders)
+    return star.distinct_orders(craft_products_orders, dealt_by_key)
 
 
 def load(table: StarTable, rows: DataFrame) -> DataFrame:

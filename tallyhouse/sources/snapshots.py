@@ -55,7 +55,7 @@ class SnapshotTables:
     def read(self, name: str, schema: T.StructType, run_ts: dt.datetime | None) -> DataFrame:
         """A table's state after a run; empty before the first one."""
         if run_ts is None:
-            return self._spark.createDataFrame([], schema)
+            return self._empty(schema)
         return self._spark.read.schema(schema).parquet(self._path(name, run_ts))
 
     def write_months(
@@ -81,12 +81,17 @@ class SnapshotTables:
     def read_months(self, name: str, schema: T.StructType, months: Parts) -> DataFrame:
         """The given months of a table, each from the run that wrote it last."""
         if not months:
-            return self._spark.createDataFrame([], schema)
+            return self._empty(schema)
         paths = [
             f"{self._path(name, run_ts)}/{_PART}={month}" for month, run_ts in months.items()
         ]
         return self._spark.read.schema(schema).parquet(*paths)
 
+    def _empty(self, schema: T.StructType) -> DataFrame:
+        """No rows, and known to be none: joins to it are left out of the plan, where otherwise
+        the other side would be shuffled for them."""
+        return self._spark.createDataFrame([], schema).where(F.lit(False))
+
     def remove(self, name: str, run_ts: dt.datetime, months: list[str] | None = None) -> None:
         """Delete what a run wrote of a table, or some of its months."""
         path = self._path(name, run_ts)
