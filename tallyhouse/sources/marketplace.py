@@ -117,7 +117,7 @@ class Marketplace:
     def first_delivery(self) -> Delivery:
         at_hand = self._customers().where(F.col("region") != LATE_REGION)
         orders = (
-            self._orders()
+            self._orders_in_place()
             .where(F.col("order_created_date") < F.lit(ORDERS_UNTIL))
             .join(at_hand.select("customer_id"), "customer_id", "left_semi")
         )
@@ -149,7 +149,7 @@ class Marketplace:
             "customer_id", F.lit(True).alias("late_customer")
         )
         orders = (
-            self._orders()
+            self._orders_in_place()
             .join(late, "customer_id", "left")
             .where(
                 F.col("late_customer").isNotNull()
@@ -194,6 +194,7 @@ class Marketplace:
         moved customers with the second run, resized products with the first one, all
         craftsmen long ago; the other rows were never stamped."""
         star = self.star()
+        orders = conform(_as_fact(self._named(self._orders_in_place())), schemas.F_ORDER)
         moved = self._customers().where(F.col("segment") == MOVED_SEGMENT)
         resized = (
             self.table("part")
@@ -204,7 +205,7 @@ class Marketplace:
             craftsman=star.craftsman.withColumn("load_dttm", moment(dt.datetime(1999, 1, 1))),
             product=_stamped_where(star.product, resized, "product_id", FIRST_RUN),
             customer=_stamped_where(star.customer, moved, "customer_id", SECOND_RUN),
-            order=star.order.withColumn(
+            order=orders.withColumn(
                 "load_dttm",
                 F.col("order_created_date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS"),
             ),
@@ -234,41 +235,41 @@ class Marketplace:
         by hash before the shuffle. Keys of one first order share customer and day, and there
         are no more of them than that order has lines; more than a number has room for are an
         error."""
-        head, line = F.col("o_orderstatus"), F.col("l_linestatus")
-        status_rank = (
-            F.when(head == "F", _STATUSES.index(STATUS_DONE))
-            .when((head == "P") & (line == "F"), _STATUSES.index(STATUS_DELIVERY))
-            .when((head == "P") & (line == "O"), _STATUSES.index(STATUS_IN_PROGRESS))
-            .when((head == "O") & (line == "O"), _STATUSES.index(STATUS_CREATED))
+        heads = self.table("orders").withColumn("order_day", F.col("o_orderdate").cast("date"))
+        lines = self.table("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+        first = F.min("l_orderkey").alias("first_order")
+        return _numbered(lines.groupBy(*_line_key()).agg(first, *_furthest()))
+
+    def _orders_in_place(self) -> DataFrame:
+        """The rows of `_orders`, for those who need the numbers too. Lines of one key share
+        customer and day, so those of an order that is the only one of its customer and day are
+        combined and numbered where they are joined to it. Only those of other orders are shuffled
+        again, by their key. The lines are shuffled once for both, and sorted for each."""
+        lines = self.table("lineitem").join(
+            self._heads(), F.col("l_orderkey") == F.col("o_orderkey")
         )
-        still_open = (line == "O") & (head != "F")
-        part = (F.col("product_id") * 31 + F.col("craftsman_id")) % _ORDER_PARTS
-        among = Window.partitionBy("first_order", "part").orderBy("product_id", "craftsman_id")
-        rank = F.row_number().over(among)
-        too_many = F.raise_error("an order of more lines than its number has room for")
-        keyed = (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .groupBy(
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_suppkey").alias("craftsman_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.col("o_orderdate").cast("date").alias("order_created_date"),
-            )
-            .agg(
-                F.min("l_orderkey").alias("first_order"),
-                F.max(status_rank).alias("status_rank"),
-                F.max(F.when(~still_open, F.col("l_shipdate").cast("date"))).alias(
-                    "order_completion_date"
-                ),
-            )
+        alone = lines.where("alone").groupBy(
+            F.col("l_orderkey").alias("first_order"), *_line_key()
         )
-        numbered = F.when(rank < _ORDER_ROOM, rank).otherwise(too_many.cast("int"))
-        start = (F.col("first_order") * _ORDER_PARTS + F.col("part")) * _ORDER_ROOM
+        others = lines.where("not alone").groupBy(*_line_key())
+        first = F.min("l_orderkey").alias("first_order")
+        return _numbered(alone.agg(*_furthest())).unionByName(
+            _numbered(others.agg(first, *_furthest()))
+        )
+
+    def _heads(self) -> DataFrame:
+        """The source orders, and whether each is `alone`: no other has its customer and day, and
+        none repeats its key."""
+        same_day = Window.partitionBy("o_custkey", "order_day")
+        same_key = Window.partitionBy("o_orderkey")
+        day, one = F.col("o_orderdate").cast("date"), F.lit(1)
         return (
-            keyed.withColumn("part", part)
-            .withColumn("order_id", start + numbered)
-            .drop("first_order", "part")
+            self.table("orders")
+            .select("o_orderkey", "o_custkey", "o_orderstatus", day.alias("order_day"))
+            .withColumn("__of_day", F.count(one).over(same_day))
+            .withColumn("__of_key", F.count(one).over(same_key))
+            .withColumn("alone", (F.col("__of_day") == one) & (F.col("__of_key") == one))
+            .drop("__of_day", "__of_key")
         )
 
     def _named(self, orders: DataFrame) -> DataFrame:
@@ -289,6 +290,49 @@ class Marketplace:
         )
 
 
+def _line_key() -> list[Column]:
+    """The natural key of a line that is joined to its order."""
+    return [
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("craftsman_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("order_day").alias("order_created_date"),
+    ]
+
+
+def _furthest() -> list[Column]:
+    """The status and the completion of an order, from its lines."""
+    head, line = F.col("o_orderstatus"), F.col("l_linestatus")
+    status_rank = (
+        F.when(head == "F", _STATUSES.index(STATUS_DONE))
+        .when((head == "P") & (line == "F"), _STATUSES.index(STATUS_DELIVERY))
+        .when((head == "P") & (line == "O"), _STATUSES.index(STATUS_IN_PROGRESS))
+        .when((head == "O") & (line == "O"), _STATUSES.index(STATUS_CREATED))
+    )
+    still_open = (line == "O") & (head != "F")
+    return [
+        F.max(status_rank).alias("status_rank"),
+        F.max(F.when(~still_open, F.col("l_shipdate").cast("date"))).alias(
+            "order_completion_date"
+        ),
+    ]
+
+
+def _numbered(keyed: DataFrame) -> DataFrame:
+    """The orders with their numbers. All keys of one first order must be among them."""
+    part = (F.col("product_id") * 31 + F.col("craftsman_id")) % _ORDER_PARTS
+    among = Window.partitionBy("first_order", "part").orderBy("product_id", "craftsman_id")
+    rank = F.row_number().over(among)
+    too_many = F.raise_error("an order of more lines than its number has room for")
+    numbered = F.when(rank < _ORDER_ROOM, rank).otherwise(too_many.cast("int"))
+    start = (F.col("first_order") * _ORDER_PARTS + F.col("part")) * _ORDER_ROOM
+    return (
+        keyed.withColumn("part", part)
+        .withColumn("order_id", start + numbered)
+        .drop("first_order", "part")
+    )
+
+
 def _as_fact(orders: DataFrame) -> DataFrame:
     return orders.withColumnsRenamed(
         {
