@@ -29,7 +29,7 @@ is toxic (severity 0).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tallyhouse.llm.shared import FEW_ROWS, checked, cut, filtered, row_groups, stored
-from tallyhouse.llm.words import mix, range_hashes, spans, text_bytes
+from tallyhouse.llm.words import beginning_hashes, mix, spans, texts_bytes
 
 FEATURES = 4000
 #: Expected severity from which on a document is rejected.
@@ -58,6 +58,9 @@ BINS = 4096
 #: Share of the windows of clean rows that may be rejected.
 FALSE_WINDOWS = 5e-4
 _PREFIXES = (4, 5, 6, 7, 8)
+#: Places of known features and windows that are worked on at once, about, and leading bits by which most features
+#: are told unknown.
+_PLACES, _TOLD_BITS = 200_000, 16
 
 
 @dataclass
@@ -70,44 +73,101 @@ class Severity:
 
     def expected(self, text: str | None) -> float:
         """Expected severity of the worst window of a text."""
+        return float(self.expected_of([text])[0])
+
+    def expected_of(self, texts: Sequence[str | None]) -> np.ndarray:
+        """Expected severity of the worst window of each text."""
+        worst = np.zeros(len(texts))
         if not len(self.thresholds):
-            return 0.0
-        return self.severity_of(max(self.scores(text)))
+            return worst
+        for rows, windows in windows_of(*places(self.features, texts)):
+            worst[rows] = np.maximum.reduceat(windows.scores(self.weights), windows.first)
+        return (1 / (1 + np.exp(self.thresholds - worst[:, None]))).sum(axis=1)
 
     def severity_of(self, score: float) -> float:
         return float((1 / (1 + np.exp(self.thresholds - score))).sum())
 
-    def scores(self, text: str | None) -> list[float]:
-        """The score of each window."""
-        return [float(self.weights[number] @ value) for number, value in self.known(text)]
-
-    def known(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Of each window, the numbers and values of those of its features that the model has."""
-        return window_values(*places(self.features, text))
-
 
-def places(known: np.ndarray, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Where the known features occur in a text: their numbers, the numbers of their words in rising
-    order, and how many words there are."""
-    found, word, n_words = features(text)
-    if not len(known) or not len(found):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), n_words
-    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-    hit = np.flatnonzero(known[at] == found)
-    hit = hit[np.argsort(word[hit], kind="stable")]
-    return at[hit], word[hit], n_words
+@dataclass
+class Windows:
+    """The windows of some rows: of each row its first window; of each window where its entries begin
+    and end; of each entry the number of its feature and its value."""
 
+    first: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    number: np.ndarray
+    value: np.ndarray
 
-def window_values(
-    number: np.ndarray, word: np.ndarray, n_words: int
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of each window, the numbers of its features and their values."""
-    for start in window_starts(n_words) if len(number) else [0]:
-        low, high = 0, 0
-        if len(number):
-            low, high = np.searchsorted(word, [start, start + WINDOW])
-        inside, count = np.unique(number[low:high], return_counts=True)
-        yield inside, np.log2(1.0 + count)
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """The score of each window."""
+        weight, value = weights[self.number], self.value
+        bounds = zip(self.begin.tolist(), self.end.tolist(), strict=True)
+        return np.array([weight[low:high] @ value[low:high] for low, high in bounds])
+
+    def worst(self, weights: np.ndarray) -> np.ndarray:
+        """The first window of each row with the largest score."""
+        scores = self.scores(weights)
+        row = np.repeat(np.arange(len(self.first)), np.diff([*self.first, len(scores)]))
+        largest = np.flatnonzero(scores == np.maximum.reduceat(scores, self.first)[row])
+        return largest[np.unique(row[largest], return_index=True)[1]]
+
+
+def places(
+    known: np.ndarray, texts: Sequence[str | None]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the known features occur in texts: their numbers, the numbers of their words in rising
+    order, where those of each text end, and how many words each text has."""
+    found, word, first = texts_features(texts)
+    # Most features are told unknown by their first bits.
+    bits = np.zeros(1 << _TOLD_BITS, dtype=bool)
+    bits[known >> np.uint64(64 - _TOLD_BITS)] = True
+    hit = np.flatnonzero(bits[found >> np.uint64(64 - _TOLD_BITS)])
+    at = np.searchsorted(known, found[hit])
+    same = known[np.minimum(at, len(known) - 1)] == found[hit]
+    hit, at = hit[same], at[same]
+    order = np.argsort(word[hit], kind="stable")
+    number, word = at[order], word[hit[order]]
+    ends = np.searchsorted(word, first[1:])
+    return number, word - np.repeat(first[:-1], np.diff(ends, prepend=0)), ends, np.diff(first)
+
+
+def windows_of(
+    number: np.ndarray, word: np.ndarray, ends: np.ndarray, n_words: np.ndarray
+) -> Iterator[tuple[slice, Windows]]:
+    """The windows of rows, for the places of known features in them (see `places`), some rows at a
+    time. A row without places has one window."""
+    work = ends + np.cumsum(n_words // (WINDOW // 2))
+    row = 0
+    while row < len(ends):
+        start, done = (int(ends[row - 1]), int(work[row - 1])) if row else (0, 0)
+        last = max(row + 1, int(np.searchsorted(work, done + _PLACES, "right")))
+        inside = slice(start, int(ends[last - 1]))
+        rows = slice(row, last)
+        yield rows, _windows(number[inside], word[inside], ends[rows] - start, n_words[rows])
+        row = last
+
+
+def _windows(
+    number: np.ndarray, word: np.ndarray, ends: np.ndarray, n_words: np.ndarray
+) -> Windows:
+    n_places = np.diff(ends, prepend=0)
+    starts = [window_starts(n) if k else [0] for n, k in zip(n_words.tolist(), n_places.tolist())]
+    n_windows = np.array([len(some) for some in starts])
+    # Rows are put one behind the other, so far apart that no window reaches into the next.
+    behind = np.arange(len(ends)) * (int(n_words.max()) + WINDOW)
+    at = word + np.repeat(behind, n_places)
+    start = np.concatenate(starts) + np.repeat(behind, n_windows)
+    low, high = np.searchsorted(at, start), np.searchsorted(at, start + WINDOW)
+    window = np.repeat(np.arange(len(start)), high - low)
+    begin = np.cumsum(high - low) - (high - low)
+    inside = np.arange(len(window)) + (low - begin)[window]
+    span = int(number.max(initial=0)) + 1
+    entry, count = np.unique(window * span + number[inside], return_counts=True)
+    bounds = np.searchsorted(entry, np.arange(len(start) + 1) * span)
+    value = np.log2(1.0 + count)
+    first = np.cumsum(n_windows) - n_windows
+    return Windows(first, bounds[:-1], bounds[1:], entry % span, value)
 
 
 def window_starts(n_words: int) -> list[int]:
@@ -119,14 +179,22 @@ def window_starts(n_words: int) -> list[int]:
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     """The hash of every word and of its beginnings, repeats included, the number of the word that
     each belongs to, and how many words there are."""
-    data = text_bytes(text)
+    found, word, first = texts_features([text])
+    return found, word, int(first[-1])
+
+
+def texts_features(
+    texts: Sequence[str | None],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of several texts, whose words are numbered on from text to text; last the number
+    of the first word of each text, and how many words there are."""
+    data, begins = texts_bytes(texts)
     starts, ends = spans(data)
-    out, word = [range_hashes(data, starts, ends)], [np.arange(len(starts))]
-    for size in _PREFIXES:
-        long = np.flatnonzero(ends - starts > size)
-        out.append(mix(range_hashes(data, starts[long], starts[long] + size) + np.uint64(size)))
-        word.append(long)
-    return np.concatenate(out), np.concatenate(word), len(starts)
+    whole, *parts = beginning_hashes(data, starts, ends, _PREFIXES)
+    hashes = [whole[0]]
+    hashes += [mix(part + np.uint64(size)) for size, (part, _) in zip(_PREFIXES, parts)]
+    word = np.concatenate([whole[1], *[of for _, of in parts]])
+    return np.concatenate(hashes), word, np.searchsorted(starts, [*begins, len(data)])
 
 
 def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -182,7 +250,10 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [np.unique(features(t)[0]) for t in batch.column("text").to_pylist()]
+            feature, word, first = texts_features(batch.column("text").to_pylist())
+            order = np.argsort(word, kind="stable")
+            bounds = np.searchsorted(word[order], first[1:-1])
+            found = [np.unique(some) for some in np.split(feature[order], bounds)]
             toxic = np.array(batch.column("toxic").to_pylist(), dtype=np.int64)
             feature, at = np.unique(np.concatenate(found), return_inverse=True)
             toxic = np.repeat(toxic, [len(f) for f in found])
@@ -206,13 +277,14 @@ def _placed(rows: DataFrame, known: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [places(sent.value, t) for t in batch.column("text").to_pylist()]
+            number, word, ends, n_words = places(sent.value, batch.column("text").to_pylist())
+            offsets = pa.array([0, *ends], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic").cast(pa.int32()),
-                    pa.array([number for number, _, _ in found], pa.list_(pa.int32())),
-                    pa.array([word for _, word, _ in found], pa.list_(pa.int32())),
-                    pa.array([n_words for _, _, n_words in found], pa.int32()),
+                    pa.ListArray.from_arrays(offsets, pa.array(number, pa.int32())),
+                    pa.ListArray.from_arrays(offsets, pa.array(word, pa.int32())),
+                    pa.array(n_words, pa.int32()),
                 ],
                 names=["toxic", "number", "word", "n_words"],
             )
@@ -224,15 +296,16 @@ def _placed(rows: DataFrame, known: np.ndarray) -> DataFrame:
     )
 
 
-def _windows_in(batch: pa.RecordBatch) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    """The windows of each row of `_placed`."""
+def _windows_in(batch: pa.RecordBatch) -> Iterator[tuple[slice, Windows]]:
+    """The windows of the rows of `_placed`."""
     number, word = batch.column("number"), batch.column("word")
-    numbers, words = number.flatten().to_numpy(), word.flatten().to_numpy()
-    ends = np.cumsum(np.diff(number.offsets.to_numpy()))
-    start = 0
-    for end, n_words in zip(ends.tolist(), batch.column("n_words").to_pylist(), strict=True):
-        yield [*window_values(numbers[start:end], words[start:end], n_words)]
-        start = end
+    offsets = number.offsets.to_numpy()
+    yield from windows_of(
+        number.flatten().to_numpy(),
+        word.flatten().to_numpy(),
+        offsets[1:] - offsets[0],
+        batch.column("n_words").to_numpy(),
+    )
 
 
 def _worst_windows(placed: DataFrame, model: Severity) -> DataFrame:
@@ -242,21 +315,27 @@ def _worst_windows(placed: DataFrame, model: Severity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sent.value
         for batch in batches:
-            worst = [
-                windows[0]
-                if len(windows) == 1
-                else max(windows, key=lambda window: weights[window[0]] @ window[1])
-                for windows in _windows_in(batch)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("toxic"),
-                    pa.array([number for number, _ in worst], pa.list_(pa.int32())),
-                    pa.array([value for _, value in worst], pa.list_(pa.float64())),
-                    pa.array([float(value.sum()) for _, value in worst], pa.float64()),
-                ],
-                names=["toxic", "number", "value", "amount"],
-            )
+            for rows, windows in _windows_in(batch):
+                worst = windows.worst(weights)
+                low, high = windows.begin[worst], windows.end[worst]
+                offsets = np.cumsum([0, *(high - low)])
+                inside = np.arange(offsets[-1]) + np.repeat(low - offsets[:-1], high - low)
+                value, bounds = windows.value[inside], zip(offsets[:-1], offsets[1:])
+                amount = [float(value[start:end].sum()) for start, end in bounds]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("toxic")[rows],
+                        pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()),
+                            pa.array(windows.number[inside], pa.int32()),
+                        ),
+                        pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()), pa.array(value, pa.float64())
+                        ),
+                        pa.array(amount, pa.float64()),
+                    ],
+                    names=["toxic", "number", "value", "amount"],
+                )
 
     return stored(
         placed.mapInArrow(
@@ -279,10 +358,9 @@ def _fitted(
             amount = batch.column("amount").to_numpy()
             grade = toxic * (1 + sum((amount > third).astype(np.int64) for third in thirds))
             number = batch.column("number")
-            owner = np.repeat(np.arange(len(toxic)), np.diff(number.offsets.to_numpy()))
             arrays = [
-                owner.astype(np.int64),
-                number.flatten().to_numpy().astype(np.int64),
+                np.diff(number.offsets.to_numpy()),
+                number.flatten().to_numpy(),
                 batch.column("value").flatten().to_numpy(),
                 grade.astype(np.int64),
                 share[toxic],
@@ -294,19 +372,21 @@ def _fitted(
     # A step is short, so a task takes many rows; there are more tasks as there are more rows.
     few = rows.coalesce(1 + rows.count() // BLOCK_ROWS)
     packed = few.mapInArrow(blocks, ", ".join(f"{name} binary" for name in _BLOCK))
-    held = packed.persist(StorageLevel.MEMORY_AND_DISK)
-    blocks_held = held.rdd
+    # Kept as Python hands them over: each step reads them, and no step turns rows into objects.
+    held = packed.rdd.map(lambda block: [bytes(part) for part in block]).persist(StorageLevel.MEMORY_AND_DISK)
 
     def slopes(at: np.ndarray) -> np.ndarray:
         def summed(blocks: Iterator) -> Iterator[np.ndarray]:
             total = np.zeros(len(at))
             for block in blocks:
                 arrays = [np.frombuffer(block[n], dtype=d) for n, d in enumerate(_BLOCK.values())]
-                total += likelihood_slopes(at, n_features, *arrays)
+                sizes, number, value, grade, of = arrays
+                owner = np.repeat(np.arange(len(grade)), sizes)
+                total += likelihood_slopes(at, n_features, owner, number, value, grade, of)
             yield total
 
         # One vector a task; they are added in the order of the tasks, so that runs agree.
-        return np.sum(blocks_held.mapPartitions(summed).collect(), axis=0)
+        return np.sum(held.mapPartitions(summed).collect(), axis=0)
 
     try:
         return descend(n_features, slopes, STEPS if state is None else MORE_STEPS, RATE, state)
@@ -315,8 +395,8 @@ def _fitted(
 
 
 _BLOCK = {
-    "owner": np.int64,
-    "number": np.int64,
+    "sizes": np.int32,
+    "number": np.int32,
     "value": np.float64,
     "grade": np.int64,
     "share": np.float64,
@@ -359,12 +439,9 @@ def calibrated(model: Severity, clean: DataFrame, reject: float = REJECT) -> Sev
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                float(sent.value[number] @ value)
-                for windows in _windows_in(batch)
-                for number, value in windows
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["score"])
+            for _, windows in _windows_in(batch):
+                found = pa.array(windows.scores(sent.value), pa.float64())
+                yield pa.RecordBatch.from_arrays([found], names=["score"])
 
     scores = stored(clean.mapInArrow(score, "score double"))
     most = value_at(scores, 1 - FALSE_WINDOWS)
@@ -474,7 +551,7 @@ def severity(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_groups(batches, "text"):
-            found = [sent.value.expected(t) for t in batch.column("text").to_pylist()]
+            found = sent.value.expected_of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())],
                 names=["doc_id", "severity"],
@@ -488,4 +565,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> Da
     """The documents that are not rejected, with all their columns. Each row is judged by its own
     text, whatever its doc_id."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    return filtered(docs, lambda texts: [sent.value.expected(t) < reject for t in texts])
+    return filtered(docs, lambda texts: sent.value.expected_of(texts) < reject)

@@ -6,6 +6,8 @@ are the same on every machine and in every run.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
 import numpy as np
 
 _WORD_BYTE = np.zeros(256, dtype=bool)
@@ -27,7 +29,19 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def text_bytes(text: str | None) -> np.ndarray:
     """The text in lower case as UTF-8; characters that are no text become `?`."""
-    return np.frombuffer((text or "").lower().encode("utf-8", "replace"), dtype=np.uint8)
+    return np.frombuffer(_lowered(text), dtype=np.uint8)
+
+
+def texts_bytes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of several texts, a line feed after each, and where each begins. No word reaches
+    into the next text."""
+    lowered = [_lowered(text) for text in texts]
+    begins = np.cumsum([0, *[len(data) + 1 for data in lowered]])[:-1]
+    return np.frombuffer(b"\n".join([*lowered, b""]), dtype=np.uint8), begins
+
+
+def _lowered(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace")
 
 
 def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -40,18 +54,54 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each range; ranges are in order and do not overlap."""
     out = np.empty(len(starts), dtype=np.uint64)
+    for first, last, hashed in _hashers(data, starts, ends):
+        out[first:last] = hashed(starts[first:last], ends[first:last])
+    return out
+
+
+def beginning_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: Sequence[int]
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The hashes of the ranges, and for each size those of the first bytes of longer ranges; with
+    the number of the range of each. All are taken from the same running sums."""
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(1 + len(sizes))]
+    for first, last, hashed in _hashers(data, starts, ends):
+        low, high = starts[first:last], ends[first:last]
+        found[0].append((hashed(low, high), np.arange(first, last)))
+        for size, parts in zip(sizes, found[1:], strict=True):
+            long = np.flatnonzero(high - low > size)
+            parts.append((hashed(low[long], low[long] + size), first + long))
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return [
+        tuple(np.concatenate(arrays) for arrays in zip(none, *parts, strict=True))
+        for parts in found
+    ]
+
+
+def _hashers(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> Iterator[tuple[int, int, Callable[[np.ndarray, np.ndarray], np.ndarray]]]:
+    """The ranges in groups that lie close together, with a function for hashes inside a group."""
     first = 0
     while first < len(starts):
         origin = int(starts[first])
         last = max(first + 1, int(np.searchsorted(ends, origin + _SEGMENT, "right")))
-        piece = data[origin : int(ends[last - 1])]
-        powers, inverses = _tables(len(piece) + 1)
-        sums = np.zeros(len(piece) + 1, dtype=np.uint64)
-        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * powers[: len(piece)], out=sums[1:])
-        low, high = starts[first:last] - origin, ends[first:last] - origin
-        out[first:last] = mix((sums[high] - sums[low]) * inverses[low])
+        yield first, last, _hasher(data[origin : int(ends[last - 1])], origin)
         first = last
-    return out
+
+
+def _hasher(
+    piece: np.ndarray, origin: int
+) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    powers, inverses = _tables(len(piece) + 1)
+    sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+    np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * powers[: len(piece)], out=sums[1:])
+
+    def hashed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        low, high = low - origin, high - origin
+        return mix((sums[high] - sums[low]) * inverses[low])
+
+    return hashed
 
 
 def words(text: str | None) -> np.ndarray:

@@ -127,3 +127,38 @@ def test_ranks_by_bins(spark):
             wanted = np.sort(values)[max(round(part * len(values)), 1) - 1]
             assert wanted - 1e-9 <= bound <= wanted + values.max() / toxicity.BINS**2 + 1e-9
     assert toxicity.value_at(spark.createDataFrame([], "v double"), 0.5) == 0.0
+
+
+def test_texts_together_are_as_each_alone():
+    """The features, the known ones among them, and the worst windows of many texts that are worked
+    on at once, against each text for itself and its windows counted one by one."""
+    rng = np.random.default_rng(7)
+    some = ["VILE", "viles", "ΟΔΟΣ", "x", "straße", "nastyword", "ok-then", "a_b", "éé"]
+    texts = [None, "", "Σ", "a\nb\n", "no words: -- !"]
+    texts += [" ".join(rng.choice(some, size=n)) for n in (1, 199, 200, 201, 300, 301, 1234)]
+    texts.insert(6, None)
+    hashes, word, first = toxicity.texts_features(texts)
+    alone = [toxicity.features(text) for text in texts]
+    assert np.diff(first).tolist() == [n_words for _, _, n_words in alone]
+    for number, (own, at, _) in enumerate(alone):
+        inside = (word >= first[number]) & (word < first[number + 1])
+        assert sorted(zip(word[inside] - first[number], hashes[inside])) == sorted(zip(at, own))
+    known = np.unique(toxicity.features("vile nastyword οδος")[0])
+    weights = rng.integers(1, 50, size=len(known)) / 7
+    model = toxicity.Severity(known, weights, np.array([4.0, 9.0, 20.0]))
+    found = model.expected_of(texts)
+    weight = dict(zip(known.tolist(), weights.tolist(), strict=True))
+    for text, severity, (own, at, n_words) in zip(texts, found, alone, strict=True):
+        assert severity == model.expected(text)
+        pairs = [(w, h) for w, h in zip(at.tolist(), own.tolist()) if h in weight]
+        worst = 0.0
+        for start in toxicity.window_starts(n_words):
+            inside = Counter(h for w, h in pairs if start <= w < start + toxicity.WINDOW)
+            worst = max(worst, sum(weight[h] * math.log2(1 + n) for h, n in inside.items()))
+        assert severity == pytest.approx(model.severity_of(worst), abs=1e-9)
+    places = toxicity.places(known, texts)
+    for rows, windows in toxicity.windows_of(*places):
+        scores = windows.scores(weights)
+        ends = [*windows.first[1:], len(scores)]
+        for begin, end, at in zip(windows.first, ends, windows.worst(weights), strict=True):
+            assert at == begin + np.argmax(scores[begin:end])
