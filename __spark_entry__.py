@@ -338,9 +338,11 @@ def _mart_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reports make their orders in place: neither shuffles all lines by their key."""
+    full = report.report_rows(Marketplace(spark, sf_dir).star(in_place=True))
     return overwrite(
         _earlier_report(spark, sf_dir),
-        _mart_full_onepass(spark, sf_dir),
+        report.conform_report(full),
         schemas.REPORT_KEY,
         [name for name in schemas.REPORT_COLUMNS if name not in schemas.REPORT_KEY],
         null_safe=True,

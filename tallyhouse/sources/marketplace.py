@@ -105,13 +105,15 @@ class Marketplace:
         """The wide source: every order with its craftsman and its product."""
         return self._widen(self.orders(), delivered_at)
 
-    def star(self) -> Star:
-        """The star tables as they are after all deliveries, without load stamps."""
+    def star(self, in_place: bool = False) -> Star:
+        """The star tables as they are after all deliveries, without load stamps. Of orders made
+        `in_place` only few lines are shuffled again by their key (see `_orders_in_place`)."""
+        orders = self._named(self._orders_in_place()) if in_place else self.orders()
         return Star(
             craftsman=conform(self.craftsmen(), schemas.D_CRAFTSMAN),
             product=conform(self.products(), schemas.D_PRODUCT),
             customer=conform(self.customers(), schemas.D_CUSTOMER),
-            order=conform(_as_fact(self.orders()), schemas.F_ORDER),
+            order=conform(_as_fact(orders), schemas.F_ORDER),
         )
 
     def first_delivery(self) -> Delivery:

@@ -103,3 +103,10 @@ def test_no_shuffle_carries_the_widest_attributes(spark):
             assert f"{key}#" in joins[0].split("],")[0], name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_update_shuffles_few_lines_by_their_key(plan_of):
+    """Only those of orders that share customer and day with another, in either report."""
+    plan = plan_of("mart_update")
+    by_key = sum("hashpartitioning(l_partkey" in s for s in plan.splitlines())
+    assert by_key == len(re.findall(r"Filter .*NOT \(__of_day", plan)) == 2
