@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import line_dedup
@@ -157,3 +159,50 @@ def test_crowded_bucket_loses_no_link(make_docs):
     assert 20 < sum(want.values()) < len(lines) - 2
     found = line_dedup.line_report(docs).collect()
     assert {r["doc_id"]: r["n_dropped"] for r in found} == want
+
+
+def test_lines_are_normalised_as_one_run_of_others_at_a_time(make_docs):
+    rng = random.Random(15)
+    texts = ["".join(rng.choice("aB9 é .,_\t\n\r~") for _ in range(60)) for _ in range(200)]
+    want = []
+    for i, text in enumerate(texts):
+        for at, line in enumerate(text.split("\n")):
+            words = re.sub(r"[\x00-/:-@\[-`{-\x7f]+", " ", line.lower()).strip(" ")
+            want += [(i, at, words)] * bool(words)
+    docs = make_docs([(i, text, "en", "a") for i, text in enumerate(texts)])
+    found = line_dedup.occurrences(docs).select("doc_id", "line_no", "line").collect()
+    assert sorted(map(tuple, found)) == want
+
+
+def test_pieces_tell_edits_here_and_there_and_never_too_few(spark):
+    """Lines with a character replaced in every fifth word or so are told by their pieces; what the
+    pieces tell is never less than the distance, whatever the lines."""
+    rng = random.Random(16)
+    pairs = []
+    for i in range(60):
+        words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 7))) for _ in range(90)]
+        edited = list(words)
+        for at in rng.sample(range(90), 12):
+            edited[at] = edited[at][:-1] + rng.choice(["q", "", "qq", " qqqq"])
+        if i % 3 == 1:
+            edited[20:30] = []
+        if i % 3 == 2:
+            rng.shuffle(edited)
+        pairs.append((" ".join(words), " ".join(edited)))
+    pairs += [("a" * 300, "a" * 270 + "b"), ("ab " * 100, "ba " * 90), ("a", "b"), ("a" * 200, "b")]
+    rows = spark.createDataFrame([(i, *pair) for i, pair in enumerate(pairs)], "i int, a string, b string")
+    told = {
+        r["i"]: r["told"]
+        for r in rows.select(
+            "i", line_dedup._pieced(F.col("a"), F.col("b"), F.lit(10**6)).alias("told")
+        ).collect()
+    }
+    assert all(told[i] >= distance(*pair) for i, pair in enumerate(pairs))
+    assert all(told[i] <= 0.2 * len(pairs[i][0]) for i in range(0, 60, 3))
+
+
+def test_words_are_taken_apart_once_for_all_their_keys(spark, make_docs):
+    found = line_dedup.occurrences(make_docs([(1, "some words of a line", "en", "a")]))
+    plan = line_dedup.simhashes(found.select("id", "line"))._jdf.queryExecution().optimizedPlan()
+    # Of words, of runs of characters, and of lines in both.
+    assert plan.toString().count("Generate ") == 4
