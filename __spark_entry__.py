@@ -287,17 +287,18 @@ def _hwm_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _earlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report before the second delivery, computed from the first one."""
+    """The report before the second delivery, computed from the first one. Its orders are dealt by
+    product once, to make them distinct and to join the products."""
     market = Marketplace(spark, sf_dir)
     first = market.first_delivery()
+    delivered = first.craft_products_orders.repartition("product_id")
     orders = star_load.load(
-        star_load.ORDER,
-        star_load.source_rows(star_load.ORDER, first.craft_products_orders, first.customers),
+        star_load.ORDER, star_load.source_rows(star_load.ORDER, delivered, first.customers)
     )
     stored = market.star()
     customers = star_load.load(star_load.CUSTOMER, first.customers)
-    rows = report.report_rows(Star(stored.craftsman, stored.product, customers, orders))
-    return report.conform_report(rows)
+    before = Star(stored.craftsman, stored.product, customers, orders)
+    return report.conform_report(report.report_rows(before, dealt_by_customer=True))
 
 
 def _known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,8 +339,11 @@ def _mart_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both reports make their orders in place: neither shuffles all lines by their key."""
-    full = report.report_rows(Marketplace(spark, sf_dir).star(in_place=True))
+    """Both reports make their orders in place: neither shuffles all lines by their key. They are
+    folded from orders dealt by customer, as few of all orders meet one of their customer month."""
+    full = report.report_rows(
+        Marketplace(spark, sf_dir).star(in_place=True), dealt_by_customer=True
+    )
     return overwrite(
         _earlier_report(spark, sf_dir),
         report.conform_report(full),

@@ -42,6 +42,8 @@ SECOND_RUN = dt.datetime(2002, 2, 1, 12)
 _STATUSES = [STATUS_CREATED, STATUS_IN_PROGRESS, STATUS_DELIVERY, STATUS_DONE]
 # The keys of one source order are ranked in so many parts, and each part has so many numbers.
 _ORDER_PARTS, _ORDER_ROOM = 64, 1 << 14
+# What a customer is to the deliveries.
+_AT_HAND, _LATE = 1, 2
 _NATURAL_KEY = ["product_id", "craftsman_id", "customer_id", "order_created_date"]
 
 
@@ -107,8 +109,9 @@ class Marketplace:
 
     def star(self, in_place: bool = False) -> Star:
         """The star tables as they are after all deliveries, without load stamps. Of orders made
-        `in_place` only few lines are shuffled again by their key (see `_orders_in_place`)."""
-        orders = self._named(self._orders_in_place()) if in_place else self.orders()
+        `in_place` only few lines are shuffled again by their key (see `_orders_in_place`), and none
+        that lacks its product or craftsman is among them: the report leaves those out."""
+        orders = self._named(self._orders_to_deliver()) if in_place else self.orders()
         return Star(
             craftsman=conform(self.craftsmen(), schemas.D_CRAFTSMAN),
             product=conform(self.products(), schemas.D_PRODUCT),
@@ -118,10 +121,8 @@ class Marketplace:
 
     def first_delivery(self) -> Delivery:
         at_hand = self._customers().where(F.col("region") != LATE_REGION)
-        orders = (
-            self._orders_in_place()
-            .where(F.col("order_created_date") < F.lit(ORDERS_UNTIL))
-            .join(at_hand.select("customer_id"), "customer_id", "left_semi")
+        orders = self._orders_to_deliver().where(
+            (F.col("order_created_date") < F.lit(ORDERS_UNTIL)) & _is(_AT_HAND)
         )
         pending = _completes_late()
         orders = orders.withColumns(
@@ -147,18 +148,10 @@ class Marketplace:
 
     def second_delivery(self) -> Delivery:
         customers = self._customers()
-        late = customers.where(F.col("region") == LATE_REGION).select(
-            "customer_id", F.lit(True).alias("late_customer")
-        )
-        orders = (
-            self._orders_in_place()
-            .join(late, "customer_id", "left")
-            .where(
-                F.col("late_customer").isNotNull()
-                | (F.col("order_created_date") >= F.lit(ORDERS_UNTIL))
-                | _completes_late()
-            )
-            .drop("late_customer")
+        orders = self._orders_to_deliver().where(
+            _is(_LATE)
+            | (F.col("order_created_date") >= F.lit(ORDERS_UNTIL))
+            | _completes_late()
         )
         changed = customers.where(
             (F.col("region") == LATE_REGION) | (F.col("segment") == MOVED_SEGMENT)
@@ -247,28 +240,46 @@ class Marketplace:
         customer and day, so those of an order that is the only one of its customer and day are
         combined and numbered where they are joined to it. Only those of other orders are shuffled
         again, by their key. The lines are shuffled once for both, and sorted for each."""
-        lines = self.table("lineitem").join(
-            self._heads(), F.col("l_orderkey") == F.col("o_orderkey")
-        )
-        alone = lines.where("alone").groupBy(
-            F.col("l_orderkey").alias("first_order"), *_line_key()
+        return _made_in_place(self.table("lineitem"), self._heads(), _furthest())
+
+    def _orders_to_deliver(self) -> DataFrame:
+        """The rows of `_orders_in_place` that have a product and a craftsman, and what their
+        customer is to the deliveries (`_is`). Customers are looked up for the source orders, of
+        which there are fewer, and shorter ones; an order's customer is that of its lines. Numbers
+        are the same: what lacks a product or a craftsman has none."""
+        region = F.col("region")
+        customers = (
+            self._customers()
+            .groupBy(F.col("customer_id").alias("o_custkey"))
+            .agg(
+                F.max(F.when(region != LATE_REGION, _AT_HAND).otherwise(0)).alias("at_hand"),
+                F.max(F.when(region == LATE_REGION, _LATE).otherwise(0)).alias("late"),
+            )
+            .select("o_custkey", (F.col("at_hand") + F.col("late")).alias("kind"))
         )
-        others = lines.where("not alone").groupBy(*_line_key())
-        first = F.min("l_orderkey").alias("first_order")
-        return _numbered(alone.agg(*_furthest())).unionByName(
-            _numbered(others.agg(first, *_furthest()))
+        # A condition that always holds, so that no plan leaves the kind out: reports over all
+        # orders and over those of a delivery make them from the same exchanges.
+        heads = self._heads(customers).withColumn("kind", F.coalesce("kind", F.lit(0)))
+        lines = self.table("lineitem").where(
+            F.col("l_partkey").isNotNull() & F.col("l_suppkey").isNotNull()
         )
+        measures = [*_furthest(), F.max("kind").alias("kind")]
+        return _made_in_place(lines, heads.where(F.col("kind") >= 0), measures)
 
-    def _heads(self) -> DataFrame:
+    def _heads(self, customers: DataFrame | None = None) -> DataFrame:
         """The source orders, and whether each is `alone`: no other has its customer and day, and
-        none repeats its key."""
+        none repeats its key. With the columns of `customers`, which has a row per customer: one
+        shuffle by customer serves both."""
         same_day = Window.partitionBy("o_custkey", "order_day")
         same_key = Window.partitionBy("o_orderkey")
         day, one = F.col("o_orderdate").cast("date"), F.lit(1)
+        heads = self.table("orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", day.alias("order_day")
+        )
+        if customers is not None:
+            heads = heads.join(customers, "o_custkey", "left")
         return (
-            self.table("orders")
-            .select("o_orderkey", "o_custkey", "o_orderstatus", day.alias("order_day"))
-            .withColumn("__of_day", F.count(one).over(same_day))
+            heads.withColumn("__of_day", F.count(one).over(same_day))
             .withColumn("__of_key", F.count(one).over(same_key))
             .withColumn("alone", (F.col("__of_day") == one) & (F.col("__of_key") == one))
             .drop("__of_day", "__of_key")
@@ -292,6 +303,22 @@ class Marketplace:
         )
 
 
+def _made_in_place(lines: DataFrame, heads: DataFrame, measures: list[Column]) -> DataFrame:
+    """The orders of lines: those of heads that are alone where they are joined to them, the others
+    by their key."""
+    joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    alone = joined.where("alone").groupBy(F.col("l_orderkey").alias("first_order"), *_line_key())
+    others = joined.where("not alone").groupBy(*_line_key())
+    first = F.min("l_orderkey").alias("first_order")
+    return _numbered(alone.agg(*measures)).unionByName(_numbered(others.agg(first, *measures)))
+
+
+def _is(bit: int) -> Column:
+    """Whether an order is of a customer who is at hand for the first delivery, or of one who comes
+    with the second."""
+    return F.col("kind").bitwiseAND(bit) != 0
+
+
 def _line_key() -> list[Column]:
     """The natural key of a line that is joined to its order."""
     return [

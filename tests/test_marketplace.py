@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import star
 from tallyhouse.operators.checks import with_alike
 from tallyhouse.plans.star_load import ORDER, source_rows
-from tallyhouse.sources.marketplace import Marketplace
+from tallyhouse.sources.marketplace import _AT_HAND, Marketplace, _is
 from tallyhouse.sources.schemas import F_ORDER
 from tallyhouse.sources.snapshots import SnapshotTables
 
@@ -79,6 +79,37 @@ def test_lines_are_shuffled_once_for_orders_made_in_place(market, settings):
     assert plan.count("hashpartitioning(first_order") == 1
 
 
+def test_deliveries_look_customers_up_for_the_source_orders(market, spark, settings, tmp_path):
+    """The same orders with the same numbers, whatever the customers: repeated, of both kinds,
+    unknown or without a nation."""
+    folder = market._directory
+    tables = {
+        "region": ([(0, "ASIA"), (1, "EUROPE"), (2, None)], "r_regionkey INT, r_name STRING"),
+        "nation": (
+            [(0, "A", 0), (1, "B", 1), (2, "C", 2), (3, "D", None)],
+            "n_nationkey INT, n_name STRING, n_regionkey INT",
+        ),
+        "customer": (
+            [(10, "a", 0, "X"), (11, "b", 1, "X"), (11, "b", 0, "X"), (12, "c", 1, "BUILDING"),
+             (12, "c", 1, "BUILDING"), (13, "d", 2, "X"), (14, "e", 3, "X"), (None, "g", 1, "X")],
+            "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    made = market._orders_to_deliver()
+    plain = market._orders().where("product_id is not null and craftsman_id is not null")
+    found = sorted(made.select(*plain.columns).collect(), key=str)
+    assert found == sorted(plain.collect(), key=str) and len(found) > 10
+    kinds = {(r.customer_id, r.kind) for r in made.collect()}
+    assert kinds == {(10, 2), (11, 3), (12, 1), (13, 0), (14, 0), (None, 0)}
+    # Deliveries cut the orders where they are made: only customers are shuffled for it.
+    plan = plan_of(made.where(_is(_AT_HAND)))
+    assert sum("hashpartitioning(customer_id" in s for s in plan.splitlines()) == 1
+    lines = [s for s in plan.splitlines() if "hashpartitioning(l_orderkey" in s]
+    assert sum("ReusedExchange" not in s for s in lines) == 1
+
+
 def test_orders_dealt_by_key_are_counted_without_another_shuffle(spark, settings):
     names = star._ORDER
     orders = spark.createDataFrame(

@@ -110,3 +110,23 @@ def test_the_update_shuffles_few_lines_by_their_key(plan_of):
     plan = plan_of("mart_update")
     by_key = sum("hashpartitioning(l_partkey" in s for s in plan.splitlines())
     assert by_key == len(re.findall(r"Filter .*NOT \(__of_day", plan)) == 2
+
+
+def test_the_update_makes_both_reports_of_one_shuffle_of_the_lines(spark):
+    """Without broadcasts. After an order has its names it is shuffled once, by customer, and the
+    folded rows once, for the update."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        frame = contract.report_queries()["mart_update"](spark, contract.SMOKE_DIR)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    made = [s for s in plan.splitlines() if "Exchange" in s and "ReusedExchange" not in s]
+    assert sum("hashpartitioning(l_orderkey" in s for s in made) == 1
+    assert not any("hashpartitioning(customer_id" in s and "month" in s for s in made)
+    # Orders of either report, the customers of either, and those of the source orders.
+    assert sum("hashpartitioning(customer_id#" in s for s in made) == 5
