@@ -446,7 +446,7 @@ class Refresh:
         """The rows of customer months computed from their orders."""
         orders = self._orders_in(months, last, written)
         history = replace(star, order=orders_in(orders, affected.where("measured")))
-        return conform_report(report_rows(history), self.wide_keys)
+        return conform_report(report_rows(history, dealt_by_customer=True), self.wide_keys)
 
     def _described(
         self, star: Star, affected: DataFrame, months: list[str], last: LastRun

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.star import Star, orphan_orders, star_join
 from tallyhouse.plans import report
+from tallyhouse.plans.refresh import Refresh
 from tallyhouse.sources import schemas
 from tallyhouse.sources.schemas import REPORT_COLUMNS
+from tallyhouse.sources.snapshots import SnapshotTables
 
 D = dt.date
 STATUSES = ["created", "in progress", "delivery", "done", "returned", None]
@@ -233,3 +235,45 @@ def test_half_days_round_to_even(spark):
     rounded = report.conform(frame, schemas.CUSTOMER_REPORT).collect()
     assert [r.median_completion_time_per_month for r in rounded] == [0, 2, 2, 4, None]
     assert all(r.id is None for r in rounded)
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_orders_dealt_by_customer_give_the_same_report_from_one_shuffle(spark, seed):
+    star = make_star(spark, seed)
+    dealt = report.report_rows(star, dealt_by_customer=True)
+    found = sorted(dealt.collect(), key=str)
+    assert found == sorted(report.report_rows(star).collect(), key=str) and len(found) > 30
+    plan = dealt._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("hashpartitioning(customer_id") == 1 + plan.count("SortMergeJoin [customer_id")
+    assert not any("hashpartitioning(customer_id" in s and "month" in s for s in plan.splitlines())
+
+
+def test_the_refresh_deals_orders_by_customer(spark, tmp_path, monkeypatch):
+    """It folds them where they meet: no state of a customer month is shuffled."""
+    plans, write = [], SnapshotTables.write
+
+    def noted(self, name, rows, run_ts):
+        if name == "report_rows":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, name, rows, run_ts)
+
+    monkeypatch.setattr(SnapshotTables, "write", noted)
+    star = make_star(spark, orders=40)
+    orders = (
+        star.order.where("order_created_date is not null")
+        .withColumnsRenamed({f"order_{n}_id": f"{n}_id" for n in ("product", "craftsman", "customer")})
+        .drop("load_dttm")
+        .join(star.product.where("product_price is not null").drop("load_dttm"), "product_id")
+        .join(star.craftsman.drop("load_dttm"), "craftsman_id")
+        .dropDuplicates(["product_id", "craftsman_id", "customer_id", "order_created_date"])
+        .withColumn("load_dttm", F.lit(dt.datetime(2024, 1, 1)))
+    )
+    customers = star.customer.where("customer_name is not null").drop("load_dttm")
+    Refresh(spark, str(tmp_path)).run(
+        orders.where("customer_id is not null and order_status is not null"),
+        customers,
+        dt.datetime(2024, 1, 2),
+    )
+    assert len(plans) == 1
+    lines = plans[0].splitlines()
+    assert not any("partial_percentile" in after for s, after in zip(lines, lines[1:]) if "Exchange" in s)
