@@ -248,7 +248,8 @@ def test_orders_dealt_by_customer_give_the_same_report_from_one_shuffle(spark, s
     assert not any("hashpartitioning(customer_id" in s and "month" in s for s in plan.splitlines())
 
 
-def test_the_refresh_deals_orders_by_customer(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("exact", [False, True])
+def test_the_refresh_deals_orders_by_customer(spark, tmp_path, monkeypatch, exact):
     """It folds them where they meet: no state of a customer month is shuffled."""
     plans, write = [], SnapshotTables.write
 
@@ -269,7 +270,7 @@ def test_the_refresh_deals_orders_by_customer(spark, tmp_path, monkeypatch):
         .withColumn("load_dttm", F.lit(dt.datetime(2024, 1, 1)))
     )
     customers = star.customer.where("customer_name is not null").drop("load_dttm")
-    Refresh(spark, str(tmp_path)).run(
+    Refresh(spark, str(tmp_path), exact_mark=exact, only_if_changed=exact).run(
         orders.where("customer_id is not null and order_status is not null"),
         customers,
         dt.datetime(2024, 1, 2),
