@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .helpers import SMALL, rows_of
 
 from tallyhouse.llm import line_dedup
+from tallyhouse.llm.grouping import classes
 from tallyhouse.llm.shared import table
 
 
@@ -206,3 +207,34 @@ def test_words_are_taken_apart_once_for_all_their_keys(spark, make_docs):
     plan = line_dedup.simhashes(found.select("id", "line"))._jdf.queryExecution().optimizedPlan()
     # Of words, of runs of characters, and of lines in both.
     assert plan.toString().count("Generate ") == 4
+
+
+def test_pairs_across_groups_are_compared_once_up_to_the_whole_limit(spark):
+    """Both forms tell what the distance tells, and the second pass has its own."""
+    rng = random.Random(17)
+    lines = [" ".join(rng.choice(["ab", "cdé", "efgh", "a"]) for _ in range(9)) for _ in range(40)]
+    pairs = [(i, lines[i % 40], rng.choice(lines)) for i in range(200)]
+    pairs += [(200 + i, x, x[:-3] + "zz" * (i % 6)) for i, x in enumerate(lines)]
+    rows = spark.createDataFrame(pairs, "i int, a string, b string")
+    told = rows.select(
+        "i",
+        line_dedup.similar("a", "b", 0.8).alias("many"),
+        line_dedup.similar("a", "b", 0.8, few=True).alias("few"),
+    ).collect()
+    want = [distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9) for _, a, b in pairs]
+    told = {r["i"]: (r["many"], r["few"]) for r in told}
+    assert [told[i] for i in range(len(pairs))] == [(w, w) for w in want] and 10 < sum(want) < 230
+    seen = []
+    buckets = spark.createDataFrame([(i, 1) for i in range(4)], "id long, key long")
+
+    def noted(name, links):
+        def run(pairs):
+            seen.append((name, sorted(map(tuple, pairs.collect()))))
+            return pairs.where(links)
+
+        return run
+
+    first, rest = noted("first", "b = 1"), noted("rest", "a = 2 and b = 3")
+    found = classes(buckets, first, verify_rest=rest).collect()
+    assert seen == [("first", [(0, 1), (0, 2), (0, 3)]), ("rest", [(1, 2), (1, 3), (2, 3)])]
+    assert sorted(map(tuple, found)) == [(0, 0), (1, 0), (2, 2), (3, 2)]
